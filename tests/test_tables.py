@@ -1,0 +1,124 @@
+"""Files: CSV round trips, JSON traces, missing inputs, contracts."""
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from tracecurate.config import CurationConfig
+from tracecurate.operators import ingest
+from tracecurate.schema import TRAINING, require_columns, require_row_count
+from tracecurate.sources import tables
+from tracecurate.sources.staging import materialize, new_stage_path, stage_dir
+
+TEXTS = [
+    'say "hi"',
+    "a,b;c",
+    "two\nlines\n\nthree",
+    "back\\slash \\n \\",
+    "trailing blank ",
+    "  leading",
+    '"',
+    "crlf\r\nend",
+    "é 　   x",
+]
+
+
+def test_csv_round_trip(spark):
+    df = spark.createDataFrame([("s", t, t[::-1]) for t in TEXTS], TRAINING)
+    path = new_stage_path(spark, "csv")
+    tables.write_csv(df, path)
+    back = tables.read_csv(spark, path, TRAINING)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_empty_text_comes_back_null(spark):
+    df = spark.createDataFrame([("s", "", "x")], TRAINING)
+    path = new_stage_path(spark, "csv")
+    tables.write_csv(df, path)
+    assert tables.read_csv(spark, path, TRAINING).first().input is None
+
+
+def test_empty_table_keeps_its_schema(spark):
+    empty = spark.createDataFrame([], TRAINING)
+    assert materialize(empty, "empty").count() == 0
+    assert materialize(empty, "empty").schema == TRAINING
+
+
+def test_stage_folder_is_the_sessions(spark):
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    assert shared is None or stage_dir(spark) == shared.rstrip("/")
+
+
+def test_json_traces(spark, tmp_path):
+    lines = [
+        {"trace_id": "a", "timestamp_ms": 5000, "state": "ok", "request": "hello there",
+         "response": {"choices": [{"message": {"content": "hi"}}]}, "trace_metadata": "{}"},
+        {"trace_id": "b", "request_time": "2024-01-01T00:00:00Z", "state": "ERROR", "request": "x",
+         "response": "y"},
+        {"trace_id": "c", "state": "TRACE_STATE_OK", "response": "y",
+         "request": {"messages": [{"role": "user", "content": "q"}]},
+         "request_metadata": json.dumps({"mlflow.trace.session": "s"})},
+        {"trace_id": "d", "state": "OK", "request": "q", "response": "a", "trace_metadata": "junk"},
+        {"trace_id": "e", "state": "OK", "response": "a",
+         "request": "Please UPDATE the Skill Library now"},
+        {"trace_id": "f", "request": "no state", "response": "a"},
+    ]
+    file = tmp_path / "traces.jsonl"
+    file.write_text("\n".join(map(json.dumps, lines)))
+    traces = tables.read_traces(spark, str(file), "json")
+    turns = {r.trace_id: r for r in ingest.clean_turns(traces).collect()}
+    assert {k: (r.session_id, r.request, r.response) for k, r in turns.items()} == {
+        "a": ("a", "hello there", "hi"),
+        "c": ("s", "q", "y"),
+    }
+    assert turns["a"].request_time.timestamp() == 5 and turns["c"].request_time.timestamp() == 0
+    assert [r.trace_id for r in ingest.quarantined_traces(traces).collect()] == ["d"]
+    # Stored and read again as parquet, payloads keep their kind.
+    path = new_stage_path(spark, "traces")
+    traces.write.parquet(path)
+    again = ingest.clean_turns(tables.read_traces(spark, path))
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, turns.values()))
+
+
+def test_status_column_is_preferred(spark):
+    df = spark.createDataFrame([("a", "OK", "ERROR")], "trace_id string, status string, state string")
+    assert df.filter(ingest.is_success(df, CurationConfig().success_states)).count() == 1
+
+
+def test_scan_takes_the_newest_before_filters(spark):
+    df = spark.createDataFrame(
+        [("a", 3000, "OK"), ("b", 9000, "ERROR"), ("c", 9000, "OK"), ("d", None, "OK")],
+        "trace_id string, timestamp_ms bigint, state string",
+    )
+    assert [r.trace_id for r in ingest.scan_traces(df, 2).collect()] == ["b", "c"]
+    assert ingest.scan_traces(df, None).count() == 4
+
+
+@pytest.mark.parametrize("read", [
+    lambda s: tables.read_table(s, "/nowhere/x"),
+    lambda s: tables.read_csv(s, "/nowhere/x", TRAINING),
+    lambda s: tables.read_traces(s, "/nowhere/x", "json"),
+    lambda s: tables.read_prompts(s, "/nowhere/x"),
+])
+def test_missing_input(spark, read):
+    with pytest.raises(tables.MissingInput, match="not found"):
+        read(spark)
+
+
+def test_contracts(spark):
+    df = spark.range(3)
+    assert require_columns(df, ["id"]) is df
+    with pytest.raises(ValueError, match="conversation_str"):
+        require_columns(df, ["id", "conversation_str"])
+    assert require_row_count(df, 3) is df
+    with pytest.raises(ValueError, match="expected 200"):
+        require_row_count(df, 200)
+
+
+def test_flatten_for_csv(spark):
+    df = spark.range(1).select(
+        "id", F.array(F.struct(F.lit("x").alias("c"))).alias("m"),
+        F.timestamp_millis(F.lit(7)).alias("t"), F.parse_json(F.lit('"s"')).alias("v"),
+    )
+    assert tuple(tables.flatten_for_csv(df).first()) == (0, '[{"c":"x"}]', 7, '"s"')
