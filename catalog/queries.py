@@ -53,20 +53,26 @@ def turns(spark, sf_dir):
     return ingest.clean_turns(traces(spark, sf_dir), CONFIG)
 
 
+def with_session(found):
+    return found.withColumn("session_id", ingest.session_id(found, CONFIG.session_key))
+
+
 def trace_sessions(spark, sf_dir):
     """Session and time of every trace, from the narrow columns alone."""
-    found = traces(spark, sf_dir)
-    return found.select(
-        "trace_id",
-        ingest.session_id(found, CONFIG.session_key).alias("session_id"),
-        "request_time",
-        "state",
+    return with_session(traces(spark, sf_dir)).select(
+        "trace_id", "session_id", "request_time", "state"
     )
 
 
+def turns_and_sizes(spark, sf_dir):
+    """Clean turns, and the sessions of all traces: a narrow table to count sizes on."""
+    found = traces(spark, sf_dir)
+    return ingest.clean_turns(found, CONFIG), with_session(found).select("session_id")
+
+
 def examples(spark, sf_dir):
-    sizes = trace_sessions(spark, sf_dir).select("session_id")
-    return sessions.unroll_examples(turns(spark, sf_dir), CONFIG, sizes)
+    found, sizes = turns_and_sizes(spark, sf_dir)
+    return sessions.unroll_examples(found, CONFIG, sizes)
 
 
 def stored_examples(spark, sf_dir):
@@ -252,7 +258,8 @@ def session_search(spark, sf_dir):
 
 @query
 def session_first_trace(spark, sf_dir):
-    first = explore.session_trace(normalized(spark, sf_dir), 1)
+    found = with_session(traces(spark, sf_dir).drop("spans"))
+    first = ingest.normalize_traces(explore.session_trace(found, 1), CONFIG)
     return first.select(
         "session_id",
         "trace_id",
@@ -290,8 +297,8 @@ def span_attr_filter(spark, sf_dir):
 
 @query
 def sessionize(spark, sf_dir):
-    sizes = trace_sessions(spark, sf_dir).select("session_id")
-    return sessions.sessionize(turns(spark, sf_dir), CONFIG, sizes).select(
+    found, sizes = turns_and_sizes(spark, sf_dir)
+    return sessions.sessionize(found, CONFIG, sizes).select(
         "session_id",
         "trace_id",
         F.col("turn_no").cast("bigint").alias("turn_no"),

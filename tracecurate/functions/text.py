@@ -26,9 +26,13 @@ BLANK = "".join(
 )
 # The placeholder test ignores blanks, backslashes and the letters n and r.
 PLACEHOLDER_NOISE = BLANK + "\\nr"
-PLACEHOLDER_MIN_LENGTH = 15
-SCORE_PATTERN = rf"Score:[{BLANK}]*(\d+)"
-REASON_PATTERN = rf"Reason:[{BLANK}]*([^\n]+)"
+# What is left is a placeholder if it is shorter than 15, all dots, or one bracketed slot.
+PLACEHOLDER_PATTERN = r"(?s)^(?:.{0,14}|\.{2,}|\[.*\])\z"
+# The same characters inside a pattern that starts with (?U).
+BLANK_CLASS = r"\s\x1c-\x1f"
+SCORE_PATTERN = rf"(?U)Score:[{BLANK_CLASS}]*([0-9]+)"
+REASON_PATTERN = rf"(?U)Reason:[{BLANK_CLASS}]*([^\n]+)"
+USER_LABEL_PATTERN = rf"(?Ui)^user:[{BLANK_CLASS}]*"
 REQUEST_TAG = "user_request"
 RESPONSE_TAG = "assistant_response"
 USER_PREFIX = "User: "
@@ -47,15 +51,10 @@ def pystrip(text: Column) -> Column:
 def is_placeholder(text: Column, noise: str = PLACEHOLDER_NOISE) -> Column:
     """True for text too short, made of dots only, or one bracketed slot.
 
-    Pass ``noise=BLANK`` to ignore white space only, not backslashes, n and r. All blanks are gone from ``clean``, so the bracket test needs no pattern: any text
-    from ``[`` to ``]`` counts, however many brackets it holds in between.
+    Pass ``noise=BLANK`` to ignore white space only, not backslashes, n and r. The noise
+    is deleted once and the rest is matched once: the anchored pattern gives up early.
     """
-    clean = F.translate(text, noise, "")
-    return (
-        (F.length(clean) < PLACEHOLDER_MIN_LENGTH)
-        | (F.translate(clean, ".", "") == "")
-        | (F.startswith(clean, F.lit("[")) & F.endswith(clean, F.lit("]")))
-    )
+    return F.rlike(F.translate(text, noise, ""), F.lit(PLACEHOLDER_PATTERN))
 
 
 def parse_score(answer: Column) -> Column:
@@ -85,7 +84,7 @@ def parse_tag(answer: Column, tag: str) -> Column:
 
 def strip_user_label(text: Column) -> Column:
     """Cut a leading ``user:`` in any case, with the blanks around it."""
-    return F.regexp_replace(pystrip(text), rf"^(?i:user:)[{BLANK}]*", "")
+    return F.regexp_replace(pystrip(text), USER_LABEL_PATTERN, "")
 
 
 def message(role: str, content: Column) -> Column:

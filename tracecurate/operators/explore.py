@@ -22,7 +22,8 @@ def session_search(traces: DataFrame) -> DataFrame:
 def session_trace(traces: DataFrame, position: int = 1) -> DataFrame:
     """The k-th trace of every session, as a flat row.
 
-    Spark keeps only the first k rows per session before the shuffle, so a large session
+    ``traces`` carries ``session_id`` and ``request_time``; payloads are best taken apart
+    after the pick. Spark keeps only the first k rows per session before the shuffle, so a large session
     sends k rows per input partition.
     """
     by_time = Window.partitionBy("session_id").orderBy("request_time", "trace_id")

@@ -92,20 +92,27 @@ def is_complete(request: Column, response: Column) -> Column:
 
 
 def normalize_traces(traces: DataFrame, config: CurationConfig = CurationConfig()) -> DataFrame:
-    """One layout for all trace layouts: state, time, session and the two texts."""
+    """One layout for all trace layouts: state, time, session and the two texts.
+
+    The texts come out of a one-row ``inline``. Filters on them then stay above it; they
+    would otherwise be pushed below the projection, each with its own copy of the whole
+    payload extraction.
+    """
+    texts = F.struct(
+        request_text(traces).alias("request"), response_text(traces).alias("response")
+    )
     return traces.select(
         "trace_id",
         session_id(traces, config.session_key).alias("session_id"),
         event_time(traces).alias("request_time"),
         state(traces).alias("state"),
-        request_text(traces).alias("request"),
-        response_text(traces).alias("response"),
         unreadable_metadata(traces).alias("unreadable_metadata"),
+        F.inline(F.array(texts)),
     )
 
 
-def clean_turns(traces: DataFrame, config: CurationConfig = CurationConfig()) -> DataFrame:
-    """Successful, complete turns of real conversations.
+def _real_turns(traces: DataFrame, config: CurationConfig) -> DataFrame:
+    """Traces that succeeded, say something on both sides, and are no housekeeping.
 
     The state is tested first: it is a plain column, so failed traces go before their
     payloads are taken apart.
@@ -116,6 +123,13 @@ def clean_turns(traces: DataFrame, config: CurationConfig = CurationConfig()) ->
         normalize_traces(traces.filter(is_success(traces, config.success_states)), config)
         .filter(is_complete(request, response))
         .filter(~is_housekeeping(request, config.housekeeping_phrases))
+    )
+
+
+def clean_turns(traces: DataFrame, config: CurationConfig = CurationConfig()) -> DataFrame:
+    """Turns fit for training, with the session they belong to."""
+    return (
+        _real_turns(traces, config)
         .filter(~F.col("unreadable_metadata"))
         .select("session_id", "trace_id", "request_time", "request", "response")
     )
@@ -124,12 +138,9 @@ def clean_turns(traces: DataFrame, config: CurationConfig = CurationConfig()) ->
 def quarantined_traces(
     traces: DataFrame, config: CurationConfig = CurationConfig()
 ) -> DataFrame:
-    """Traces that would become turns but whose metadata cannot be read."""
-    request, response = F.col("request"), F.col("response")
+    """Traces that would be turns but whose metadata cannot be read."""
     return (
-        normalize_traces(traces.filter(is_success(traces, config.success_states)), config)
-        .filter(is_complete(request, response))
-        .filter(~is_housekeeping(request, config.housekeeping_phrases))
+        _real_turns(traces, config)
         .filter("unreadable_metadata")
         .select("trace_id", "request_time", F.lit("unreadable metadata").alias("reason"))
     )

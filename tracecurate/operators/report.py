@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..config import CurationConfig
-from ..functions.text import BLANK
+from ..functions.text import BLANK_CLASS
 from .scoring import passes
 
 
@@ -53,7 +53,7 @@ def training_plan(train: DataFrame, config: CurationConfig = CurationConfig()) -
 
 def words(text: Column) -> Column:
     """Default token list: runs of characters that are not white space."""
-    return F.filter(F.split(text, f"[{BLANK}]+"), lambda word: word != "")
+    return F.array_remove(F.split(text, f"(?U)[{BLANK_CLASS}]+"), "")
 
 
 def length_budget(

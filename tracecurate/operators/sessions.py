@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..config import CurationConfig
-from ..functions.text import format_transcript, message
+from ..functions.text import ASSISTANT_PREFIX, USER_PREFIX, message
 from .numbering import number_rows, split_by_group_size
 
 _TURN_ORDER = ("request_time", "trace_id")
@@ -42,11 +42,10 @@ def _history_in_one_task(turns: DataFrame) -> DataFrame:
     """Turn number and history from one window: a single exchange by session."""
     by_time = Window.partitionBy("session_id").orderBy(*_TURN_ORDER)
     earlier = by_time.rowsBetween(Window.unboundedPreceding, -1)
-    exchange = F.struct("request", "response")
     return turns.withColumns(
         {
             "turn_no": F.row_number().over(by_time),
-            "history": F.collect_list(exchange).over(earlier),
+            "history": F.collect_list("turn").over(earlier),
         }
     )
 
@@ -56,19 +55,19 @@ def _history_by_blocks(turns: DataFrame, block_turns: int) -> DataFrame:
 
     A turn's history is what came in earlier blocks plus what came earlier in its own.
     The first is built once per block and joined to the block's rows, so the quadratic
-    work is spread over the blocks of a session.
+    work is spread over the blocks of a session. What one task still holds is one copy of
+    the session, which the example of its last turn holds as well.
     """
     numbered = _number_large_sessions(turns).withColumn(
         "_block", F.floor((F.col("turn_no") - 1) / block_turns)
     )
-    exchange = F.struct("request", "response")
     in_block = Window.partitionBy("session_id", "_block").orderBy("turn_no")
     rows = numbered.withColumn(
         "_recent",
-        F.collect_list(exchange).over(in_block.rowsBetween(Window.unboundedPreceding, -1)),
+        F.collect_list("turn").over(in_block.rowsBetween(Window.unboundedPreceding, -1)),
     )
-    in_order = F.sort_array(F.collect_list(F.struct("turn_no", exchange.alias("exchange"))))
-    blocks = numbered.groupBy("session_id", "_block").agg(in_order["exchange"].alias("_turns"))
+    in_order = F.sort_array(F.collect_list(F.struct("turn_no", "turn")))
+    blocks = numbered.groupBy("session_id", "_block").agg(in_order["turn"].alias("_turns"))
     by_block = Window.partitionBy("session_id").orderBy("_block")
     earlier = blocks.select(
         "session_id",
@@ -93,26 +92,38 @@ def unroll_examples(
 
     Histories are never trimmed, so the output grows with the square of a session.
     """
+    # The texts travel in one struct: as columns of their own they would be shuffled twice,
+    # once for themselves and once as the window's argument.
+    packed = turns.select(
+        "session_id", *_TURN_ORDER, F.struct("request", "response").alias("turn")
+    )
     usual, large = split_by_group_size(
-        turns, "session_id", config.long_history_turns, config.broadcast_rows, sizes_of
+        packed, "session_id", config.long_history_turns, config.broadcast_rows, sizes_of
     )
     with_history = _history_in_one_task(usual)
     if large is not None:
         with_history = with_history.unionByName(
             _history_by_blocks(large, config.long_history_turns)
         )
-    earlier = F.flatten(
+    request = F.col("turn.request")
+    earlier_messages = F.flatten(
         F.transform(
             "history",
-            lambda x: F.array(message("user", x["request"]), message("assistant", x["response"])),
+            lambda t: F.array(message("user", t["request"]), message("assistant", t["response"])),
         )
     )
-    messages = F.concat(earlier, F.array(message("user", F.col("request"))))
+    earlier_lines = F.transform(
+        "history",
+        lambda t: F.concat(
+            F.lit(USER_PREFIX), t["request"], F.lit("\n" + ASSISTANT_PREFIX), t["response"]
+        ),
+    )
+    last_line = F.array(F.concat(F.lit(USER_PREFIX), request))
     return with_history.select(
         F.col("trace_id").alias("example_id"),
         "session_id",
         "turn_no",
-        messages.alias("messages"),
-        F.col("response").alias("target_response"),
-        format_transcript(messages).alias("conversation_str"),
+        F.concat(earlier_messages, F.array(message("user", request))).alias("messages"),
+        F.col("turn.response").alias("target_response"),
+        F.array_join(F.concat(earlier_lines, last_line), "\n").alias("conversation_str"),
     )
