@@ -24,12 +24,16 @@ def _strip(column: str) -> str:
     return f"trim({column}, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
 
 
-def _key(stage: str, temperature: float, tokens: int, copy: str, system: str, user: str) -> str:
+def _key(stage: str, temperature: float, tokens: int, system: str, user: str) -> str:
     def one(role: str, content: str) -> str:
         return f"'{role}:' || length({content}) || ':' || {content}"
 
     body = f"{one('system', _text(system))} || {one('user', user)}"
-    return f"sha256('{stage}|{temperature}|{tokens}|' || {copy} || '|' || {body})"
+    return f"sha256('{stage}|{temperature}|{tokens}|' || {body})"
+
+
+def _copy_key(key: str, copy: str) -> str:
+    return f"sha256({key} || '|' || {copy})"
 
 
 def _judge_user(conversation: str, answer: str) -> str:
@@ -87,13 +91,19 @@ def _chat(column: str) -> str:
     return f"{_CHATML_SYSTEM} || array_to_string(list_transform({kept}, lambda c: {turn}), '')"
 
 
-_GEN_KEY = _key(
-    "generate",
-    0.8,
-    8192,
+_GEN_KEY = _copy_key(
+    _key(
+        "generate",
+        0.8,
+        8192,
+        P.GENERATE_SYSTEM,
+        _fill(
+            P.GENERATE_USER,
+            conversation_str="conversation_str",
+            target_response="target_response",
+        ),
+    ),
     "example_id || '#' || i",
-    P.GENERATE_SYSTEM,
-    _fill(P.GENERATE_USER, conversation_str="conversation_str", target_response="target_response"),
 )
 _GEN_BUCKET = "(length(conversation_str) + 31 * i + length(target_response)) % 11"
 _U, _EU, _A, _EA = f"<{_REQUEST}>", f"</{_REQUEST}>", f"<{_RESPONSE}>", f"</{_RESPONSE}>"
@@ -229,16 +239,16 @@ def _messages(keys: str, source: str, system: str, user: str) -> str:
     UNION ALL SELECT {keys}, 1, 'user', {user} FROM {source}"""
 
 
-def _parsed(source: str) -> str:
-    parts = f"list_filter({_chunks('conversation_str')}, lambda c: {_ROLE} IS NOT NULL)"
+def _parsed(source: str, column: str = "conversation_str", extra: str = "") -> str:
+    parts = f"list_filter({_chunks(column)}, lambda c: {_ROLE} IS NOT NULL)"
     return f"""
-    SELECT example_id, position, {_ROLE} AS role, {_CONTENT} AS content FROM (
+    SELECT example_id, position, {_ROLE} AS role, {_CONTENT} AS content{extra} FROM (
       SELECT example_id, unnest({parts}) AS c,
         CAST(generate_subscripts({parts}, 1) - 1 AS BIGINT) AS position FROM {source})"""
 
 
 _JUDGE_KEY = _key(
-    "judge", 0.0, 1024, "''", P.JUDGE_SYSTEM, _judge_user("conversation_str", "target_response")
+    "judge", 0.0, 1024, P.JUDGE_SYSTEM, _judge_user("conversation_str", "target_response")
 )
 _LAYOUT = "SELECT '{0}' AS layout, trace_id, session_id, request_time_ms, state FROM traces"
 _BLANK_RUN = r"[ \t\n\x0b\f\r]+"
@@ -386,6 +396,7 @@ _SELECTS = {
     "chat_prompt": f"""SELECT example_id, {_chat("input")} || '<|im_start|>assistant' || chr(10)
         AS prompt FROM holdout""",
     "eval_results": "SELECT * FROM compared",
+    "eval_requests": _parsed("holdout", "input", ", 'base' AS stage"),
     "eval_preview": """SELECT example_id, source, substr(user_input, 1, 120) AS user_input,
         substr(reference, 1, 120) AS reference, substr(base_response, 1, 120) AS base_response,
         substr(finetuned_response, 1, 120) AS finetuned_response,
@@ -393,7 +404,7 @@ _SELECTS = {
         FROM compared""",
     "prompt_corpus": "SELECT prompt_index, category, prompt FROM prompts",
     "prompt_requests": _messages(
-        _key("seed", 1.0, 0, "prompt_index", P.HELPDESK_SYSTEM, "prompt")
+        _copy_key(_key("seed", 1.0, 0, P.HELPDESK_SYSTEM, "prompt"), "prompt_index")
         + " AS request_key, 'seed' AS stage, prompt_index",
         "prompts",
         P.HELPDESK_SYSTEM,
@@ -410,6 +421,9 @@ _SELECTS = {
         {_strip("prompt")} AS request,
         CASE WHEN prompt LIKE '%?' THEN '' ELSE 'echo ' || md5(prompt) END AS response
         FROM prompts""",
+    "seed_preview": """SELECT prompt_index, substr(prompt, 1, 80) AS prompt,
+        CASE WHEN prompt NOT LIKE '%?' THEN 'echo ' || md5(prompt) END AS answer,
+        prompt LIKE '%?' AS failed FROM prompts""",
 }
 
 ORACLES = {name: _sql(select) for name, select in _SELECTS.items()}

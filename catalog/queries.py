@@ -76,7 +76,8 @@ def examples(spark, sf_dir):
 
 
 def stored_examples(spark, sf_dir):
-    return materialize(examples(spark, sf_dir), "examples")
+    """Examples with their transcript; the same history as messages is left out."""
+    return materialize(examples(spark, sf_dir).drop("messages"), "examples")
 
 
 def scored_examples(spark, sf_dir):
@@ -480,7 +481,7 @@ def scores_report(spark, sf_dir):
 
 @query
 def curated_traces(spark, sf_dir):
-    found = stored_examples(spark, sf_dir)
+    found = materialize(examples(spark, sf_dir), "examples")
     answers = stubs.judge_answers(found, "judge", CONFIG)
     return jobs.curate(found, answers, CONFIG).select(
         "example_id",
@@ -499,7 +500,7 @@ def curated_traces(spark, sf_dir):
 
 @query
 def generation_fanout(spark, sf_dir):
-    copies = synthesis.fan_out(stored_curated(spark, sf_dir), CONFIG.copies)
+    copies = completions.fan_out(stored_curated(spark, sf_dir), CONFIG.copies)
     return copies.select(
         "example_id", F.col("generation_idx").cast("bigint").alias("generation_idx")
     )
@@ -507,8 +508,7 @@ def generation_fanout(spark, sf_dir):
 
 @query
 def generate_requests(spark, sf_dir):
-    seeds = synthesis.fan_out(stored_curated(spark, sf_dir), CONFIG.copies)
-    requests = completions.generate_requests(seeds, CONFIG).withColumns(
+    requests = completions.generate_requests(stored_curated(spark, sf_dir), CONFIG).withColumns(
         {name: F.col(name).cast("bigint") for name in ("generation_idx", "max_tokens")}
     )
     return one_row_per_message(
@@ -686,6 +686,13 @@ def eval_results(spark, sf_dir):
     return compared(spark, sf_dir)
 
 
+@query
+def eval_requests(spark, sf_dir):
+    holdout, _ = splits.split_holdout(stored_training(spark, sf_dir), CONFIG)
+    requests = compare.eval_requests(holdout, "base", CONFIG)
+    return one_row_per_message(requests, F.col("messages"), "example_id", "stage")
+
+
 @query
 def eval_preview(spark, sf_dir):
     return compare.eval_preview(compared(spark, sf_dir))
@@ -735,3 +742,9 @@ def seed_traces(spark, sf_dir):
         ingest.request_text(seeded).alias("request"),
         ingest.response_text(seeded).alias("response"),
     )
+
+
+@query
+def seed_preview(spark, sf_dir):
+    corpus = numbered_prompts(spark, sf_dir)
+    return seeding.seed_preview(corpus, stubs.seed_answers(corpus))

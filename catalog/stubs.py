@@ -7,7 +7,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tracecurate.config import CurationConfig
 from tracecurate.operators.completions import with_generate_key, with_judge_key
 from tracecurate.operators.seeding import with_prompt_key
-from tracecurate.operators.synthesis import fan_out
 from tracecurate.sources.staging import materialize
 
 CONVERSATION, ANSWER = "conversation_str", "target_response"
@@ -77,8 +76,7 @@ def generate_text() -> Column:
 
 
 def generate_answers(curated: DataFrame, config: CurationConfig) -> DataFrame:
-    seeds = with_generate_key(fan_out(curated, config.copies), config)
-    return _stored(seeds, generate_text(), "generate-answers")
+    return _stored(with_generate_key(curated, config), generate_text(), "generate-answers")
 
 
 def seed_answers(prompts: DataFrame) -> DataFrame:

@@ -52,25 +52,29 @@ def test_key_tells_message_borders(spark):
 
 def test_key_depends_on_settings_and_copy(spark):
     df = spark.createDataFrame([([("user", "a")],)], "m array<struct<role:string,content:string>>")
-    key = lambda *a: completions.request_key(*a)
-    m = F.col("m")
+    key = lambda *settings: completions.request_key(settings[0], F.col("m"), *settings[1:])
+    first = key("s", 0.0, 1)
     row = df.select(
-        key("s", m, 0.0, 1).alias("a"), key("t", m, 0.0, 1).alias("b"), key("s", m, 0.8, 1).alias("c"),
-        key("s", m, 0.0, 2).alias("d"), key("s", m, 0.0, 1, F.lit(0)).alias("e"),
-        key("s", m, 0.0, 1, F.lit(1)).alias("f"),
+        first.alias("a"),
+        key("t", 0.0, 1).alias("b"),
+        key("s", 0.8, 1).alias("c"),
+        key("s", 0.0, 2).alias("d"),
+        completions.copy_key(first, F.lit(0)).alias("e"),
+        completions.copy_key(first, F.lit(1)).alias("f"),
     ).first()
     assert len(set(row)) == 6
 
 
 def test_generation_copies_have_their_own_keys(spark):
-    seeds = synthesis.fan_out(examples(spark, ("User: a", "b"), ("User: a", "b")), 3)
-    keys = {r.request_key for r in completions.generate_requests(seeds).collect()}
+    seeds = examples(spark, ("User: a", "b"), ("User: a", "b"))
+    requests = completions.generate_requests(seeds, CurationConfig(copies=3))
+    keys = {r.request_key for r in requests.collect()}
     assert len(keys) == 6
 
 
 @pytest.mark.parametrize("n", [0, 1, 3])
 def test_fan_out(spark, n):
-    got = synthesis.fan_out(examples(spark, ("a", "b"), ("c", "d")), n).collect()
+    got = completions.fan_out(examples(spark, ("a", "b"), ("c", "d")), n).collect()
     assert sorted((r.example_id, r.generation_idx) for r in got) == [
         (e, i) for e in ("e0", "e1") for i in range(n)
     ]
@@ -78,7 +82,7 @@ def test_fan_out(spark, n):
 
 def test_fan_out_rejects_negative(spark):
     with pytest.raises(ValueError):
-        synthesis.fan_out(examples(spark, ("a", "b")), -1)
+        completions.fan_out(examples(spark, ("a", "b")), -1)
 
 
 @pytest.mark.parametrize("waves", [1, 3])

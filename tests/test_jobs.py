@@ -1,5 +1,6 @@
 """The whole run on the given conversations, with a stand-in for the model."""
 
+import math
 import os
 
 import pytest
@@ -8,9 +9,9 @@ from pyspark.sql import functions as F
 from catalog.adapter import traces
 from conftest import SF_DIR
 from tracecurate.config import CurationConfig
-from tracecurate.operators import report
+from tracecurate.operators import ingest, report
 from tracecurate.plans import jobs
-from tracecurate.schema import TRAINING
+from tracecurate.schema import EVAL_RESULTS, TRAINING
 from tracecurate.sources import tables
 from tracecurate.sources.staging import new_stage_path
 
@@ -142,3 +143,74 @@ def test_the_newest_traces_only(spark):
     }
     found = {r.example_id for r in few.collect()}
     assert found and found <= newest
+
+
+def test_preparation_of_an_export_without_ids(spark, run):
+    out = new_stage_path(spark, "prep")
+    exported = tables.read_csv(spark, f"{run[0]}/training_data_csv", TRAINING)
+    # Copies are rows of their own: nothing is lost to equal content.
+    doubled = exported.unionByName(exported)
+    plan = jobs.run_preparation(doubled, out, CONFIG)
+    n = doubled.count()
+    held = round(0.1 * n)
+    validation = math.ceil(0.1 * (n - held))
+    assert spark.read.parquet(f"{out}/holdout").count() == held
+    assert tables.read_csv(spark, f"{out}/holdout_csv", TRAINING).count() == held
+    assert spark.read.parquet(f"{out}/validation").count() == validation
+    assert plan["train_rows"] == n - held - validation
+    ids = spark.read.parquet(f"{out}/training").select("example_id")
+    assert ids.distinct().count() == n
+    again = new_stage_path(spark, "prep")
+    jobs.run_preparation(doubled.repartition(7), again, CONFIG, csv=False)
+    rows = lambda path: sorted(
+        (r.input, r.output) for r in spark.read.parquet(f"{path}/holdout").collect()
+    )
+    assert rows(out) == rows(again)
+
+
+def test_evaluation_asks_both_models(spark):
+    out = new_stage_path(spark, "eval")
+    holdout = spark.createDataFrame(
+        [("a", "curated", "User: q1\nAssistant: x\nUser: q2", "out"), ("b", "synthetic", "User: z", "o")],
+        "example_id string, source string, input string, output string",
+    )
+    base = lambda messages, temperature, max_tokens: f" {len(messages)} {temperature} {max_tokens}\n"
+    tuned = lambda messages, temperature, max_tokens: [{"content": messages[-1]["content"]}]
+    results = jobs.run_evaluation(holdout, base, tuned, out, CONFIG)
+    got = {r.example_id: (r.user_input, r.base_response, r.finetuned_response) for r in results.collect()}
+    assert got == {"a": ("q2", "3 0.0 512", "q2"), "b": ("z", "1 0.0 512", "z")}
+    exported = tables.read_csv(spark, f"{out}/eval_results_csv", EVAL_RESULTS)
+    assert exported.count() == 2 and exported.columns == EVAL_RESULTS.names
+
+
+def test_seeded_traces_can_be_curated(spark):
+    out = new_stage_path(spark, "seed")
+    prompts = spark.createDataFrame(
+        [(1, "how do I print"), (2, "fail please"), (3, "how do I scan")], "prompt_index int, prompt string"
+    )
+
+    def complete(messages, temperature, max_tokens):
+        if "fail" in messages[1]["content"]:
+            raise RuntimeError("no answer")
+        return "like this: " + messages[1]["content"]
+
+    seeded = jobs.run_seeding(prompts, complete, out, "run-7", 2)
+    assert sorted((r.run_name, r.state) for r in seeded.collect()) == [
+        ("trace-001", "OK"), ("trace-002", "ERROR"), ("trace-003", "OK")
+    ]
+    found = seeded.withColumns(
+        {"trace_metadata": F.lit("{}"), "timestamp_ms": F.lit(1).cast("bigint")}
+    )
+    turns = ingest.clean_turns(found).orderBy("trace_id").collect()
+    # The run's session id is a tag, not trace metadata: each trace is its own session.
+    assert [(r.session_id, r.request, r.response) for r in turns] == [
+        ("run-7-1", "how do I print", "like this: how do I print"),
+        ("run-7-3", "how do I scan", "like this: how do I scan"),
+    ]
+
+
+def test_a_failing_model_fails_the_run(spark):
+    out = new_stage_path(spark, "run")
+    broken = lambda messages, temperature, max_tokens: 1 / 0
+    with pytest.raises(Exception, match="ZeroDivisionError"):
+        jobs.run_curation(traces(spark, SF_DIR), broken, out, CONFIG)

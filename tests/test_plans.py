@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from catalog.adapter import traces
 from conftest import SF_DIR
 from tracecurate.config import CurationConfig
-from tracecurate.operators import explore, ingest, sessions, splits, synthesis
+from tracecurate.operators import completions, explore, ingest, sessions, splits
 from tracecurate.sources.staging import materialize
 
 
@@ -68,7 +68,7 @@ def test_splits_move_no_rows(spark):
 
 
 def test_fan_out_is_narrow(spark):
-    plan = plan_of(synthesis.fan_out(spark.range(3), 3))
+    plan = plan_of(completions.fan_out(spark.range(3), 3))
     assert exchanges(plan) == 0 and "Join" not in plan
 
 

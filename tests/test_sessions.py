@@ -58,7 +58,7 @@ def test_histories_in_one_task(spark):
 
 def test_histories_in_blocks(spark):
     turns = make_turns(spark, {"hot": 53, "warm": 12, "b": 3, "c": 1})
-    config = CurationConfig(long_history_turns=5)
+    config = CurationConfig(long_history_turns=5, history_block_turns=4)
     examples = sessions.unroll_examples(turns, config)
     assert as_set(examples) == brute_force(turns)
     sizes = {r.turn_no: r.n for r in examples.filter("session_id = 'hot'").select(
@@ -68,7 +68,7 @@ def test_histories_in_blocks(spark):
 
 def test_histories_in_blocks_without_broadcast(spark):
     turns = make_turns(spark, {"hot": 23, "warm": 12, "b": 3})
-    config = CurationConfig(long_history_turns=5, broadcast_rows=0)
+    config = CurationConfig(long_history_turns=5, history_block_turns=5, broadcast_rows=0)
     assert as_set(sessions.unroll_examples(turns, config)) == brute_force(turns)
 
 

@@ -56,5 +56,6 @@ class CurationConfig:
     # is linear in the session, a full history is quadratic, hence two limits.
     hot_session_turns: int = 1_000_000
     long_history_turns: int = 1_000
+    history_block_turns: int = 200
     # Most rows a lookup table may have to be broadcast; a larger one is shuffled.
     broadcast_rows: int = 100_000

@@ -7,6 +7,7 @@ read: ``complete_pending`` writes answers to a table, and nothing else calls the
 from __future__ import annotations
 
 import json
+import logging
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -23,24 +24,24 @@ Completer = Callable[[list[dict], float, int], "str | list[dict]"]
 
 
 def request_key(
-    stage: str,
-    messages: Column,
-    temperature: float,
-    max_tokens: int,
-    copy: Column | None = None,
+    stage: str, messages: Column, temperature: float, max_tokens: int
 ) -> Column:
     """Key of a wanted completion: same key, same answer.
 
     Each message is written with its length, so that two different lists never read the
-    same. ``copy`` keeps apart the copies of one prompt that want different answers.
+    same.
     """
     texts = F.transform(
         messages,
         lambda m: F.concat(m["role"], F.lit(":"), F.length(m["content"]), F.lit(":"), m["content"]),
     )
-    settings = f"{stage}|{temperature}|{max_tokens}|"
-    number = F.lit("") if copy is None else copy.cast("string")
-    return F.sha2(F.concat(F.lit(settings), number, F.lit("|"), F.array_join(texts, "")), 256)
+    settings = F.lit(f"{stage}|{temperature}|{max_tokens}|")
+    return F.sha2(F.concat(settings, F.array_join(texts, "")), 256)
+
+
+def copy_key(key: Column, copy: Column) -> Column:
+    """Key of one of several answers wanted to the same prompt."""
+    return F.sha2(F.concat_ws("|", key, copy), 256)
 
 
 def with_judge_key(
@@ -68,21 +69,31 @@ def judge_requests(
     )
 
 
+def fan_out(seeds: DataFrame, copies: int) -> DataFrame:
+    """Each seed ``copies`` times, numbered from 0 in ``generation_idx``. Narrow: no join."""
+    if copies < 0:
+        raise ValueError("copies must not be negative")
+    numbers = F.array(*[F.lit(i) for i in range(copies)]).cast("array<int>")
+    return seeds.withColumn("generation_idx", F.explode(numbers))
+
+
 def with_generate_key(
     seeds: DataFrame, config: CurationConfig = CurationConfig()
 ) -> DataFrame:
-    require_columns(seeds, ["conversation_str", "target_response", "generation_idx"])
-    messages = generate_messages(F.col("conversation_str"), F.col("target_response"))
-    return seeds.withColumn(
-        "request_key",
-        request_key(
-            "generate",
-            messages,
-            config.generate_temperature,
-            config.generate_max_tokens,
-            # Two seeds with the same text want different answers as well.
-            F.concat_ws("#", "example_id", "generation_idx"),
-        ),
+    """The copies of each seed with their keys. A prompt is hashed once, not per copy."""
+    require_columns(seeds, ["conversation_str", "target_response"])
+    prompt = request_key(
+        "generate",
+        generate_messages(F.col("conversation_str"), F.col("target_response")),
+        config.generate_temperature,
+        config.generate_max_tokens,
+    )
+    # The seed is in the key: two seeds with the same text want different answers as well.
+    copy = F.concat_ws("#", "example_id", "generation_idx")
+    return (
+        fan_out(seeds.withColumn("_prompt", prompt), config.copies)
+        .withColumn("request_key", copy_key(F.col("_prompt"), copy))
+        .drop("_prompt")
     )
 
 
@@ -108,9 +119,12 @@ def dedupe_requests(requests: DataFrame) -> DataFrame:
     return requests.select(*wanted).dropDuplicates(["request_key"])
 
 
-def pending_requests(requests: DataFrame, responses: DataFrame | None) -> DataFrame:
-    """Distinct requests that have no answer yet."""
-    distinct = dedupe_requests(requests)
+def pending_requests(
+    requests: DataFrame, responses: DataFrame | None, unique_keys: bool = False
+) -> DataFrame:
+    """Distinct requests that have no answer yet. ``unique_keys`` tells that no two share
+    a key, which saves the shuffle that would find them."""
+    distinct = requests if unique_keys else dedupe_requests(requests)
     if responses is None:
         return distinct
     return distinct.join(responses.select("request_key"), "request_key", "left_anti")
@@ -129,19 +143,32 @@ def attach_completions(
     return rows.join(answers, "request_key", "left").drop("request_key")
 
 
-def complete_with(requests: DataFrame, complete: Completer, concurrency: int = 8) -> DataFrame:
-    """Ask the model for every request: ``concurrency`` tasks, one call in flight in each."""
+def complete_with(
+    requests: DataFrame, complete: Completer, concurrency: int = 8, skip_errors: bool = False
+) -> DataFrame:
+    """Ask the model for every request: ``concurrency`` tasks, one call in flight in each.
+
+    With ``skip_errors`` a failing call is logged and leaves its request unanswered, to be
+    asked again by the next run; otherwise it fails the task.
+    """
+
+    def ask(messages: str, temperature: float, max_tokens: int):
+        try:
+            return complete(json.loads(messages), temperature, max_tokens)
+        except Exception as error:
+            if not skip_errors:
+                raise
+            logging.getLogger(__name__).warning("no completion: %s", error)
+            return None
 
     def answer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             answers = [
-                complete(json.loads(messages), temperature, max_tokens)
-                for messages, temperature, max_tokens in zip(
-                    batch["messages"], batch["temperature"], batch["max_tokens"]
-                )
+                ask(*row)
+                for row in zip(batch["messages"], batch["temperature"], batch["max_tokens"])
             ]
             plain = [a if isinstance(a, str) else None for a in answers]
-            parts = [None if isinstance(a, str) else json.dumps(a) for a in answers]
+            parts = [None if a is None or isinstance(a, str) else json.dumps(a) for a in answers]
             yield pd.DataFrame({"request_key": batch["request_key"], "plain": plain, "parts": parts})
 
     return (
@@ -150,6 +177,7 @@ def complete_with(requests: DataFrame, complete: Completer, concurrency: int = 8
         )
         .repartition(concurrency)
         .mapInPandas(answer, "request_key string, plain string, parts string")
+        .filter("plain is not null or parts is not null")
         .select(
             "request_key",
             F.coalesce(F.parse_json("parts"), F.col("plain").cast("variant")).alias("raw"),
@@ -167,7 +195,13 @@ def read_responses(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def complete_pending(
-    requests: DataFrame, path: str, complete: Completer, concurrency: int = 8, waves: int = 1
+    requests: DataFrame,
+    path: str,
+    complete: Completer,
+    concurrency: int = 8,
+    waves: int = 1,
+    skip_errors: bool = False,
+    unique_keys: bool = False,
 ) -> DataFrame:
     """Answer what has no answer in the table at ``path`` yet, append it there, return all.
 
@@ -177,6 +211,7 @@ def complete_pending(
     spark = requests.sparkSession
     for wave in range(waves):
         part = requests.filter(F.pmod(F.xxhash64("request_key"), F.lit(waves)) == wave)
-        pending = pending_requests(part, read_responses(spark, path))
-        complete_with(pending, complete, concurrency).write.mode("append").parquet(path)
+        pending = pending_requests(part, read_responses(spark, path), unique_keys)
+        answers = complete_with(pending, complete, concurrency, skip_errors)
+        answers.write.mode("append").parquet(path)
     return read_responses(spark, path)

@@ -7,7 +7,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.prompts import HELPDESK_SYSTEM, dialogue
-from .completions import attach_completions, request_key
+from ..functions.text import preview
+from .completions import attach_completions, copy_key, request_key
 from .numbering import number_rows
 
 # Settings of the serving side apply, none are sent.
@@ -52,7 +53,8 @@ def _messages(system: str) -> Column:
 
 def with_prompt_key(prompts: DataFrame, system: str = HELPDESK_SYSTEM) -> DataFrame:
     # The index is in the key: a prompt that occurs twice is asked twice.
-    key = request_key("seed", _messages(system), _TEMPERATURE, _MAX_TOKENS, F.col("prompt_index"))
+    prompt = request_key("seed", _messages(system), _TEMPERATURE, _MAX_TOKENS)
+    key = copy_key(prompt, F.col("prompt_index"))
     return prompts.withColumn("request_key", key)
 
 
@@ -87,3 +89,16 @@ def seed_traces(
             has_answer, F.to_variant_object(F.struct(F.array(F.struct(reply)).alias("choices")))
         ).alias("response"),
     )
+
+
+def seed_preview(
+    prompts: DataFrame, responses: DataFrame, system: str = HELPDESK_SYSTEM
+) -> DataFrame:
+    """A listing of the run: the beginning of each prompt and of its answer, if it has one."""
+    answered = attach_completions(with_prompt_key(prompts, system), responses, "answer")
+    return answered.select(
+        "prompt_index",
+        preview(F.col("prompt"), 80).alias("prompt"),
+        preview(F.col("answer"), 100).alias("answer"),
+        F.col("answer").isNull().alias("failed"),
+    )

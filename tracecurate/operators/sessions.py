@@ -58,11 +58,14 @@ def _history_by_blocks(turns: DataFrame, block_turns: int) -> DataFrame:
     work is spread over the blocks of a session. What one task still holds is one copy of
     the session, which the example of its last turn holds as well.
     """
+    partitions = int(turns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     numbered = _number_large_sessions(turns).withColumn(
         "_block", F.floor((F.col("turn_no") - 1) / block_turns)
     )
     in_block = Window.partitionBy("session_id", "_block").orderBy("turn_no")
-    rows = numbered.withColumn(
+    # The partition count is given: by the small input size alone, AQE would put all blocks
+    # into one task, which then writes all of the far larger output.
+    rows = numbered.repartition(partitions, "session_id", "_block").withColumn(
         "_recent",
         F.collect_list("turn").over(in_block.rowsBetween(Window.unboundedPreceding, -1)),
     )
@@ -103,7 +106,7 @@ def unroll_examples(
     with_history = _history_in_one_task(usual)
     if large is not None:
         with_history = with_history.unionByName(
-            _history_by_blocks(large, config.long_history_turns)
+            _history_by_blocks(large, config.history_block_turns)
         )
     request = F.col("turn.request")
     earlier_messages = F.flatten(

@@ -12,6 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..config import CurationConfig
+from .numbering import number_rows
 
 _DIGITS_PER_STEP = 4
 _HASH_DIGITS = 32
@@ -63,6 +64,25 @@ def draw(df: DataFrame, size: int, key: str = "example_id", seed: int = 42) -> C
     )
 
 
+def with_example_id(training: DataFrame) -> DataFrame:
+    """Give rows that come without ids, as from a CSV export, a unique ``example_id``.
+
+    Rows are numbered by a hash of their content, so the same rows get the same numbers.
+    Equal rows are told apart by where they were read: a content that is repeated very
+    often is still spread over many range partitions.
+    """
+    content = F.concat_ws("\x1f", *[F.coalesce(F.col(c), F.lit("")) for c in training.columns])
+    numbered = number_rows(
+        training.withColumns({"_content": F.md5(content), "_read": F.monotonically_increasing_id()}),
+        "_content",
+        "_read",
+        name="_number",
+    )
+    return numbered.withColumn("example_id", F.col("_number").cast("string")).drop(
+        "_content", "_read", "_number"
+    )
+
+
 def holdout_size(rows: int, config: CurationConfig = CurationConfig()) -> int:
     """Share of the rows, halves rounded to even."""
     return round(config.holdout_fraction * rows)

@@ -6,16 +6,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..config import CurationConfig
 from ..functions.text import REQUEST_TAG, RESPONSE_TAG, USER_PREFIX, parse_tag
-from .completions import attach_completions, with_generate_key
-from .scoring import JUDGE_COLUMNS, keep_good, score_examples
-
-
-def fan_out(seeds: DataFrame, copies: int) -> DataFrame:
-    """Each seed ``copies`` times, numbered from 0 in ``generation_idx``. Narrow: no join."""
-    if copies < 0:
-        raise ValueError("copies must not be negative")
-    numbers = F.array(*[F.lit(i) for i in range(copies)]).cast("array<int>")
-    return seeds.withColumn("generation_idx", F.explode(numbers))
+from .completions import attach_completions, with_generate_key, with_judge_key
+from .scoring import JUDGE_COLUMNS, keep_good, score_keyed
 
 
 def generate_examples(
@@ -23,7 +15,7 @@ def generate_examples(
 ) -> DataFrame:
     """Copies of the seeds with the generated text and its two parsed parts."""
     answered = attach_completions(
-        with_generate_key(fan_out(seeds, config.copies), config), responses, "generated_content"
+        with_generate_key(seeds, config), responses, "generated_content"
     )
     return answered.withColumns(
         {
@@ -65,7 +57,11 @@ def judge_synthetic(
     judge_input: DataFrame, responses: DataFrame, config: CurationConfig = CurationConfig()
 ) -> DataFrame:
     """Score synthetic examples; the reason is not kept for them."""
-    return score_examples(judge_input, responses, "judge_synthetic", config).drop("judge_reason")
+    # The prompt's texts repeat the generated ones, so they stay behind once it is hashed.
+    keyed = with_judge_key(judge_input, "judge_synthetic", config).drop(
+        "conversation_str", "target_response"
+    )
+    return score_keyed(keyed, responses).drop("judge_reason")
 
 
 def keep_synthetic(scored: DataFrame, config: CurationConfig = CurationConfig()) -> DataFrame:

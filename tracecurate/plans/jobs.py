@@ -1,8 +1,8 @@
-"""Whole jobs: curate, synthesize, assemble, prepare, compare, and the full run.
+"""Whole jobs: seed, curate, synthesize, assemble, prepare and compare.
 
-The functions that take response tables are plain compositions. ``run_curation`` drives
-the full run: it stores each stage that is read again, asks the model for what has no
-answer yet, and writes the outputs.
+The functions that take response tables are plain compositions. The ``run_*`` functions
+drive whole runs: they store each stage that is read again, ask the model for what has no
+answer yet, and write the outputs.
 """
 
 from __future__ import annotations
@@ -13,20 +13,29 @@ from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from ..config import ChatTemplate, CurationConfig
 from ..functions.prompts import chat_text
-from ..functions.text import message, messages_to_json, parse_transcript
+from ..functions.text import format_transcript, message, messages_to_json, parse_transcript
 from ..operators.assembly import synthetic_skipped, training_data
+from ..operators.compare import eval_answers, eval_requests, eval_results
 from ..operators.completions import (
     Completer,
     complete_pending,
     generate_requests,
     judge_requests,
+    with_judge_key,
 )
 from ..operators.ingest import clean_turns, scan_traces
-from ..operators.scoring import keep_good, passes, score_examples, scores_report
+from ..operators.report import training_plan, turn_counts
+from ..operators.scoring import (
+    keep_good,
+    passes,
+    score_examples,
+    score_keyed,
+    scores_report,
+)
+from ..operators.seeding import new_run_id, prompt_requests, seed_traces
 from ..operators.sessions import unroll_examples
-from ..operators.splits import split_holdout, split_validation
+from ..operators.splits import split_holdout, split_validation, with_example_id
 from ..operators.synthesis import (
-    fan_out,
     generate_examples,
     judge_synthetic,
     keep_synthetic,
@@ -101,6 +110,10 @@ def _observed(df: DataFrame, name: str, **counts: Column) -> tuple[DataFrame, Ob
     return df.observe(seen, F.count(F.lit(1)).alias("rows"), *exprs), seen
 
 
+def _with_transcript(df: DataFrame) -> DataFrame:
+    return df.withColumn("conversation_str", format_transcript(F.col("messages")))
+
+
 def run_curation(
     traces: DataFrame,
     complete: Completer,
@@ -113,12 +126,15 @@ def run_curation(
     Answers are appended to tables below ``out/responses``. A second run over the same
     traces asks the model nothing.
     """
-    spark = traces.sparkSession
     kept = F.count_if(passes(config.score_threshold))
 
-    def ask(requests: DataFrame, stage: str) -> DataFrame:
+    def ask(requests: DataFrame, stage: str, unique_keys: bool = False) -> DataFrame:
         return complete_pending(
-            requests, f"{out}/responses/{stage}", complete, config.concurrency
+            requests,
+            f"{out}/responses/{stage}",
+            complete,
+            config.concurrency,
+            unique_keys=unique_keys,
         )
 
     def store(df: DataFrame, name: str) -> DataFrame:
@@ -129,57 +145,124 @@ def run_curation(
             write_csv(df, f"{out}/{name}_csv")
 
     turns = store(clean_turns(scan_traces(traces, config.max_traces), config), "turns")
-    examples = store(unroll_examples(turns, config), "examples")
-
-    judged, judged_seen = _observed(
-        score_examples(examples, ask(judge_requests(examples, config=config), "judge"), config=config),
-        "judged",
-        kept=kept,
-    )
-    scored = store(judged, "scored")
-    report = scores_report(scored, config)
-    report.write.mode("overwrite").parquet(f"{out}/scores_report")
+    # Histories are most of the data. They are stored and shuffled once, as messages; the
+    # transcript is rendered from them wherever it is read.
+    stored = store(unroll_examples(turns, config).drop("conversation_str"), "examples")
+    examples = _with_transcript(stored)
+
+    answers = ask(judge_requests(examples, config=config), "judge")
+    keyed = with_judge_key(examples, config=config).drop("conversation_str")
+    judged, judged_seen = _observed(score_keyed(keyed, answers), "judged", kept=kept)
+    scored = _with_transcript(store(judged, "scored"))
+    report = store(scores_report(scored, config), "scores_report")
     export(report, "scores_report")
     curated = keep_good(scored, config)
-    curated.write.mode("overwrite").parquet(f"{out}/curated_traces")
+    curated.drop("conversation_str").write.mode("overwrite").parquet(f"{out}/curated_traces")
     export(curated.withColumn("messages", messages_to_json(F.col("messages"))), "curated_traces")
 
-    wanted = generate_requests(fan_out(curated, config.copies), config)
-    generated, generated_seen = _observed(
-        generate_examples(curated, ask(wanted, "generate"), config), "generated"
+    seeds = curated.select("example_id", "session_id", "conversation_str", "target_response")
+    answers = ask(generate_requests(seeds, config), "generate", unique_keys=True)
+    written, written_seen = _observed(
+        # Of a seed only its ids go on; its texts were needed for the prompt.
+        generate_examples(seeds, answers, config).drop("conversation_str", "target_response"),
+        "generated",
     )
-    generated = store(generated, "generated")
-    to_judge = synthetic_judge_input(generated)
+    to_judge = synthetic_judge_input(store(written, "generated"))
+    answers = ask(judge_requests(to_judge, "judge_synthetic", config), "judge_synthetic")
     rejudged, rejudged_seen = _observed(
-        judge_synthetic(
-            to_judge,
-            ask(judge_requests(to_judge, "judge_synthetic", config), "judge_synthetic"),
-            config,
-        ),
-        "rejudged",
-        kept=kept,
+        judge_synthetic(to_judge, answers, config), "rejudged", kept=kept
     )
     synthetic = keep_synthetic(store(rejudged, "synthetic_scored"), config)
 
-    training, training_seen = _observed(
+    assembled, assembled_seen = _observed(
         training_data(curated, synthetic),
         "training",
         curated=F.count_if(F.col("source") == "curated"),
     )
-    training = store(training, "training_data")
+    training = store(assembled, "training_data")
     export(training.drop("example_id"), "training_data")
     synthetic_skipped(synthetic).write.mode("overwrite").parquet(f"{out}/synthetic_skipped")
 
-    written, again = training_seen.get, rejudged_seen.get
-    emitted = written["rows"] - written["curated"]
+    first, generated = judged_seen.get, written_seen.get["rows"]
+    second, final = rejudged_seen.get, assembled_seen.get
     return {
-        "sessions": turns.select("session_id").distinct().count(),
-        "examples": judged_seen.get["rows"],
-        "kept": judged_seen.get["kept"],
-        "generated": generated_seen.get["rows"],
-        "synthetic_unparsed": generated_seen.get["rows"] - again["rows"],
-        "synthetic_judged": again["rows"],
-        "synthetic_kept": again["kept"],
-        "synthetic_skipped": again["kept"] - emitted,
-        "training_rows": written["rows"],
+        "sessions": turn_counts(turns).first()["sessions"],
+        "examples": first["rows"],
+        "kept": first["kept"],
+        "generated": generated,
+        "synthetic_unparsed": generated - second["rows"],
+        "synthetic_judged": second["rows"],
+        "synthetic_kept": second["kept"],
+        "synthetic_skipped": second["kept"] - (final["rows"] - final["curated"]),
+        "training_rows": final["rows"],
     }
+
+
+def run_preparation(
+    training: DataFrame,
+    out: str,
+    config: CurationConfig = CurationConfig(),
+    template: ChatTemplate = ChatTemplate(),
+    csv: bool = True,
+) -> dict[str, int]:
+    """Training rows to a holdout and to chat texts below ``out``; returns sizes and plan."""
+    if "example_id" not in training.columns:
+        training = with_example_id(training)
+    training = materialize(training, "training", f"{out}/training")
+    prepared = prepare(training, config, template)
+    prepared.holdout.write.mode("overwrite").parquet(f"{out}/holdout")
+    if csv:
+        write_csv(prepared.holdout.drop("example_id"), f"{out}/holdout_csv")
+    prepared.validation.write.mode("overwrite").parquet(f"{out}/validation")
+    train = materialize(prepared.train, "train", f"{out}/train")
+    return training_plan(train, config).first().asDict()
+
+
+def run_evaluation(
+    holdout: DataFrame,
+    complete_base: Completer,
+    complete_tuned: Completer,
+    out: str,
+    config: CurationConfig = CurationConfig(),
+    csv: bool = True,
+) -> DataFrame:
+    """Both models' answers to the holdout side by side, stored below ``out``."""
+
+    def answers(model: str, complete: Completer) -> DataFrame:
+        responses = complete_pending(
+            eval_requests(holdout, model, config),
+            f"{out}/responses/{model}",
+            complete,
+            config.concurrency,
+        )
+        return eval_answers(holdout, responses, model, config)
+
+    results = materialize(
+        eval_results(holdout, answers("base", complete_base), answers("tuned", complete_tuned)),
+        "eval_results",
+        f"{out}/eval_results",
+    )
+    if csv:
+        write_csv(results.drop("example_id"), f"{out}/eval_results_csv")
+    return results
+
+
+def run_seeding(
+    prompts: DataFrame,
+    complete: Completer,
+    out: str,
+    run_id: str | None = None,
+    concurrency: int = 8,
+) -> DataFrame:
+    """Ask the model every prompt of a corpus and store the traces below ``out``."""
+    responses = complete_pending(
+        prompt_requests(prompts),
+        f"{out}/responses/seed",
+        complete,
+        concurrency,
+        skip_errors=True,
+        unique_keys=True,
+    )
+    return materialize(
+        seed_traces(prompts, responses, run_id or new_run_id()), "traces", f"{out}/traces"
+    )
