@@ -404,10 +404,10 @@ _SELECTS = {
         FROM compared""",
     "prompt_corpus": "SELECT prompt_index, category, prompt FROM prompts",
     "prompt_requests": _messages(
-        _copy_key(_key("seed", 1.0, 0, P.HELPDESK_SYSTEM, "prompt"), "prompt_index")
+        _copy_key(_key("seed", 1.0, 0, P.SUPPORT_SYSTEM, "prompt"), "prompt_index")
         + " AS request_key, 'seed' AS stage, prompt_index",
         "prompts",
-        P.HELPDESK_SYSTEM,
+        P.SUPPORT_SYSTEM,
         "prompt",
     ),
     "trace_tags": """

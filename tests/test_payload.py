@@ -92,6 +92,18 @@ def test_payloads_as_structs_maps_and_strings(spark):
     assert (row.q, row.a) == ("a", "plain")
 
 
+def test_json_text_is_parsed_on_request_only(spark):
+    asked = json.dumps(said(("user", "hi")))
+    df = spark.createDataFrame(
+        [(asked,), (" plain",), ("{not json",), ("5",)], "request string"
+    )
+    texts = lambda **options: [
+        r.t for r in df.select(ingest.request_text(df, **options).alias("t")).collect()
+    ]
+    assert texts() == [asked, "plain", "{not json", "5"]
+    assert texts(parse_json=True) == ["hi", "plain", "{not json", "5"]
+
+
 COMPLETIONS = [
     (text("Score: 7"), "Score: 7"),
     ([{"content": ""}, {"content": "second"}, {"content": "third"}], "second"),

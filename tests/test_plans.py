@@ -74,3 +74,43 @@ def test_fan_out_is_narrow(spark):
 
 def test_newest_traces_are_a_top_k(stored):
     assert "TakeOrderedAndProject" in plan_of(ingest.scan_traces(stored[0], 100))
+
+
+def test_a_prompt_asked_by_a_third_of_the_rows_is_split(spark):
+    """AQE splits the hot key's partition on the row side of the completion join."""
+    settings = {
+        "spark.sql.shuffle.partitions": "32",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+        # A hot partition is split by the map tasks that wrote it, so there must be several.
+        "spark.sql.files.maxPartitionBytes": "400KB",
+        "spark.sql.files.openCostInBytes": "0",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        rows = materialize(
+            spark.range(60_000).select(
+                F.concat(F.lit("e"), "id").alias("example_id"),
+                F.when(F.col("id") % 3 == 0, F.lit("hot"))
+                .otherwise(F.col("id").cast("string"))
+                .alias("request_key"),
+                F.sha2(F.col("id").cast("string"), 512).alias("text"),
+            ).repartition(16),
+            "rows",
+        )
+        answers = materialize(
+            rows.select("request_key", F.lit("a").alias("raw")).distinct(), "answers"
+        )
+        joined = completions.attach_completions(rows, answers)
+        assert joined.count() == 60_000
+        whole = joined.select("example_id", "text", "completion")
+        assert len(whole.collect()) == 60_000
+        assert "skew=true" in plan_of(whole)
+        assert whole.filter("completion is null").count() == 0
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)

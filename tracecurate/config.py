@@ -32,6 +32,7 @@ class CurationConfig:
     success_states: tuple[str, ...] = SUCCESS_STATES
     housekeeping_phrases: tuple[str, ...] = HOUSEKEEPING_PHRASES
     session_key: str = SESSION_KEY
+    parse_json_strings: bool = False
     score_threshold: int = 7
     copies: int = 5
 

@@ -12,12 +12,18 @@ from pyspark.sql import Column, functions as F, types as T
 from .text import pystrip
 
 
-def as_payload(col: Column, dtype: T.DataType) -> Column:
+def as_payload(col: Column, dtype: T.DataType, parse_json: bool = False) -> Column:
+    """Any payload as VARIANT. With ``parse_json``, text that holds a JSON object becomes
+    that object: for stores that keep every payload as text."""
     if isinstance(dtype, T.VariantType):
         return col
     if isinstance(dtype, (T.StructType, T.ArrayType, T.MapType)):
         return F.to_variant_object(col)
-    return col.cast("string").cast("variant")
+    text = col.cast("string")
+    if parse_json:
+        parsed = F.when(F.startswith(F.ltrim(text), F.lit("{")), F.try_parse_json(text))
+        return F.coalesce(parsed, text.cast("variant"))
+    return text.cast("variant")
 
 
 def _scalar_text(payload: Column) -> Column:

@@ -55,7 +55,7 @@ Its answer:
 Now write a new conversation from the same field.
 """
 
-HELPDESK_SYSTEM = """\
+SUPPORT_SYSTEM = """\
 You support the staff of a large company with computer questions. Help them fix problems,
 explain the rules that apply and tell them how to get the access and the tools they need.
 """

@@ -67,14 +67,16 @@ def unreadable_metadata(traces: DataFrame) -> Column:
     return _of_first_metadata(traces, payload.is_unreadable_metadata, F.lit(False))
 
 
-def request_text(traces: DataFrame) -> Column:
-    dtype = traces.schema["request"].dataType
-    return payload.request_text(payload.as_payload(F.col("request"), dtype))
+def _payload(traces: DataFrame, name: str, parse_json: bool) -> Column:
+    return payload.as_payload(F.col(name), traces.schema[name].dataType, parse_json)
 
 
-def response_text(traces: DataFrame) -> Column:
-    dtype = traces.schema["response"].dataType
-    return payload.response_text(payload.as_payload(F.col("response"), dtype))
+def request_text(traces: DataFrame, parse_json: bool = False) -> Column:
+    return payload.request_text(_payload(traces, "request", parse_json))
+
+
+def response_text(traces: DataFrame, parse_json: bool = False) -> Column:
+    return payload.response_text(_payload(traces, "response", parse_json))
 
 
 def is_success(traces: DataFrame, states: tuple[str, ...]) -> Column:
@@ -99,7 +101,8 @@ def normalize_traces(traces: DataFrame, config: CurationConfig = CurationConfig(
     payload extraction.
     """
     texts = F.struct(
-        request_text(traces).alias("request"), response_text(traces).alias("response")
+        request_text(traces, config.parse_json_strings).alias("request"),
+        response_text(traces, config.parse_json_strings).alias("response"),
     )
     return traces.select(
         "trace_id",

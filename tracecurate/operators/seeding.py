@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.prompts import HELPDESK_SYSTEM, dialogue
+from ..functions.prompts import SUPPORT_SYSTEM, dialogue
 from ..functions.text import preview
 from .completions import attach_completions, copy_key, request_key
 from .numbering import number_rows
@@ -51,14 +51,14 @@ def _messages(system: str) -> Column:
     return dialogue(system, F.col("prompt"))
 
 
-def with_prompt_key(prompts: DataFrame, system: str = HELPDESK_SYSTEM) -> DataFrame:
+def with_prompt_key(prompts: DataFrame, system: str = SUPPORT_SYSTEM) -> DataFrame:
     # The index is in the key: a prompt that occurs twice is asked twice.
     prompt = request_key("seed", _messages(system), _TEMPERATURE, _MAX_TOKENS)
     key = copy_key(prompt, F.col("prompt_index"))
     return prompts.withColumn("request_key", key)
 
 
-def prompt_requests(prompts: DataFrame, system: str = HELPDESK_SYSTEM) -> DataFrame:
+def prompt_requests(prompts: DataFrame, system: str = SUPPORT_SYSTEM) -> DataFrame:
     """A fixed system message and the prompt, one request per prompt."""
     return with_prompt_key(prompts, system).select(
         "request_key",
@@ -71,7 +71,7 @@ def prompt_requests(prompts: DataFrame, system: str = HELPDESK_SYSTEM) -> DataFr
 
 
 def seed_traces(
-    prompts: DataFrame, responses: DataFrame, run_id: str, system: str = HELPDESK_SYSTEM
+    prompts: DataFrame, responses: DataFrame, run_id: str, system: str = SUPPORT_SYSTEM
 ) -> DataFrame:
     """Prompts and their answers as traces; an unanswered prompt becomes a failed trace."""
     answered = attach_completions(with_prompt_key(prompts, system), responses, "answer")
@@ -92,7 +92,7 @@ def seed_traces(
 
 
 def seed_preview(
-    prompts: DataFrame, responses: DataFrame, system: str = HELPDESK_SYSTEM
+    prompts: DataFrame, responses: DataFrame, system: str = SUPPORT_SYSTEM
 ) -> DataFrame:
     """A listing of the run: the beginning of each prompt and of its answer, if it has one."""
     answered = attach_completions(with_prompt_key(prompts, system), responses, "answer")

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..functions.text import messages_to_json
 from ..schema import TRACES
 
 # Quotes are doubled, blanks at both ends are kept and texts may hold line breaks.
@@ -65,7 +64,7 @@ def flatten_for_csv(df: DataFrame) -> DataFrame:
     def flat(field: T.StructField):
         col = F.col(field.name)
         if isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType, T.VariantType)):
-            return messages_to_json(col).alias(field.name)
+            return F.to_json(col).alias(field.name)
         if isinstance(field.dataType, T.TimestampType):
             return F.unix_millis(col).alias(field.name)
         return col
