@@ -37,6 +37,13 @@ def test_draw_is_the_smallest_places(spark, monkeypatch, size, to_sort):
     assert chosen == expected_draw(ids(df), size, 7)
 
 
+def test_a_known_row_count_changes_nothing(spark):
+    df = rows(spark, 300)
+    for size in (1, 150, 300):
+        known = ids(df.filter(splits.draw(df, size, rows=300)))
+        assert known == ids(df.filter(splits.draw(df, size))) == expected_draw(ids(df), size, 42)
+
+
 def test_prefixes_are_followed_to_the_end(spark, monkeypatch):
     """One hex digit per step and no sorting: many steps, same rows."""
     monkeypatch.setattr(splits, "_ROWS_TO_SORT", 0)

@@ -24,7 +24,7 @@ def lottery(key: str, seed: int) -> Column:
     return F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))))
 
 
-def _kth_place(draws: DataFrame, k: int):
+def _kth_place(draws: DataFrame, k: int, rows: int | None):
     """The k-th smallest ``(place, key)`` of a table with columns ``place, key``.
 
     Each step counts the rows under every continuation of the prefix found so far: at most
@@ -33,7 +33,7 @@ def _kth_place(draws: DataFrame, k: int):
     """
     prefix, left = "", k
     running = Window.orderBy("digits").rowsBetween(Window.unboundedPreceding, -1)
-    while len(prefix) < _HASH_DIGITS:
+    while len(prefix) < _HASH_DIGITS and (rows is None or rows > _ROWS_TO_SORT):
         counts = (
             draws.filter(F.startswith("place", F.lit(prefix)))
             .groupBy(F.substring("place", 1, len(prefix) + _DIGITS_PER_STEP).alias("digits"))
@@ -43,22 +43,24 @@ def _kth_place(draws: DataFrame, k: int):
         found = counts.filter(
             (F.col("before") < left) & (F.col("before") + F.col("rows") >= left)
         ).first()
-        prefix, left = found["digits"], left - found["before"]
-        if found["rows"] <= _ROWS_TO_SORT:
-            break
+        prefix, left, rows = found["digits"], left - found["before"], found["rows"]
     last = draws.filter(F.startswith("place", F.lit(prefix))).orderBy("place", "key").limit(left)
     return last.agg(F.max(F.struct("place", "key")).alias("last")).first()["last"]
 
 
-def draw(df: DataFrame, size: int, key: str = "example_id", seed: int = 42) -> Column:
+def draw(
+    df: DataFrame, size: int, key: str = "example_id", seed: int = 42, rows: int | None = None
+) -> Column:
     """Predicate that is true for exactly ``size`` rows of ``df``.
 
     ``key`` must be unique and ``df`` a stored table: its key column is read a few times.
+    ``rows``, if known, saves the prefix counts of a small table.
     """
     if size <= 0:
         return F.lit(False)
     place = lottery(key, seed)
-    last = _kth_place(df.select(place.alias("place"), F.col(key).cast("string").alias("key")), size)
+    draws = df.select(place.alias("place"), F.col(key).cast("string").alias("key"))
+    last = _kth_place(draws, size, rows)
     return (place < last["place"]) | (
         (place == last["place"]) & (F.col(key).cast("string") <= last["key"])
     )
@@ -97,7 +99,8 @@ def split_holdout(
     training: DataFrame, config: CurationConfig = CurationConfig(), key: str = "example_id"
 ) -> tuple[DataFrame, DataFrame]:
     """The holdout and the remaining rows. Each is a filter on ``training``."""
-    chosen = draw(training, holdout_size(training.count(), config), key, config.seed)
+    rows = training.count()
+    chosen = draw(training, holdout_size(rows, config), key, config.seed, rows)
     return training.filter(chosen), training.filter(~chosen)
 
 
@@ -106,7 +109,6 @@ def split_validation(
 ) -> DataFrame:
     """``trainval`` with a ``split`` column, ``train`` or ``validation``."""
     # Another salt than the holdout's, or the rows next in its lottery would be drawn.
-    chosen = draw(
-        trainval, validation_size(trainval.count(), config), key, config.seed + 1
-    )
+    rows = trainval.count()
+    chosen = draw(trainval, validation_size(rows, config), key, config.seed + 1, rows)
     return trainval.withColumn("split", F.when(chosen, "validation").otherwise("train"))
