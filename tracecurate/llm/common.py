@@ -99,8 +99,8 @@ def _piece_hashes(data: np.ndarray) -> np.ndarray:
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
 
-def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
-    """Sorted distinct hashes of the runs of ``size`` words; all of a shorter text is one run."""
+def shingle_runs(words: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of the runs of ``size`` words in their order; all of a shorter text is one run."""
     if not len(words):
         return words
     size = min(size, len(words))
@@ -108,4 +108,9 @@ def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
     mixed = words[:count].copy()
     for k in range(1, size):
         mixed = _mix(mixed * _STEP + words[k : k + count])
-    return np.unique(mixed)
+    return mixed
+
+
+def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
+    """The same, sorted and distinct."""
+    return np.unique(shingle_runs(words, size))

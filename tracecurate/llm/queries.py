@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, shards
+from . import bpe, language, quality, shards, tiling
 from .common import table
 
 
@@ -14,13 +14,28 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, with_ids=False)
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiling.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.evaluate_languages(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_bpe": op2_bpe,
+    "op3_decontamination": op3_decontamination,
     "op6_shards": op6_shards,
+    "op8_quality": op8_quality,
+    "op9_language": op9_language,
 }
 
 ORACLES: dict[str, str] = {}
