@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chunks, language, quality, shards, tiling, topk
+from . import bpe, chunks, language, near, quality, shards, tiling, topk
 from .common import table
 
 
@@ -30,6 +30,10 @@ def op6_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -44,6 +48,7 @@ QUERIES = {
     "op3_decontamination": op3_decontamination,
     "op4_topk": op4_topk,
     "op6_shards": op6_shards,
+    "op7_near_dedup": op7_near_dedup,
     "op8_quality": op8_quality,
     "op9_language": op9_language,
 }
