@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, chunks, language, near, quality, shards, tiling, topk
+from . import bpe, chunks, language, lines, near, quality, quotes, shards, tiling, topk
 from .common import table
 
 
@@ -26,6 +27,12 @@ def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op5_quotations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mail = quotes.as_mail(table(spark, sf_dir, "conversations"))
+    found = quotes.conversations_without_quotes(mail)
+    return found.select(F.col("scope").alias("conv_id"), "turn", "role", "text", "parent", "root", "depth", "chat")
+
+
 def op6_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard_documents(table(spark, sf_dir, "documents"))
 
@@ -42,15 +49,22 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.evaluate_languages(table(spark, sf_dir, "documents"))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.dedup_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_removed", "n_runs", "longest_copy", F.sha2("text", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_bpe": op2_bpe,
     "op3_decontamination": op3_decontamination,
     "op4_topk": op4_topk,
+    "op5_quotations": op5_quotations,
     "op6_shards": op6_shards,
     "op7_near_dedup": op7_near_dedup,
     "op8_quality": op8_quality,
     "op9_language": op9_language,
+    "op10_line_dedup": op10_line_dedup,
 }
 
 ORACLES: dict[str, str] = {
@@ -73,4 +87,74 @@ ORACLES: dict[str, str] = {
         )
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
     """,
+    "op5_quotations": r"""
+        WITH RECURSIVE said AS (
+            SELECT conv_id, turn, role, text, trim(regexp_replace(lower(text), '\s+', ' ', 'g')) AS whole,
+                   string_split(text, chr(10)) AS l
+            FROM conversations
+        ),
+        passage AS (
+            SELECT conv_id, turn, whole AS key FROM said
+            UNION ALL
+            SELECT conv_id, turn, trim(regexp_replace(lower(unnest(l)), '\s+', ' ', 'g')) FROM said
+        ),
+        firsts AS (SELECT conv_id, key, min(turn) AS parent FROM passage GROUP BY ALL),
+        links AS (
+            SELECT m.conv_id, m.turn, f.parent
+            FROM said m
+            JOIN said p ON p.conv_id = m.conv_id AND p.turn = m.turn - 1
+            JOIN firsts f ON f.conv_id = m.conv_id AND f.key = CASE WHEN m.conv_id % 5 = 1
+                THEN trim(regexp_replace(lower(p.l[1]), '\s+', ' ', 'g')) ELSE p.whole END
+            WHERE m.conv_id % 5 <> 0
+        ),
+        climb AS (
+            SELECT conv_id, turn, turn AS top, 0 AS depth FROM said
+            UNION ALL
+            SELECT c.conv_id, c.turn, l.parent, c.depth + 1
+            FROM climb c JOIN links l ON l.conv_id = c.conv_id AND l.turn = c.top
+        ),
+        tops AS (SELECT conv_id, turn, max(depth) AS depth, arg_max(top, depth) AS root FROM climb GROUP BY ALL)
+        SELECT s.conv_id, s.turn, s.role, trim(s.text, chr(10) || chr(13)) AS text, l.parent, t.root,
+               t.depth, s.role || ': ' || trim(s.text, chr(10) || chr(13)) AS chat
+        FROM said s JOIN tops t USING (conv_id, turn) LEFT JOIN links l USING (conv_id, turn)
+    """,
+    "op10_line_dedup": """
+        WITH split AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents),
+        numbered AS (
+            SELECT doc_id, i - 1 AS line_no, l[i] AS raw, trim(l[i], ' ' || chr(9) || chr(13)) AS line
+            FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM split)
+        ),
+        solid AS (
+            SELECT doc_id, line_no, line, row_number() OVER (PARTITION BY doc_id ORDER BY line_no) AS pos
+            FROM numbered WHERE line <> ''
+        ),
+        marked AS (
+            SELECT *, row_number() OVER (PARTITION BY line ORDER BY doc_id, pos) > 1 AS later FROM solid
+        ),
+        edges AS (
+            SELECT *, later AND NOT coalesce(lag(later) OVER (PARTITION BY doc_id ORDER BY pos), FALSE) AS starts FROM marked
+        ),
+        counts AS (
+            SELECT doc_id, count(*) AS n_lines, count(*) FILTER (later) AS n_removed, count(*) FILTER (starts) AS n_runs
+            FROM edges GROUP BY doc_id
+        ),
+        texts AS (
+            SELECT n.doc_id, string_agg(n.raw, chr(10) ORDER BY n.line_no) FILTER (NOT coalesce(m.later, FALSE)) AS kept
+            FROM numbered n LEFT JOIN marked m USING (doc_id, line_no) GROUP BY n.doc_id
+        ),
+        sequences AS (SELECT doc_id, list(line ORDER BY pos) AS s FROM solid GROUP BY doc_id),
+        spans AS (SELECT unnest([1, 2, 4, 8, 16, 32, 64, 128, 256, 512, 1024, 2048, 4096]) AS span),
+        runs AS (
+            SELECT doc_id, span, p, md5(array_to_string(s[p:p + span - 1], chr(10))) AS key
+            FROM (SELECT doc_id, s, span, unnest(range(1, len(s) - span + 2)) AS p FROM sequences, spans)
+        ),
+        copies AS (
+            SELECT doc_id, span, row_number() OVER (PARTITION BY span, key ORDER BY doc_id, p) > 1 AS later FROM runs
+        ),
+        longest AS (SELECT doc_id, max(span) AS longest_copy FROM copies WHERE later GROUP BY doc_id)
+        SELECT d.doc_id, CAST(coalesce(c.n_lines, 0) AS INTEGER) AS n_lines, CAST(coalesce(c.n_removed, 0) AS INTEGER) AS n_removed,
+               CAST(coalesce(c.n_runs, 0) AS INTEGER) AS n_runs, CAST(coalesce(g.longest_copy, 0) AS INTEGER) AS longest_copy,
+               CASE WHEN d.text IS NOT NULL THEN sha256(coalesce(t.kept, '')) END AS kept_sha256
+        FROM documents d LEFT JOIN counts c USING (doc_id) LEFT JOIN texts t USING (doc_id) LEFT JOIN longest g USING (doc_id)
+    """,
 }
