@@ -13,7 +13,7 @@ from pyspark.sql import SparkSession
 
 import __spark_entry__ as contract
 
-TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "boolean": "BOOLEAN"}
+TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "boolean": "BOOLEAN"}
 
 
 def open_tables(sf_dir: str):
@@ -46,7 +46,7 @@ def same_rows(df, result):
         return False, (len(ours), len(theirs))
     # DuckDB may count in wider integers than bigint; any other difference is one.
     wider = {n: (ours_types[n], t) for n, t in theirs_types.items() if ours_types[n] != t}
-    bad = {n: p for n, p in wider.items() if p not in (("BIGINT", "HUGEINT"), ("BIGINT", "INTEGER"))}
+    bad = {n: p for n, p in wider.items() if p not in (("BIGINT", "HUGEINT"), ("BIGINT", "INTEGER"), ("INTEGER", "BIGINT"))}
     return not bad, bad or f"{len(ours)} rows"
 
 
