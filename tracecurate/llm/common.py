@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +28,18 @@ def narrow(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{source}`").alias(name) for name, source in columns.items()])
 
 
+def filter_texts(docs: DataFrame, text_col: str, make: Callable[[], Callable[[list[bytes]], list[bool]]]) -> DataFrame:
+    """The rows of ``docs`` whose text passes; no row moves. ``make`` builds the test once a task."""
+    place = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        test = make()
+        for batch in batches:
+            yield batch.filter(pa.array(test(list(byte_texts(batch.column(place)))), pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def byte_texts(column: pa.Array) -> Iterator[bytes]:
     """The UTF-8 bytes of each text, one at a time; null reads as empty."""
     kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()
@@ -35,9 +47,6 @@ def byte_texts(column: pa.Array) -> Iterator[bytes]:
         yield value.as_py() or b""
 
 
-_MASK = (1 << 64) - 1
-
-
 def _mix(x: np.ndarray) -> np.ndarray:
     """Finalizer that spreads every bit of a 64-bit value."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

@@ -146,6 +146,7 @@ def remove_repeated_lines(docs: DataFrame, min_lines: int = 1) -> DataFrame:
     joined = docs.alias("_d").join(found.alias("_f"), same, "left")
     kept = F.filter(F.split("_d.text", "\n"), lambda x, i: ~F.coalesce(F.try_element_at("_f.gone", i + 1), F.lit(False)))
     text = F.when(F.col("_f.gone").isNull(), F.col("_d.text")).otherwise(F.array_join(kept, "\n"))
-    some = joined.select(*[text.alias("text") if c == "text" else F.col(f"_d.`{c}`").alias(c) for c in docs.columns], F.col("_f.gone").isNotNull().alias("_cut"))
-    left = some.where(~F.col("_cut") | (F.btrim("text", F.lit(" \t\r\n")) != "")).drop("_cut")
-    return left.withColumn("n_chars", F.length("text").cast("bigint")) if "n_chars" in docs.columns else left
+    rows = joined.select(F.struct("_d.*").alias("row"), text.alias("text"), F.col("_f.gone").isNotNull().alias("cut"))
+    new = {"text": F.col("text"), "n_chars": F.length("text").cast("bigint")}
+    left = rows.where(~F.col("cut") | (F.btrim("text", F.lit(" \t\r\n")) != ""))
+    return left.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])

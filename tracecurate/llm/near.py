@@ -230,5 +230,5 @@ def _unlinked(posted: DataFrame, labels: DataFrame) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one document, that of the smallest id, of each group of near-duplicates.
     Of rows that share its id one is kept for each distinct row."""
-    found = near_duplicates(docs, words, percent).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(found, F.col("doc_id") == F.col("_gone"), "left_anti")
+    gone = near_duplicates(docs, words, percent).where("not kept").select("doc_id").distinct()
+    return docs.alias("_d").join(gone.alias("_g"), F.col("_d.doc_id") == F.col("_g.doc_id"), "left_anti")

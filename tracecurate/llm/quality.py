@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import PIECE, byte_texts, narrow, stored, word_hashes
+from .common import PIECE, byte_texts, filter_texts, narrow, stored, word_hashes
 from .language import held_out
 
 STATISTICS = (
@@ -165,3 +165,13 @@ def classify(docs: DataFrame, labels: DataFrame, label_col: str = "quality", par
     stats = stored(document_statistics(docs), "statistics")
     scored = apply(stats, learn(stats, labels, label_col, parts, part))
     return scored.select("doc_id", held_out(F.col("doc_id"), parts, part).alias("held_out"), "score", "predicted")
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, label_col: str = "quality", parts: int = 3, part: int = 1) -> DataFrame:
+    """The rows of ``docs`` that are predicted 1, by a model learned as in ``classify``. The
+    model is small and goes to the rows, so no text moves."""
+    stats = stored(document_statistics(docs), "statistics")
+    model = learn(stats, labels, label_col, parts, part)
+    return filter_texts(
+        docs, "text", lambda: lambda texts: (model.score(np.array([statistics(t) for t in texts]).reshape(-1, len(STATISTICS))) >= 0.5).tolist()
+    )

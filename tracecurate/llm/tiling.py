@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_texts, narrow, shingle_hashes, shingle_runs, word_hashes
+from .common import byte_texts, filter_texts, narrow, shingle_hashes, shingle_runs, word_hashes
 
 BLOCK_BYTES = 16 << 20  # benchmark text in one broadcast
 _PAIRS = 1 << 20  # places compared at once
@@ -210,7 +210,17 @@ def find_leaks(
     return found
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.5, least: int = 5) -> DataFrame:
-    """``docs`` without the documents that leak a benchmark item; null ids are kept."""
-    leaks = find_leaks(docs, benchmark, threshold, least).select(F.col("doc_id").alias("_leaked"))
-    return docs.join(leaks, F.col("doc_id") == F.col("_leaked"), "left_anti")
+def decontaminate(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.5, least: int = 5, text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows whose text leaks a benchmark item; null texts stay."""
+    items = narrow(benchmark, item_id="item_id", text="text").where("text is not null")
+
+    def test(shared):
+        def make():
+            block = Benchmark(shared.value, least)
+            return lambda texts: [not block.leaks(text, threshold) for text in texts]
+
+        return make
+
+    for block in _blocks(items):
+        docs = filter_texts(docs, text_col, test(docs.sparkSession.sparkContext.broadcast(block)))
+    return docs
