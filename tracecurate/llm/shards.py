@@ -85,11 +85,12 @@ def assign_groups(groups: DataFrame, key: str, shards: int, rows: int, per_bin:
         return _pack(groups, key, 1, shards).select(key, F.col("part").alias("shard"))
     parts = shards * bundles
     packed = stored(_pack(groups, key, bins, parts), "bundles")
-    named = packed.select(key, "bytes", F.expr(f"cast(bin as bigint) * {parts} + part").alias("bundle"))
-    above = named.groupBy("bundle").agg(F.sum("bytes").alias("bytes"))
+    bundle = f"{key}_bundle"
+    named = packed.select(key, "bytes", F.expr(f"cast(bin as bigint) * {parts} + part").alias(bundle))
+    above = named.groupBy(bundle).agg(F.sum("bytes").alias("bytes"))
     # At most so many bundles fit in the bins above; each level has fewer.
-    placed = assign_groups(above, "bundle", shards, bins * parts, max(per_bin, 2 * parts), bundles)
-    return named.select(key, "bundle").join(placed, "bundle").select(key, "shard")
+    placed = assign_groups(above, bundle, shards, bins * parts, max(per_bin, 2 * parts), bundles)
+    return named.select(key, bundle).join(placed, bundle).select(key, "shard")
 
 
 def shard_documents(
