@@ -43,8 +43,7 @@ def grams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     found = []
     for start in range(0, len(points), PIECE):  # neighbours overlap by what an n-gram needs
         a = points[start : start + PIECE + 2]
-        last = start + PIECE >= len(points)
-        ones, twos = a if last else a[:-2], a if last else a[:-1]
+        ones, twos = a[:PIECE], a[: PIECE + 1]
         b = twos[:-1] | (twos[1:] << _BITS)
         c = a[:-2] | (a[1:-1] << _BITS) | (a[2:] << 2 * _BITS)
         found.append(np.unique(np.concatenate([ones[ones != _BLANK], b, c[a[1:-1] != _BLANK]]), return_counts=True))

@@ -56,6 +56,8 @@ def _matches(a, b, free_a, free_b, length: int, used: np.ndarray) -> np.ndarray:
     order = np.argsort(hash_b, kind="stable")
     low, high = np.searchsorted(hash_b[order], hash_a, "left"), np.searchsorted(hash_b[order], hash_a, "right")
     counts = high - low
+    if not counts.any():
+        return np.zeros((0, 3), dtype=np.int64)
     out = []
     begin, reach = 0, np.cumsum(counts)
     while begin < len(counts):  # a bounded number of pairs at a time; only starts of matches are kept
@@ -128,7 +130,7 @@ class Benchmark:
     def __init__(self, items: list[tuple[int, bytes]], least: int):
         self.least, self.words = least, {}
         seeds_of, owners, times = [], [], []
-        for k, (item, text) in enumerate(sorted(items)):
+        for k, (item, text) in enumerate(sorted(items, key=lambda x: x[1])):
             words = plain_words(text)
             self.words[k] = (item, words)
             if len(words) >= least:
