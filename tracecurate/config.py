@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from .functions.instructions import GENERATE_SYSTEM, JUDGE_SYSTEM
+
 # --- fixed values: trace states, phrases and keys that decide which rows survive ---
 SUCCESS_STATES = ("OK", "TRACE_STATE_OK")
 HOUSEKEEPING_PHRASES = (
@@ -27,8 +29,12 @@ class ChatTemplate:
 
 @dataclass(frozen=True)
 class CurationConfig:
+    # instructions to the model; the answers keep their grammar (see functions/prompts.py)
+    judge_system: str = JUDGE_SYSTEM
+    generate_system: str = GENERATE_SYSTEM
+
     # what to read and keep
-    max_traces: int | None = 100
+    max_traces: int | None = None
     success_states: tuple[str, ...] = SUCCESS_STATES
     housekeeping_phrases: tuple[str, ...] = HOUSEKEEPING_PHRASES
     session_key: str = SESSION_KEY
@@ -42,7 +48,11 @@ class CurationConfig:
     generate_temperature: float = 0.8
     generate_max_tokens: int = 8192
     eval_max_tokens: int = 512
+    # Calls in flight in each task, tasks, jobs that are committed one by one, and tries.
     concurrency: int = 8
+    call_tasks: int = 8
+    call_waves: int = 4
+    attempts: int = 3
 
     # splits and training plan
     holdout_fraction: float = 0.1

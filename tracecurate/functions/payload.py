@@ -126,6 +126,10 @@ def metadata_value(meta: Column, dtype: T.DataType, key: str) -> Column:
 
 def is_unreadable_metadata(meta: Column, dtype: T.DataType) -> Column:
     """True for metadata text that is neither a JSON object nor a dict literal."""
+    if isinstance(dtype, T.VariantType):
+        text = F.try_variant_get(meta, "$", "string")
+        is_text = F.coalesce(F.schema_of_variant(meta) == "STRING", F.lit(False))
+        return is_text & is_unreadable_metadata(text, T.StringType())
     if not isinstance(dtype, T.StringType):
         return F.lit(False)
     parsed = F.try_parse_json(meta)

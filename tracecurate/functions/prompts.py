@@ -7,60 +7,23 @@ import re
 from pyspark.sql import Column, functions as F
 
 from ..config import ChatTemplate
-from .text import REQUEST_TAG, RESPONSE_TAG, message
-
-JUDGE_SYSTEM = """\
-Rate how useful the last assistant answer of a conversation is as a training example for
-a chat model. Use whole numbers from 1 (useless) to 10 (excellent).
-
-Give 7 or more when the user asks for something concrete and realistic, and the answer is
-correct, on topic, complete and detailed enough to learn from.
-Give 6 or less when the request is vague or trivial, or the answer is empty, very short,
-off topic, unhelpful or cut off.
-
-Answer with these two lines and nothing else:
-Score: <whole number>
-Reason: <one sentence>
-"""
+from .instructions import GENERATE_SYSTEM, JUDGE_SYSTEM
+from .text import message
 
 JUDGE_USER = """\
-The conversation so far:
+[dialogue]
 {{ conversation_str }}
-
-The answer to rate:
+[reply]
 {{ target_response }}
 """
 
-GENERATE_SYSTEM = f"""\
-Write one new training conversation, modelled on an example you are shown. Stay in the
-same field, but do not rephrase the example: ask for something else that a real person
-could want, and answer it fully and in detail.
-
-Answer in this form and add nothing around it:
-<{REQUEST_TAG}>
-the new request
-</{REQUEST_TAG}>
-<{RESPONSE_TAG}>
-the new answer
-</{RESPONSE_TAG}>
-"""
-
 GENERATE_USER = """\
-The example conversation:
+[sample]
 {{ conversation_str }}
-
-Its answer:
+[reply]
 {{ target_response }}
-
-Now write a new conversation from the same field.
-"""
-
-SUPPORT_SYSTEM = """\
-You support the staff of a large company with computer questions. Help them fix problems,
-explain the rules that apply and tell them how to get the access and the tools they need.
 """
 
-
 def render_template(template: str, **columns: Column) -> Column:
     """Fill ``{{ name }}`` slots. Slots are found once, here; filled-in values stay literal."""
     pieces = re.split(r"\{\{\s*(\w+)\s*\}\}", template)
@@ -78,14 +41,16 @@ def dialogue(system: str, user: Column) -> Column:
     return F.array(message("system", F.lit(system)), message("user", user))
 
 
-def judge_messages(conversation: Column, answer: Column) -> Column:
+def judge_messages(conversation: Column, answer: Column, system: str = JUDGE_SYSTEM) -> Column:
     user = render_template(JUDGE_USER, conversation_str=conversation, target_response=answer)
-    return dialogue(JUDGE_SYSTEM, user)
+    return dialogue(system, user)
 
 
-def generate_messages(conversation: Column, answer: Column) -> Column:
+def generate_messages(
+    conversation: Column, answer: Column, system: str = GENERATE_SYSTEM
+) -> Column:
     user = render_template(GENERATE_USER, conversation_str=conversation, target_response=answer)
-    return dialogue(GENERATE_SYSTEM, user)
+    return dialogue(system, user)
 
 
 def chat_text(

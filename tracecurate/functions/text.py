@@ -33,8 +33,6 @@ BLANK_CLASS = r"\s\x1c-\x1f"
 SCORE_PATTERN = rf"(?U)Score:[{BLANK_CLASS}]*([0-9]+)"
 REASON_PATTERN = rf"(?U)Reason:[{BLANK_CLASS}]*([^\n]+)"
 USER_LABEL_PATTERN = rf"(?Ui)^user:[{BLANK_CLASS}]*"
-REQUEST_TAG = "user_request"
-RESPONSE_TAG = "assistant_response"
 USER_PREFIX = "User: "
 ASSISTANT_PREFIX = "Assistant: "
 TURN_BREAK = r"\n(?=User: |Assistant: )"
@@ -51,10 +49,14 @@ def pystrip(text: Column) -> Column:
 def is_placeholder(text: Column, noise: str = PLACEHOLDER_NOISE) -> Column:
     """True for text too short, made of dots only, or one bracketed slot.
 
-    Pass ``noise=BLANK`` to ignore white space only, not backslashes, n and r. The noise
-    is deleted once and the rest is matched once: the anchored pattern gives up early.
+    Pass ``noise=BLANK`` to ignore white space only, not backslashes, n and r. A text is read
+    up to its fifteenth other character; only one that starts like dots or a slot is read on.
     """
-    return F.rlike(F.translate(text, noise, ""), F.lit(PLACEHOLDER_PATTERN))
+    skip = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in noise) + "]*+"
+    long_enough = F.rlike(text, F.lit(rf"(?s)^(?:{skip}.){{15}}"))
+    may_be_slot = F.rlike(text, F.lit(rf"^{skip}[.\[]"))
+    matches = F.rlike(F.translate(text, noise, ""), F.lit(PLACEHOLDER_PATTERN))
+    return F.when(long_enough & ~may_be_slot, F.lit(False)).otherwise(matches)
 
 
 def parse_score(answer: Column) -> Column:

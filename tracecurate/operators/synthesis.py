@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..config import CurationConfig
-from ..functions.text import REQUEST_TAG, RESPONSE_TAG, USER_PREFIX, parse_tag
+from ..functions.instructions import REQUEST_TAG, RESPONSE_TAG
+from ..functions.text import USER_PREFIX, parse_tag
 from .completions import attach_completions, with_generate_key, with_judge_key
-from .scoring import JUDGE_COLUMNS, keep_good, score_keyed
+from .scoring import keep_good, score_keyed
 
 
 def generate_examples(
@@ -28,12 +29,11 @@ def generate_examples(
 def synthetic_judge_input(generated: DataFrame) -> DataFrame:
     """Turn generated pairs into examples to judge.
 
-    The first judgement's columns go, and so do generations without both parts: they can
-    never become training rows, so the model is not asked about them.
+    Generations without both parts go: they can never become training rows, so the model is
+    not asked about them.
     """
     return (
-        generated.drop(*JUDGE_COLUMNS)
-        .filter(F.col("generated_request").isNotNull() & F.col("generated_response").isNotNull())
+        generated.filter(F.col("generated_request").isNotNull() & F.col("generated_response").isNotNull())
         .withColumns(
             {
                 "example_id": F.concat_ws("#", "example_id", "generation_idx"),
