@@ -29,29 +29,30 @@ def expected_draw(keys, size, seed):
 
 
 @pytest.mark.parametrize("size", [1, 2, 499, 999, 1000])
-@pytest.mark.parametrize("to_sort", [1, 10_000])
-def test_draw_is_the_smallest_places(spark, monkeypatch, size, to_sort):
-    monkeypatch.setattr(splits, "_ROWS_TO_SORT", to_sort)
+def test_draw_is_the_smallest_places(spark, size):
     df = rows(spark, 1000)
     chosen = ids(df.filter(splits.draw(df, size, seed=7)))
     assert chosen == expected_draw(ids(df), size, 7)
 
 
-def test_a_known_row_count_changes_nothing(spark):
-    df = rows(spark, 300)
-    for size in (1, 150, 300):
-        known = ids(df.filter(splits.draw(df, size, rows=300)))
-        assert known == ids(df.filter(splits.draw(df, size))) == expected_draw(ids(df), size, 42)
-
-
 def test_prefixes_are_followed_to_the_end(spark, monkeypatch):
-    """One hex digit per step and no sorting: many steps, same rows."""
-    monkeypatch.setattr(splits, "_ROWS_TO_SORT", 0)
+    """Other steps, same rows."""
     monkeypatch.setattr(splits, "_DIGITS_PER_STEP", 8)
     df = rows(spark, 200)
     assert ids(df.filter(splits.draw(df, 77))) == expected_draw(ids(df), 77, 42)
 
 
+def test_groups_are_not_divided(spark):
+    df = spark.range(90).select(
+        F.concat(F.lit("e"), "id").alias("example_id"),
+        F.when(F.col("id") % 10 != 9, F.concat(F.lit("s"), F.col("id") % 25)).alias("session_id"),
+    )
+    found = splits.split_groups(df, "session_id").collect()
+    drawn = expected_draw({f"s{i % 25}" for i in range(90) if i % 10 != 9}, 2, 42)
+    assert {r.session_id for r in found if r.split == "holdout"} == drawn
+    assert all((r.split == "holdout") == (r.session_id in drawn) for r in found)
+
+
 def test_parts_are_disjoint_and_whole(spark):
     df = rows(spark, 155)
     holdout, rest = splits.split_holdout(df)

@@ -4,9 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.text import USER_PREFIX, is_placeholder, preview, pystrip, strip_user_label
-
-_SKIP_PREVIEW = 80
+from ..functions.text import USER_PREFIX, is_placeholder, pystrip, strip_user_label
 
 
 def _training(rows: DataFrame, source: str, text: Column, answer: Column) -> DataFrame:
@@ -60,8 +58,8 @@ def synthetic_skipped(synthetic: DataFrame) -> DataFrame:
         .select(
             "example_id",
             "reason",
-            preview(F.col("_request"), _SKIP_PREVIEW).alias("request_preview"),
-            preview(F.col("_response"), _SKIP_PREVIEW).alias("response_preview"),
+            F.col("_request").alias("request"),
+            F.col("_response").alias("response"),
         )
     )
 

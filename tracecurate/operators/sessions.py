@@ -54,9 +54,9 @@ def _history_by_blocks(turns: DataFrame, block_turns: int) -> DataFrame:
     """The same for long sessions, split into blocks of consecutive turns.
 
     A turn's history is what came in earlier blocks plus what came earlier in its own.
-    The first is built once per block and joined to the block's rows, so the quadratic
-    work is spread over the blocks of a session. What one task still holds is one copy of
-    the session, which the example of its last turn holds as well.
+    The first is put together once per block and joined to the block's rows, so the
+    quadratic work is spread over the blocks of a session. A task holds the histories of its
+    blocks; that of a last turn is the whole session, as the result has it.
     """
     partitions = int(turns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     numbered = _number_large_sessions(turns).withColumn(
@@ -71,17 +71,34 @@ def _history_by_blocks(turns: DataFrame, block_turns: int) -> DataFrame:
     )
     in_order = F.sort_array(F.collect_list(F.struct("turn_no", "turn")))
     blocks = numbered.groupBy("session_id", "_block").agg(in_order["turn"].alias("_turns"))
-    by_block = Window.partitionBy("session_id").orderBy("_block")
-    earlier = blocks.select(
-        "session_id",
-        "_block",
-        F.flatten(
-            F.collect_list("_turns").over(by_block.rowsBetween(Window.unboundedPreceding, -1))
-        ).alias("_earlier"),
+    last = numbered.groupBy("session_id").agg(F.max("_block").alias("_last"))
+    # Every block goes to each later one of its session, so what came before a block is put
+    # together in the block's own task, not in one for the whole session.
+    sent = (
+        blocks.join(last, "session_id")
+        .filter("_block < _last")
+        .select(
+            "session_id",
+            F.explode(F.sequence(F.col("_block") + 1, "_last")).alias("_to"),
+            "_block",
+            "_turns",
+        )
+    )
+    parts = F.sort_array(F.collect_list(F.struct("_block", "_turns")))
+    earlier = (
+        sent.groupBy("session_id", "_to")
+        .agg(F.flatten(parts["_turns"]).alias("_earlier"))
+        .withColumnRenamed("_to", "_block")
     )
+    # The size of the histories is not that of the input, so they are never broadcast.
     return (
-        rows.join(earlier, ["session_id", "_block"])
-        .withColumn("history", F.concat("_earlier", "_recent"))
+        rows.join(earlier.hint("merge"), ["session_id", "_block"], "left")
+        .withColumn(
+            "history",
+            F.when(F.col("_earlier").isNull(), F.col("_recent")).otherwise(
+                F.concat("_earlier", "_recent")
+            ),
+        )
         .drop("_block", "_recent", "_earlier")
     )
 

@@ -12,28 +12,30 @@ import math
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..config import CurationConfig
+from ..sources.staging import materialize
 from .numbering import number_rows
 
 _DIGITS_PER_STEP = 4
 _HASH_DIGITS = 32
-# Once at most this many rows are left to choose from, they are simply sorted.
-_ROWS_TO_SORT = 10_000
 
 
 def lottery(key: str, seed: int) -> Column:
     return F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))))
 
 
-def _kth_place(draws: DataFrame, k: int, rows: int | None):
+def _kth_place(draws: DataFrame, k: int):
     """The k-th smallest ``(place, key)`` of a table with columns ``place, key``.
 
+    Prefixes grow until one row is left, in tables of any size.
+
     Each step counts the rows under every continuation of the prefix found so far: at most
     16**4 = 65,536 counts however large the table, which is why the running sum over them
     may be an unpartitioned window.
     """
     prefix, left = "", k
     running = Window.orderBy("digits").rowsBetween(Window.unboundedPreceding, -1)
-    while len(prefix) < _HASH_DIGITS and (rows is None or rows > _ROWS_TO_SORT):
+    rows = None
+    while len(prefix) < _HASH_DIGITS and rows != 1:
         counts = (
             draws.filter(F.startswith("place", F.lit(prefix)))
             .groupBy(F.substring("place", 1, len(prefix) + _DIGITS_PER_STEP).alias("digits"))
@@ -48,19 +50,16 @@ def _kth_place(draws: DataFrame, k: int, rows: int | None):
     return last.agg(F.max(F.struct("place", "key")).alias("last")).first()["last"]
 
 
-def draw(
-    df: DataFrame, size: int, key: str = "example_id", seed: int = 42, rows: int | None = None
-) -> Column:
+def draw(df: DataFrame, size: int, key: str = "example_id", seed: int = 42) -> Column:
     """Predicate that is true for exactly ``size`` rows of ``df``.
 
     ``key`` must be unique and ``df`` a stored table: its key column is read a few times.
-    ``rows``, if known, saves the prefix counts of a small table.
     """
     if size <= 0:
         return F.lit(False)
     place = lottery(key, seed)
     draws = df.select(place.alias("place"), F.col(key).cast("string").alias("key"))
-    last = _kth_place(draws, size, rows)
+    last = _kth_place(draws, size)
     return (place < last["place"]) | (
         (place == last["place"]) & (F.col(key).cast("string") <= last["key"])
     )
@@ -100,7 +99,7 @@ def split_holdout(
 ) -> tuple[DataFrame, DataFrame]:
     """The holdout and the remaining rows. Each is a filter on ``training``."""
     rows = training.count()
-    chosen = draw(training, holdout_size(rows, config), key, config.seed, rows)
+    chosen = draw(training, holdout_size(rows, config), key, config.seed)
     return training.filter(chosen), training.filter(~chosen)
 
 
@@ -110,5 +109,18 @@ def split_validation(
     """``trainval`` with a ``split`` column, ``train`` or ``validation``."""
     # Another salt than the holdout's, or the rows next in its lottery would be drawn.
     rows = trainval.count()
-    chosen = draw(trainval, validation_size(rows, config), key, config.seed + 1, rows)
+    chosen = draw(trainval, validation_size(rows, config), key, config.seed + 1)
     return trainval.withColumn("split", F.when(chosen, "validation").otherwise("train"))
+
+
+def split_groups(
+    df: DataFrame, group: str, config: CurationConfig = CurationConfig()
+) -> DataFrame:
+    """``df`` with a ``split`` column, ``holdout`` or ``train``, that divides no group.
+
+    The share is one of groups: that many distinct values of ``group`` are drawn, and their
+    rows follow by a filter. Rows without a group are ``train``.
+    """
+    groups = materialize(df.filter(F.col(group).isNotNull()).select(group).distinct(), "groups")
+    chosen = draw(groups, holdout_size(groups.count(), config), group, config.seed)
+    return df.withColumn("split", F.when(chosen, "holdout").otherwise("train"))
