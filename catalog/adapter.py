@@ -21,7 +21,12 @@ def traces(spark: SparkSession, sf_dir: str) -> DataFrame:
     answers = rows.filter("role = 'assistant'").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("answer")
     )
-    joined = rows.filter("role = 'user'").join(answers, ["conv_id", "turn"], "left")
+    told = rows.filter("role = 'system'").groupBy("conv_id").agg(F.min_by("text", "turn").alias("told"))
+    joined = (
+        rows.filter("role = 'user'")
+        .join(answers, ["conv_id", "turn"], "left")
+        .join(told, "conv_id", "left")
+    )
 
     conv, turn = F.col("conv_id"), F.col("turn")
     prefix = F.when((conv + turn) % 19 == 0, "Please REVIEW the conversation above. ").otherwise("")
@@ -40,6 +45,7 @@ def traces(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("state"),
         F.concat(prefix, "text").alias("asked"),
         F.coalesce("answer", F.lit("")).alias("answered"),
+        "told",
         # Every encoding of metadata: none, a dict literal, quoted JSON, plain JSON.
         F.when(conv % 5 == 0, "{}")
         .when(
@@ -55,7 +61,7 @@ def traces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return base.withColumns(
         {"request": _request(), "response": _response(), "spans": _spans()}
-    ).drop("conv_id", "turn", "asked", "answered")
+    ).drop("conv_id", "turn", "asked", "answered", "told")
 
 
 def _is_object():
@@ -63,7 +69,9 @@ def _is_object():
 
 
 def _request():
-    messages = F.array(message("system", F.lit("Be brief.")), message("user", F.col("asked")))
+    asked = message("user", F.col("asked"))
+    with_system = F.array(message("system", F.col("told")), asked)
+    messages = F.when(F.col("told").isNotNull(), with_system).otherwise(F.array(asked))
     as_object = F.parse_json(F.to_json(F.struct(messages.alias("messages"))))
     return F.when(_is_object(), as_object).otherwise(F.col("asked").cast("variant"))
 
@@ -121,11 +129,14 @@ def _spans():
 
 
 def prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A prompt corpus: the first user message of each conversation, grouped by tone."""
-    users = table(spark, sf_dir, "conversations").filter("role = 'user'")
-    first = users.groupBy("conv_id").agg(F.min("turn").alias("turn"))
-    return users.join(first, ["conv_id", "turn"]).select(
-        "conv_id",
-        F.when(F.contains("text", F.lit("?")), "question").otherwise("statement").alias("category"),
-        F.col("text").alias("prompt"),
+    """A prompt corpus: every user message, grouped by tone."""
+    return (
+        table(spark, sf_dir, "conversations")
+        .filter("role = 'user'")
+        .select(
+            "conv_id",
+            "turn",
+            F.when(F.contains("text", F.lit("?")), "question").otherwise("statement").alias("category"),
+            F.col("text").alias("prompt"),
+        )
     )

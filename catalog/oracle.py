@@ -5,6 +5,7 @@ from __future__ import annotations
 from tracecurate.functions import prompts as P
 
 _REQUEST, _RESPONSE = "user_request", "assistant_response"
+_SEED_SYSTEM = "Answer in full."
 
 
 def _text(value: str) -> str:
@@ -219,12 +220,10 @@ _CTES = {
       'tuned ' || md5(input || output) AS finetuned_response
     FROM holdout""",
     "prompts": """
-    SELECT row_number() OVER (ORDER BY conv_id) AS prompt_index,
+    SELECT row_number() OVER (ORDER BY conv_id, turn) AS prompt_index,
       CASE WHEN contains(text, '?') THEN 'question' ELSE 'statement' END AS category,
       text AS prompt
-    FROM conversations c
-    WHERE role = 'user' AND turn = (SELECT min(turn) FROM conversations d
-                                    WHERE d.conv_id = c.conv_id AND d.role = 'user')""",
+    FROM conversations WHERE role = 'user'""",
 }
 
 
@@ -276,7 +275,16 @@ _SELECTS = {
     "session_id": "SELECT trace_id, session_id FROM traces",
     "clean_turns": "SELECT session_id, trace_id, request_time_ms, request, response FROM turns",
     "traces_csv_roundtrip": """SELECT trace_id, request_time_ms, state, request, response,
-        session_id FROM normalized""",
+        session_id, trace_id || '-root,' || trace_id || '-child' AS span_ids,
+        to_json({'text': t.answered})::VARCHAR AS child_outputs, length(t.asked)::VARCHAR AS input_length
+        FROM normalized JOIN (SELECT trace_id, asked, answered FROM traces) t USING (trace_id)""",
+    "quarantined_traces": """SELECT trace_id, request_time_ms, 'unreadable metadata' AS reason
+        FROM turns WHERE request_time_ms % 3 = 0""",
+    "traces_json_roundtrip": """
+        SELECT 'trace' AS kind, trace_id, session_id, request_time_ms, state, request, response
+        FROM normalized WHERE request_time_ms % 5 <> 0
+        UNION ALL SELECT 'broken', NULL, NULL, NULL, NULL, NULL, NULL
+        FROM normalized WHERE request_time_ms % 5 = 0""",
     "session_search": """SELECT session_id, count(*) AS traces,
         min(request_time_ms) AS first_time_ms, max(request_time_ms) AS last_time_ms
         FROM traces GROUP BY session_id""",
@@ -305,6 +313,10 @@ _SELECTS = {
     "sessionize": "SELECT session_id, example_id AS trace_id, turn_no, request, response FROM examples",
     "unroll_examples": """SELECT example_id, session_id, turn_no, 2 * turn_no - 1 AS n_messages,
         conversation_str, target_response FROM examples""",
+    "unroll_examples_blocks": """SELECT example_id, session_id, turn_no,
+        2 * turn_no - 1 AS n_messages, conversation_str, target_response FROM examples""",
+    "sessionize_range": """SELECT session_id, example_id AS trace_id, turn_no, request, response
+        FROM examples""",
     "format_transcript": "SELECT example_id, conversation_str AS transcript FROM examples",
     "parse_transcript": _parsed("examples"),
     "last_user_message": "SELECT example_id, request AS user_input FROM examples",
@@ -367,8 +379,8 @@ _SELECTS = {
         FROM kept""",
     "training_curated": "SELECT * FROM real_rows",
     "training_synthetic": "SELECT * FROM synthetic_rows",
-    "synthetic_skipped": """SELECT example_id, reason, substr(req, 1, 80) AS request_preview,
-        substr(res, 1, 80) AS response_preview FROM reasoned WHERE reason IS NOT NULL""",
+    "synthetic_skipped": """SELECT example_id, reason, req AS request, res AS response
+        FROM reasoned WHERE reason IS NOT NULL""",
     "training_data": "SELECT * FROM training",
     "training_csv_roundtrip": "SELECT source, input, output FROM training",
     "source_counts": "SELECT source, count(*) AS rows FROM training GROUP BY source",
@@ -385,6 +397,12 @@ _SELECTS = {
     "holdout_split": "SELECT * FROM holdout",
     "trainval_split": "SELECT * FROM rest",
     "train_val_split": "SELECT example_id, split FROM assigned",
+    "group_split": """
+        SELECT example_id, session_id, CASE WHEN place <= round_even(CAST(0.1 AS DOUBLE) * n, 0)
+          THEN 'holdout' ELSE 'train' END AS split
+        FROM examples JOIN (
+          SELECT session_id, row_number() OVER (ORDER BY md5(session_id || ':42'), session_id) AS place,
+            count(*) OVER () AS n FROM (SELECT DISTINCT session_id FROM examples)) USING (session_id)""",
     "split_counts": """SELECT split, count(*) AS rows FROM (
         SELECT split FROM assigned UNION ALL SELECT 'holdout' FROM holdout) GROUP BY split""",
     "training_plan": """SELECT n AS train_rows, n // 8 AS steps_per_epoch,
@@ -404,10 +422,10 @@ _SELECTS = {
         FROM compared""",
     "prompt_corpus": "SELECT prompt_index, category, prompt FROM prompts",
     "prompt_requests": _messages(
-        _copy_key(_key("seed", 1.0, 0, P.SUPPORT_SYSTEM, "prompt"), "prompt_index")
+        _copy_key(_key("seed", 1.0, 0, _SEED_SYSTEM, "prompt"), "prompt_index")
         + " AS request_key, 'seed' AS stage, prompt_index",
         "prompts",
-        P.SUPPORT_SYSTEM,
+        _SEED_SYSTEM,
         "prompt",
     ),
     "trace_tags": """
@@ -421,6 +439,10 @@ _SELECTS = {
         {_strip("prompt")} AS request,
         CASE WHEN prompt LIKE '%?' THEN '' ELSE 'echo ' || md5(prompt) END AS response
         FROM prompts""",
+    "seeded_turns": f"""SELECT 'run-1-' || prompt_index AS session_id,
+        'run-1-' || prompt_index AS trace_id, prompt_index AS request_time_ms,
+        {_strip("prompt")} AS request, 'echo ' || md5(prompt) AS response
+        FROM prompts WHERE prompt NOT LIKE '%?'""",
     "seed_preview": """SELECT prompt_index, substr(prompt, 1, 80) AS prompt,
         CASE WHEN prompt NOT LIKE '%?' THEN 'echo ' || md5(prompt) END AS answer,
         prompt LIKE '%?' AS failed FROM prompts""",

@@ -30,8 +30,10 @@ from tracecurate.sources.staging import materialize, new_stage_path
 from . import stubs
 from .adapter import prompts, table, traces
 
-CONFIG = CurationConfig(max_traces=None, copies=3)
-RUN_ID = "run-1"
+CONFIG = CurationConfig(copies=3)
+# The same with limits that send every session down the paths for long ones.
+LONG = CurationConfig(copies=3, hot_session_turns=1, long_history_turns=1, history_block_turns=2)
+RUN_ID, SYSTEM = "run-1", "Answer in full."
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -228,11 +230,13 @@ def clean_turns(spark, sf_dir):
 @query
 def traces_csv_roundtrip(spark, sf_dir):
     path = new_stage_path(spark, "traces-csv")
-    flat = tables.flatten_for_csv(traces(spark, sf_dir).drop("spans"))
+    whole = traces(spark, sf_dir)
+    flat = tables.flatten_for_csv(whole)
     tables.write_csv(flat, path)
     back = tables.read_csv(spark, path, flat.schema)
     payloads = back.withColumns(
         {name: F.parse_json(name) for name in ("request", "response")}
+        | {"spans": F.from_json("spans", whole.schema["spans"].dataType)}
     )
     return payloads.select(
         "trace_id",
@@ -241,6 +245,48 @@ def traces_csv_roundtrip(spark, sf_dir):
         ingest.request_text(payloads).alias("request"),
         ingest.response_text(payloads).alias("response"),
         ingest.session_id(payloads, CONFIG.session_key).alias("session_id"),
+        F.array_join(F.transform("spans", lambda s: s["span_id"]), ",").alias("span_ids"),
+        F.to_json(F.col("spans")[1]["outputs"]).alias("child_outputs"),
+        F.col("spans")[0]["attributes"]["Input.length"].alias("input_length"),
+    )
+
+
+@query
+def quarantined_traces(spark, sf_dir):
+    """A third of the traces with metadata that nothing can be read from."""
+    rows = traces(spark, sf_dir)
+    broken = F.when(F.col("timestamp_ms") % 3 == 0, "no metadata at all").otherwise(F.col("trace_metadata"))
+    found = ingest.quarantined_traces(rows.withColumn("trace_metadata", broken), CONFIG)
+    return found.select("trace_id", millis("request_time", "request_time_ms"), "reason")
+
+
+@query
+def traces_json_roundtrip(spark, sf_dir):
+    """Lines of the old and the new layout, and lines that broke off."""
+    rows = traces(spark, sf_dir)
+    kind = F.col("timestamp_ms") % 5
+    new = F.to_json(F.struct(*[c for c in rows.columns if c != "timestamp_ms"]))
+    old = F.to_json(
+        F.struct(
+            "trace_id",
+            "timestamp_ms",
+            F.col("state").alias("status"),
+            "request",
+            "response",
+            F.col("trace_metadata").alias("request_metadata"),
+            "spans",
+        )
+    )
+    path = new_stage_path(spark, "traces-json")
+    line = F.when(kind == 0, F.substring(new, 1, 40)).when(kind < 3, old).otherwise(new)
+    rows.select(line.alias("value")).write.text(path)
+    back = tables.read_traces(spark, path, "json")
+    read = ingest.normalize_traces(back.filter("_corrupt_record is null"), CONFIG)
+    broken = ingest.quarantined_traces(back, CONFIG).filter("reason = 'unreadable line'")
+    return read.select(
+        F.lit("trace").alias("kind"), "trace_id", "session_id", millis("request_time", "request_time_ms"), "state", "request", "response"
+    ).unionByName(
+        broken.select(F.lit("broken").alias("kind")), allowMissingColumns=True
     )
 
 
@@ -296,10 +342,9 @@ def span_attr_filter(spark, sf_dir):
 # ---- sessions and examples ----
 
 
-@query
-def sessionize(spark, sf_dir):
+def numbered_turns(spark, sf_dir, config):
     found, sizes = turns_and_sizes(spark, sf_dir)
-    return sessions.sessionize(found, CONFIG, sizes).select(
+    return sessions.sessionize(found, config, sizes).select(
         "session_id",
         "trace_id",
         F.col("turn_no").cast("bigint").alias("turn_no"),
@@ -309,8 +354,18 @@ def sessionize(spark, sf_dir):
 
 
 @query
-def unroll_examples(spark, sf_dir):
-    return examples(spark, sf_dir).select(
+def sessionize(spark, sf_dir):
+    return numbered_turns(spark, sf_dir, CONFIG)
+
+
+@query
+def sessionize_range(spark, sf_dir):
+    """The same by range partitioning, which is how hot sessions are numbered."""
+    return numbered_turns(spark, sf_dir, LONG)
+
+
+def listed_examples(found):
+    return found.select(
         "example_id",
         "session_id",
         F.col("turn_no").cast("bigint").alias("turn_no"),
@@ -320,6 +375,18 @@ def unroll_examples(spark, sf_dir):
     )
 
 
+@query
+def unroll_examples(spark, sf_dir):
+    return listed_examples(examples(spark, sf_dir))
+
+
+@query
+def unroll_examples_blocks(spark, sf_dir):
+    """The same by way of blocks, which is how long histories are built."""
+    found, sizes = turns_and_sizes(spark, sf_dir)
+    return listed_examples(sessions.unroll_examples(found, LONG, sizes))
+
+
 @query
 def format_transcript(spark, sf_dir):
     return examples(spark, sf_dir).select(
@@ -643,6 +710,13 @@ def train_val_split(spark, sf_dir):
     return assigned(spark, sf_dir).select("example_id", "split")
 
 
+@query
+def group_split(spark, sf_dir):
+    """Whole sessions to the holdout."""
+    found = stored_examples(spark, sf_dir).select("example_id", "session_id")
+    return splits.split_groups(found, "session_id", CONFIG)
+
+
 @query
 def split_counts(spark, sf_dir):
     found = stored_training(spark, sf_dir)
@@ -702,7 +776,7 @@ def eval_preview(spark, sf_dir):
 
 
 def numbered_prompts(spark, sf_dir):
-    return seeding.number_prompts(prompts(spark, sf_dir), "conv_id")
+    return seeding.number_prompts(prompts(spark, sf_dir), "conv_id", "turn")
 
 
 @query
@@ -716,7 +790,7 @@ def prompt_corpus(spark, sf_dir):
 
 @query
 def prompt_requests(spark, sf_dir):
-    requests = seeding.prompt_requests(numbered_prompts(spark, sf_dir))
+    requests = seeding.prompt_requests(numbered_prompts(spark, sf_dir), SYSTEM)
     return one_row_per_message(requests, F.col("messages"), "request_key", "stage", "prompt_index")
 
 
@@ -734,7 +808,7 @@ def trace_tags(spark, sf_dir):
 @query
 def seed_traces(spark, sf_dir):
     corpus = numbered_prompts(spark, sf_dir)
-    seeded = seeding.seed_traces(corpus, stubs.seed_answers(corpus), RUN_ID)
+    seeded = seeding.seed_traces(corpus, stubs.seed_answers(corpus, SYSTEM), RUN_ID, SYSTEM)
     return seeded.select(
         "trace_id",
         "run_name",
@@ -744,7 +818,17 @@ def seed_traces(spark, sf_dir):
     )
 
 
+@query
+def seeded_turns(spark, sf_dir):
+    """Clean turns of a seeded store, curated as it is."""
+    corpus = numbered_prompts(spark, sf_dir)
+    seeded = seeding.seed_traces(corpus, stubs.seed_answers(corpus, SYSTEM), RUN_ID, SYSTEM)
+    return ingest.clean_turns(seeded, CONFIG).select(
+        "session_id", "trace_id", millis("request_time", "request_time_ms"), "request", "response"
+    )
+
+
 @query
 def seed_preview(spark, sf_dir):
     corpus = numbered_prompts(spark, sf_dir)
-    return seeding.seed_preview(corpus, stubs.seed_answers(corpus))
+    return seeding.seed_preview(corpus, stubs.seed_answers(corpus, SYSTEM), SYSTEM)

@@ -79,9 +79,9 @@ def generate_answers(curated: DataFrame, config: CurationConfig) -> DataFrame:
     return _stored(with_generate_key(curated, config), generate_text(), "generate-answers")
 
 
-def seed_answers(prompts: DataFrame) -> DataFrame:
+def seed_answers(prompts: DataFrame, system: str) -> DataFrame:
     """Answers to all prompts but those ending in a question mark."""
-    answered = with_prompt_key(prompts).filter(~F.endswith("prompt", F.lit("?")))
+    answered = with_prompt_key(prompts, system).filter(~F.endswith("prompt", F.lit("?")))
     return _stored(answered, F.concat(F.lit("echo "), F.md5("prompt")), "seed-answers")
 
 

@@ -98,6 +98,38 @@ def test_resume_asks_nothing_twice(spark, tmp_path, waves):
     assert asked(calls) == 3
 
 
+def test_a_late_failure_costs_no_answer(spark, tmp_path):
+    """One of twenty calls fails: nineteen answers are kept, and only one is asked again."""
+    calls, path = str(tmp_path / "calls"), new_stage_path(spark, "answers")
+    note = noting(calls)
+
+    def failing(messages, temperature, max_tokens):
+        if "q19" in messages[1]["content"]:
+            raise RuntimeError("over capacity")
+        return note(messages, temperature, max_tokens)
+
+    requests = completions.judge_requests(examples(spark, *[(f"User: q{i:02d}", "b") for i in range(20)]))
+    with pytest.raises(RuntimeError, match="1 requests have no answer.*over capacity"):
+        completions.complete_pending(requests, path, failing, 3, 2, tasks=4, attempts=2)
+    assert completions.read_responses(spark, path).count() == asked(calls) == 19
+    assert [r.error for r in completions.read_failures(spark, path).collect()] == ["RuntimeError: over capacity"]
+    assert completions.complete_pending(requests, path, note, 3, 2, tasks=4).count() == asked(calls) == 20
+    assert completions.read_failures(spark, path).count() == 0
+
+
+def test_calls_of_a_task_are_in_flight_together(spark):
+    import time
+
+    def slow(messages, temperature, max_tokens):
+        time.sleep(0.5)
+        return "Score: 5"
+
+    requests = completions.judge_requests(examples(spark, *[(f"User: {i}", "b") for i in range(16)]))
+    begin = time.time()
+    assert completions.complete_with(requests, slow, 16, 1).count() == 16
+    assert time.time() - begin < 6
+
+
 def test_scores_from_the_model(spark, tmp_path):
     df = examples(spark, ("User: a", "b"), ("User: a", "bb"))
     path = new_stage_path(spark, "answers")
@@ -186,7 +218,7 @@ def test_judge_input_replaces_the_first_judgement(spark):
     assert [(r.example_id, r.conversation_str, r.target_response) for r in rows] == [
         ("e0#1", "User: new q", "new a")
     ]
-    assert not set(rows[0].asDict()) & set(scoring.JUDGE_COLUMNS)
+    assert not {"quality_score", "judge_content", "judge_reason"} & set(rows[0].asDict())
 
 
 def test_eval_rows_match_by_id(spark):
@@ -212,7 +244,7 @@ def test_run_names_keep_long_numbers(spark):
 
 def test_seeding_reports_failed_prompts(spark):
     prompts = spark.createDataFrame([(1, "a"), (2, "b")], "prompt_index int, prompt string")
-    keyed = seeding.with_prompt_key(prompts).filter("prompt_index = 1")
+    keyed = seeding.with_prompt_key(prompts, "Be kind.").filter("prompt_index = 1")
     answers = keyed.select("request_key", F.lit("fine").alias("raw"))
-    got = seeding.seed_traces(prompts, answers, "run").orderBy("run_name").collect()
+    got = seeding.seed_traces(prompts, answers, "run", "Be kind.").orderBy("run_name").collect()
     assert [(r.state, r.tags["prompt_index"]) for r in got] == [("OK", "1"), ("ERROR", "2")]

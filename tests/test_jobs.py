@@ -15,7 +15,7 @@ from tracecurate.schema import EVAL_RESULTS, TRAINING
 from tracecurate.sources import tables
 from tracecurate.sources.staging import new_stage_path
 
-CONFIG = CurationConfig(max_traces=None, copies=2, concurrency=2)
+CONFIG = CurationConfig(copies=2, concurrency=2, call_tasks=2, call_waves=1, attempts=1)
 
 
 def model(notes):
@@ -135,6 +135,44 @@ def test_no_traces_at_all(spark):
     assert set(counts.values()) == {0}
 
 
+def test_a_seeded_store_runs_through(spark, tmp_path):
+    """Seeding, curation, preparation and evaluation from the CSV export of the holdout."""
+    prompts = spark.createDataFrame(
+        [(i, f"how do I set up printer number {i} on floor {i % 3}") for i in range(1, 31)],
+        "prompt_index int, prompt string",
+    )
+    answer = lambda messages, temperature, max_tokens: "first " + messages[1]["content"]
+    seeded = jobs.run_seeding(prompts, answer, new_stage_path(spark, "seed"), "Be kind.", "r", CONFIG)
+    out = new_stage_path(spark, "run")
+    counts = jobs.run_curation(seeded.unionByName(seeded), model(str(tmp_path / "c")), out, CONFIG)
+    assert (counts["traces"], counts["repeated_traces"], counts["examples"]) == (60, 30, 30)
+    prep = new_stage_path(spark, "prep")
+    plan = jobs.run_preparation(spark.read.parquet(f"{out}/training_data"), prep, CONFIG)
+    assert plan["over_budget"] == 0 and "n_tokens" in spark.read.parquet(f"{prep}/train").columns
+    holdout = tables.read_csv(spark, f"{prep}/holdout_csv", TRAINING)
+    last = lambda messages, temperature, max_tokens: messages[-1]["content"]
+    results = jobs.run_evaluation(holdout, last, last, new_stage_path(spark, "eval"), CONFIG)
+    assert results.count() == holdout.count() > 0
+
+
+def test_rows_that_share_an_id_are_refused(spark):
+    rows = spark.createDataFrame([("a", "s", "User: q", "o")] * 2, "example_id string, source string, input string, output string")
+    with pytest.raises(ValueError, match="distinct values of example_id"):
+        jobs.run_preparation(rows, new_stage_path(spark, "prep"), CONFIG)
+    with pytest.raises(ValueError, match="distinct values of example_id"):
+        jobs.run_evaluation(rows, None, None, new_stage_path(spark, "eval"), CONFIG)
+
+
+def test_unreadable_traces_are_stored_and_counted(spark):
+    rows = traces(spark, SF_DIR)
+    broken = rows.withColumn("trace_metadata", F.when(F.col("timestamp_ms") % 2 == 0, "junk").otherwise("{}"))
+    out = new_stage_path(spark, "run")
+    counts = jobs.run_curation(broken, lambda *a: "Score: 1", out, CONFIG, csv=False)
+    kept = spark.read.parquet(f"{out}/quarantine")
+    assert counts["traces"] == 48 and counts["quarantined"] == kept.count() > 0
+    assert counts["quarantined"] + counts["examples"] == 29
+
+
 def test_the_newest_traces_only(spark):
     few = jobs.build_examples(traces(spark, SF_DIR), CurationConfig(max_traces=10))
     newest = {
@@ -194,14 +232,13 @@ def test_seeded_traces_can_be_curated(spark):
             raise RuntimeError("no answer")
         return "like this: " + messages[1]["content"]
 
-    seeded = jobs.run_seeding(prompts, complete, out, "run-7", 2)
+    seeded = jobs.run_seeding(prompts, complete, out, "Be kind.", "run-7", CONFIG)
     assert sorted((r.run_name, r.state) for r in seeded.collect()) == [
         ("trace-001", "OK"), ("trace-002", "ERROR"), ("trace-003", "OK")
     ]
-    found = seeded.withColumns(
-        {"trace_metadata": F.lit("{}"), "timestamp_ms": F.lit(1).cast("bigint")}
-    )
-    turns = ingest.clean_turns(found).orderBy("trace_id").collect()
+    reasons = {r.run_name: r.error for r in seeded.collect()}
+    assert reasons == {"trace-001": None, "trace-002": "RuntimeError: no answer", "trace-003": None}
+    turns = ingest.clean_turns(seeded).orderBy("trace_id").collect()
     # The run's session id is a tag, not trace metadata: each trace is its own session.
     assert [(r.session_id, r.request, r.response) for r in turns] == [
         ("run-7-1", "how do I print", "like this: how do I print"),

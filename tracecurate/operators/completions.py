@@ -7,8 +7,8 @@ read: ``complete_pending`` writes answers to a table, and nothing else calls the
 from __future__ import annotations
 
 import json
-import logging
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.errors import AnalysisException
@@ -48,7 +48,9 @@ def with_judge_key(
     examples: DataFrame, stage: str = "judge", config: CurationConfig = CurationConfig()
 ) -> DataFrame:
     require_columns(examples, ["conversation_str", "target_response"])
-    messages = judge_messages(F.col("conversation_str"), F.col("target_response"))
+    messages = judge_messages(
+            F.col("conversation_str"), F.col("target_response"), config.judge_system
+        )
     return examples.withColumn(
         "request_key",
         request_key(stage, messages, config.judge_temperature, config.judge_max_tokens),
@@ -58,12 +60,14 @@ def with_judge_key(
 def judge_requests(
     examples: DataFrame, stage: str = "judge", config: CurationConfig = CurationConfig()
 ) -> DataFrame:
-    """One judge request per example. Only rendered here; the join carries the key alone."""
+    """One judge request per example."""
     return with_judge_key(examples, stage, config).select(
         "request_key",
         F.lit(stage).alias("stage"),
         "example_id",
-        judge_messages(F.col("conversation_str"), F.col("target_response")).alias("messages"),
+        judge_messages(
+            F.col("conversation_str"), F.col("target_response"), config.judge_system
+        ).alias("messages"),
         F.lit(config.judge_temperature).alias("temperature"),
         F.lit(config.judge_max_tokens).alias("max_tokens"),
     )
@@ -84,7 +88,9 @@ def with_generate_key(
     require_columns(seeds, ["conversation_str", "target_response"])
     prompt = request_key(
         "generate",
-        generate_messages(F.col("conversation_str"), F.col("target_response")),
+        generate_messages(
+            F.col("conversation_str"), F.col("target_response"), config.generate_system
+        ),
         config.generate_temperature,
         config.generate_max_tokens,
     )
@@ -106,7 +112,9 @@ def generate_requests(
         F.lit("generate").alias("stage"),
         "example_id",
         "generation_idx",
-        generate_messages(F.col("conversation_str"), F.col("target_response")).alias("messages"),
+        generate_messages(
+            F.col("conversation_str"), F.col("target_response"), config.generate_system
+        ).alias("messages"),
         F.lit(config.generate_temperature).alias("temperature"),
         F.lit(config.generate_max_tokens).alias("max_tokens"),
     )
@@ -122,12 +130,11 @@ def dedupe_requests(requests: DataFrame) -> DataFrame:
 def pending_requests(
     requests: DataFrame, responses: DataFrame | None, unique_keys: bool = False
 ) -> DataFrame:
-    """Distinct requests that have no answer yet. ``unique_keys`` tells that no two share
-    a key, which saves the shuffle that would find them."""
-    distinct = requests if unique_keys else dedupe_requests(requests)
-    if responses is None:
-        return distinct
-    return distinct.join(responses.select("request_key"), "request_key", "left_anti")
+    """Distinct requests that have no answer yet. Answered ones go before their copies are
+    looked for. ``unique_keys`` tells that no two share a key, which saves that shuffle."""
+    if responses is not None:
+        requests = requests.join(responses.select("request_key"), "request_key", "left_anti")
+    return requests if unique_keys else dedupe_requests(requests)
 
 
 def attach_completions(
@@ -144,48 +151,62 @@ def attach_completions(
 
 
 def complete_with(
-    requests: DataFrame, complete: Completer, concurrency: int = 8, skip_errors: bool = False
+    requests: DataFrame,
+    complete: Completer,
+    concurrency: int = 8,
+    tasks: int = 8,
+    attempts: int = 1,
 ) -> DataFrame:
-    """Ask the model for every request: ``concurrency`` tasks, one call in flight in each.
+    """Ask the model for every request: ``(request_key, raw, error)``.
 
-    With ``skip_errors`` a failing call is logged and leaves its request unanswered, to be
-    asked again by the next run; otherwise it fails the task.
+    ``tasks`` is how many parts the requests are dealt into, ``concurrency`` how many calls
+    each has in flight. A call that fails ``attempts`` times gives a row with the error and
+    no answer, so it costs none of the answers around it.
     """
 
     def ask(messages: str, temperature: float, max_tokens: int):
-        try:
-            return complete(json.loads(messages), temperature, max_tokens)
-        except Exception as error:
-            if not skip_errors:
-                raise
-            logging.getLogger(__name__).warning("no completion: %s", error)
-            return None
+        for left in reversed(range(max(1, attempts))):
+            try:
+                return complete(json.loads(messages), temperature, max_tokens), None
+            except Exception as error:
+                if not left:
+                    return None, f"{type(error).__name__}: {error}"
 
     def answer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            answers = [
-                ask(*row)
-                for row in zip(batch["messages"], batch["temperature"], batch["max_tokens"])
-            ]
-            plain = [a if isinstance(a, str) else None for a in answers]
-            parts = [None if a is None or isinstance(a, str) else json.dumps(a) for a in answers]
-            yield pd.DataFrame({"request_key": batch["request_key"], "plain": plain, "parts": parts})
+        with ThreadPoolExecutor(max(1, concurrency)) as pool:
+            for batch in batches:
+                found = list(
+                    pool.map(ask, batch["messages"], batch["temperature"], batch["max_tokens"])
+                )
+                answers = [a for a, _ in found]
+                text = [a if isinstance(a, str) else None for a in answers]
+                parts = [
+                    None if a is None or isinstance(a, str) else json.dumps(a) for a in answers
+                ]
+                yield pd.DataFrame(
+                    {
+                        "request_key": batch["request_key"],
+                        "plain": text,
+                        "parts": parts,
+                        "error": [e for _, e in found],
+                    }
+                )
 
     return (
         requests.select(
             "request_key", F.to_json("messages").alias("messages"), "temperature", "max_tokens"
         )
-        .repartition(concurrency)
-        .mapInPandas(answer, "request_key string, plain string, parts string")
-        .filter("plain is not null or parts is not null")
+        .repartition(tasks)
+        .mapInPandas(answer, "request_key string, plain string, parts string, error string")
         .select(
             "request_key",
             F.coalesce(F.parse_json("parts"), F.col("plain").cast("variant")).alias("raw"),
+            "error",
         )
     )
 
 
-def read_responses(spark: SparkSession, path: str) -> DataFrame | None:
+def _read(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.schema(RESPONSES).parquet(path)
     except AnalysisException as error:
@@ -194,6 +215,21 @@ def read_responses(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+def read_responses(spark: SparkSession, path: str) -> DataFrame | None:
+    """The answers stored at ``path``, None if there is no such table."""
+    found = _read(spark, path)
+    return None if found is None else found.filter(F.col("raw").isNotNull()).drop("error")
+
+
+def read_failures(spark: SparkSession, path: str) -> DataFrame:
+    """``(request_key, error)``: one reason for each request that has still no answer."""
+    found = _read(spark, path)
+    failed = found.groupBy("request_key").agg(
+        F.max("error").alias("error"), F.count_if(F.col("raw").isNotNull()).alias("answers")
+    )
+    return failed.filter("answers = 0 and error is not null").drop("answers")
+
+
 def complete_pending(
     requests: DataFrame,
     path: str,
@@ -202,16 +238,26 @@ def complete_pending(
     waves: int = 1,
     skip_errors: bool = False,
     unique_keys: bool = False,
+    tasks: int = 8,
+    attempts: int = 1,
 ) -> DataFrame:
     """Answer what has no answer in the table at ``path`` yet, append it there, return all.
 
-    With several ``waves`` the requests are answered in as many jobs, and an interrupted
-    run repeats only the wave it was in.
+    The requests are answered in ``waves``, jobs that are committed one by one, so a lost
+    driver costs one wave. Failed calls are stored with their reason and asked again by the
+    next run. Unless ``skip_errors``, a run that leaves some raises in the end, when all
+    other answers are stored.
     """
     spark = requests.sparkSession
     for wave in range(waves):
         part = requests.filter(F.pmod(F.xxhash64("request_key"), F.lit(waves)) == wave)
         pending = pending_requests(part, read_responses(spark, path), unique_keys)
-        answers = complete_with(pending, complete, concurrency, skip_errors)
+        answers = complete_with(pending, complete, concurrency, tasks, attempts)
         answers.write.mode("append").parquet(path)
+    if not skip_errors:
+        asked = requests.select("request_key").distinct()
+        failures = read_failures(spark, path).join(asked, "request_key", "left_semi")
+        count, reason = failures.agg(F.count("*"), F.max("error")).first()
+        if count:
+            raise RuntimeError(f"{count} requests have no answer; one of the reasons: {reason}")
     return read_responses(spark, path)

@@ -8,6 +8,7 @@ from operator import or_
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..config import ATTRIBUTE_WORDS
+from .ingest import nth_newest
 
 
 def session_search(traces: DataFrame) -> DataFrame:
@@ -23,27 +24,27 @@ def session_trace(traces: DataFrame, position: int = 1) -> DataFrame:
     """The k-th trace of every session, as a flat row.
 
     ``traces`` carries ``session_id`` and ``request_time``; payloads are best taken apart
-    after the pick. Spark keeps only the first k rows per session before the shuffle, so a large session
-    sends k rows per input partition.
+    after the pick. Only ids and times are ranked, and the first k of a session are kept
+    before the shuffle; the traces picked are then looked up by id.
     """
     by_time = Window.partitionBy("session_id").orderBy("request_time", "trace_id")
-    return (
-        traces.withColumn("_position", F.row_number().over(by_time))
+    picked = (
+        traces.select("session_id", "request_time", "trace_id")
+        .withColumn("_position", F.row_number().over(by_time))
         .filter(F.col("_position") <= position)
         .filter(F.col("_position") == position)
-        .drop("_position")
+        .select("session_id", "trace_id")
     )
+    return traces.join(picked, ["session_id", "trace_id"], "left_semi")
 
 
 def nth_trace(traces: DataFrame, position: int) -> DataFrame:
-    """The k-th newest trace of the whole store."""
-    newest_first = (F.col("request_time").desc(), F.col("trace_id"))
-    first_k = traces.orderBy(*newest_first).limit(position)
-    # k rows are left, so numbering them in one task is bounded.
-    return (
-        first_k.withColumn("_position", F.row_number().over(Window.orderBy(*newest_first)))
-        .filter(F.col("_position") == position)
-        .drop("_position")
+    """The k-th newest trace of the whole store, found from times and ids alone."""
+    last = nth_newest(traces.select(F.col("request_time").alias("at"), "trace_id"), position)
+    if last is None:
+        return traces.filter(F.lit(False))
+    return traces.filter(
+        (F.unix_micros("request_time") == last["age"]) & (F.col("trace_id") == last["trace_id"])
     )
 
 

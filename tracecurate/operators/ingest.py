@@ -9,15 +9,35 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..config import CurationConfig
 from ..functions import payload
-from ..schema import require_columns
+from ..schema import CORRUPT, require_columns
 
 
 def scan_traces(traces: DataFrame, max_results: int | None) -> DataFrame:
-    """The newest traces, cut before any filter; ``None`` reads all."""
+    """The newest traces, cut before any filter; ``None`` reads all.
+
+    The place of the cut is found from times and ids alone; the traces are then filtered
+    where they are, in as many tasks as before. Copies of the trace at the cut all stay.
+    """
     if max_results is None:
         return traces
-    at = event_time(traces)
-    return traces.orderBy(at.desc(), "trace_id").limit(max_results)
+    if max_results < 1:
+        return traces.filter(F.lit(False))
+    last = nth_newest(traces.select(event_time(traces).alias("at"), "trace_id"), max_results)
+    if last is None:
+        return traces
+    age, key = F.unix_micros(event_time(traces)), F.col("trace_id")
+    return traces.filter((age > last["age"]) | ((age == last["age"]) & (key <= last["trace_id"])))
+
+
+def nth_newest(rows: DataFrame, position: int):
+    """The row at a place of ``(at, trace_id)`` rows, newest first; None beyond the end."""
+    first = rows.orderBy(F.col("at").desc(), "trace_id").limit(position)
+    ages = first.groupBy(F.unix_micros("at").alias("age")).agg(
+        F.max("trace_id").alias("trace_id"), F.count("*").alias("n")
+    )
+    # The last has the least time and, among those, the greatest id.
+    found = ages.agg(F.sum("n").alias("n"), F.min(F.struct("age", "trace_id")).alias("last")).first()
+    return found["last"] if found["n"] == position else None
 
 
 def event_time(traces: DataFrame) -> Column:
@@ -26,20 +46,26 @@ def event_time(traces: DataFrame) -> Column:
     for name in ("request_time", "timestamp_ms"):
         if name in traces.columns:
             dtype = traces.schema[name].dataType
+            number = F.nullif(F.col(name).try_cast("bigint"), F.lit(0))
             if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
                 found.append(F.col(name).cast("timestamp"))
+            elif isinstance(dtype, T.StringType):
+                # Digits are milliseconds, anything else a date; what is neither has no time.
+                found += [F.timestamp_millis(number), F.try_to_timestamp(F.col(name))]
             else:
-                found.append(F.timestamp_millis(F.nullif(F.col(name).cast("bigint"), F.lit(0))))
+                found.append(F.timestamp_millis(number))
     return F.coalesce(*found, F.timestamp_millis(F.lit(0)))
 
 
 def state(traces: DataFrame) -> Column:
-    return F.col("status" if "status" in traces.columns else "state")
+    """``status``, else ``state``, row by row."""
+    names = [n for n in ("status", "state") if n in traces.columns]
+    return F.coalesce(*[F.col(n) for n in names or require_columns(traces, ["state"]).columns])
 
 
 def _metadata_columns(traces: DataFrame) -> list[str]:
-    names = [n for n in ("trace_metadata", "request_metadata") if n in traces.columns]
-    return names or require_columns(traces, ["trace_metadata"]).columns
+    """The metadata columns that are there; without any, no trace has metadata."""
+    return [n for n in ("trace_metadata", "request_metadata") if n in traces.columns]
 
 
 def _of_first_metadata(traces: DataFrame, expression, empty: Column) -> Column:
@@ -121,6 +147,8 @@ def _real_turns(traces: DataFrame, config: CurationConfig) -> DataFrame:
     payloads are taken apart.
     """
     require_columns(traces, ["trace_id", "request", "response"])
+    if CORRUPT in traces.columns:
+        traces = traces.filter(F.col(CORRUPT).isNull())
     request, response = F.col("request"), F.col("response")
     return (
         normalize_traces(traces.filter(is_success(traces, config.success_states)), config)
@@ -141,9 +169,26 @@ def clean_turns(traces: DataFrame, config: CurationConfig = CurationConfig()) ->
 def quarantined_traces(
     traces: DataFrame, config: CurationConfig = CurationConfig()
 ) -> DataFrame:
-    """Traces that would be turns but whose metadata cannot be read."""
-    return (
+    """What cannot be used for want of being readable: traces that would be turns but for
+    their metadata, and lines that are no traces, with ``record`` the whole line."""
+    found = (
         _real_turns(traces, config)
         .filter("unreadable_metadata")
-        .select("trace_id", "request_time", F.lit("unreadable metadata").alias("reason"))
+        .select(
+            "trace_id",
+            "request_time",
+            F.lit("unreadable metadata").alias("reason"),
+            F.lit(None).cast("string").alias("record"),
+        )
+    )
+    if CORRUPT not in traces.columns:
+        return found
+    # Spark refuses to read the record column alone, so the filter, true for any id, names another.
+    size = F.length("trace_id")
+    broken = traces.filter(F.col(CORRUPT).isNotNull() & (size.isNull() | (size >= 0))).select(
+        "trace_id",
+        F.lit(None).cast("timestamp").alias("request_time"),
+        F.lit("unreadable line").alias("reason"),
+        F.col(CORRUPT).alias("record"),
     )
+    return found.unionByName(broken)

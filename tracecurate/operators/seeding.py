@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.prompts import SUPPORT_SYSTEM, dialogue
+from ..functions.prompts import dialogue
 from ..functions.text import preview
 from .completions import attach_completions, copy_key, request_key
 from .numbering import number_rows
@@ -51,14 +51,14 @@ def _messages(system: str) -> Column:
     return dialogue(system, F.col("prompt"))
 
 
-def with_prompt_key(prompts: DataFrame, system: str = SUPPORT_SYSTEM) -> DataFrame:
+def with_prompt_key(prompts: DataFrame, system: str) -> DataFrame:
     # The index is in the key: a prompt that occurs twice is asked twice.
     prompt = request_key("seed", _messages(system), _TEMPERATURE, _MAX_TOKENS)
     key = copy_key(prompt, F.col("prompt_index"))
     return prompts.withColumn("request_key", key)
 
 
-def prompt_requests(prompts: DataFrame, system: str = SUPPORT_SYSTEM) -> DataFrame:
+def prompt_requests(prompts: DataFrame, system: str) -> DataFrame:
     """A fixed system message and the prompt, one request per prompt."""
     return with_prompt_key(prompts, system).select(
         "request_key",
@@ -71,28 +71,46 @@ def prompt_requests(prompts: DataFrame, system: str = SUPPORT_SYSTEM) -> DataFra
 
 
 def seed_traces(
-    prompts: DataFrame, responses: DataFrame, run_id: str, system: str = SUPPORT_SYSTEM
+    prompts: DataFrame,
+    responses: DataFrame,
+    run_id: str,
+    system: str,
+    failures: DataFrame | None = None,
 ) -> DataFrame:
-    """Prompts and their answers as traces; an unanswered prompt becomes a failed trace."""
-    answered = attach_completions(with_prompt_key(prompts, system), responses, "answer")
+    """Prompts and their answers as traces; an unanswered prompt becomes a failed trace, with
+    its reason in ``error`` if ``failures`` has one.
+
+    Traces are as old as their place in the corpus says: number 1 is a millisecond old. They
+    name no session, so each is one of its own.
+    """
+    keyed = with_prompt_key(prompts, system)
+    if failures is not None:
+        reasons = failures.select("request_key", "error")
+        keyed = keyed.join(reasons, "request_key", "left")
+    else:
+        keyed = keyed.withColumn("error", F.lit(None).cast("string"))
+    answered = attach_completions(keyed, responses, "answer")
     reply = F.struct(
         F.lit("assistant").alias("role"), F.col("answer").alias("content")
     ).alias("message")
     has_answer = F.col("answer").isNotNull()
     return tag_prompts(answered, run_id).select(
         F.concat_ws("-", F.lit(run_id), "prompt_index").alias("trace_id"),
+        F.timestamp_millis(F.col("prompt_index").cast("bigint")).alias("request_time"),
         "run_name",
         "tags",
         F.when(has_answer, "OK").otherwise("ERROR").alias("state"),
+        F.lit("{}").alias("trace_metadata"),
         F.to_variant_object(F.struct(_messages(system).alias("messages"))).alias("request"),
         F.when(
             has_answer, F.to_variant_object(F.struct(F.array(F.struct(reply)).alias("choices")))
         ).alias("response"),
+        F.when(~has_answer, F.col("error")).alias("error"),
     )
 
 
 def seed_preview(
-    prompts: DataFrame, responses: DataFrame, system: str = SUPPORT_SYSTEM
+    prompts: DataFrame, responses: DataFrame, system: str
 ) -> DataFrame:
     """A listing of the run: the beginning of each prompt and of its answer, if it has one."""
     answered = attach_completions(with_prompt_key(prompts, system), responses, "answer")

@@ -21,10 +21,11 @@ from ..operators.completions import (
     complete_pending,
     generate_requests,
     judge_requests,
+    read_failures,
     with_judge_key,
 )
-from ..operators.ingest import clean_turns, scan_traces
-from ..operators.report import training_plan, turn_counts
+from ..operators.ingest import clean_turns, quarantined_traces, scan_traces
+from ..operators.report import length_budget, training_plan, turn_counts, words
 from ..operators.scoring import (
     keep_good,
     passes,
@@ -41,6 +42,7 @@ from ..operators.synthesis import (
     keep_synthetic,
     synthetic_judge_input,
 )
+from ..schema import require_columns
 from ..sources.staging import materialize
 from ..sources.tables import write_csv
 
@@ -134,7 +136,10 @@ def run_curation(
             f"{out}/responses/{stage}",
             complete,
             config.concurrency,
+            config.call_waves,
             unique_keys=unique_keys,
+            tasks=config.call_tasks,
+            attempts=config.attempts,
         )
 
     def store(df: DataFrame, name: str) -> DataFrame:
@@ -144,7 +149,14 @@ def run_curation(
         if csv:
             write_csv(df, f"{out}/{name}_csv")
 
-    turns = store(clean_turns(scan_traces(traces, config.max_traces), config), "turns")
+    scanned = scan_traces(traces, config.max_traces)
+    turns = store(clean_turns(scanned, config), "turns")
+    quarantine = store(quarantined_traces(scanned, config), "quarantine")
+    delivered, repeated = turns.count(), 0
+    distinct = turns.select("trace_id").distinct().count()
+    if distinct < delivered:  # a trace that was delivered twice is one example
+        repeated = delivered - distinct
+        turns = store(turns.dropDuplicates(["trace_id"]), "distinct_turns")
     # Histories are most of the data. They are stored and shuffled once, as messages; the
     # transcript is rendered from them wherever it is read.
     stored = store(unroll_examples(turns, config).drop("conversation_str"), "examples")
@@ -186,6 +198,9 @@ def run_curation(
     first, generated = judged_seen.get, written_seen.get["rows"]
     second, final = rejudged_seen.get, assembled_seen.get
     return {
+        "traces": scanned.count(),
+        "quarantined": quarantine.count(),
+        "repeated_traces": repeated,
         "sessions": turn_counts(turns).first()["sessions"],
         "examples": first["rows"],
         "kept": first["kept"],
@@ -198,24 +213,40 @@ def run_curation(
     }
 
 
+def _with_unique_ids(rows: DataFrame) -> DataFrame:
+    """Splits and joins go by ``example_id``; rows that share one are an error of the input."""
+    found = rows.agg(F.count("*").alias("n"), F.count_distinct("example_id").alias("ids")).first()
+    if found["ids"] < found["n"]:
+        raise ValueError(f"{found['n']} rows have {found['ids']} distinct values of example_id")
+    return rows
+
+
 def run_preparation(
     training: DataFrame,
     out: str,
     config: CurationConfig = CurationConfig(),
     template: ChatTemplate = ChatTemplate(),
     csv: bool = True,
+    tokens=words,
 ) -> dict[str, int]:
-    """Training rows to a holdout and to chat texts below ``out``; returns sizes and plan."""
+    """Training rows to a holdout and to chat texts below ``out``; returns sizes and plan.
+
+    Chat texts come with their length in ``tokens``, what the sequence cap leaves of it, and
+    whether it cuts; ``report.truncate_tokens`` does the cutting.
+    """
     if "example_id" not in training.columns:
         training = with_example_id(training)
-    training = materialize(training, "training", f"{out}/training")
+    training = _with_unique_ids(materialize(training, "training", f"{out}/training"))
     prepared = prepare(training, config, template)
     prepared.holdout.write.mode("overwrite").parquet(f"{out}/holdout")
     if csv:
         write_csv(prepared.holdout.drop("example_id"), f"{out}/holdout_csv")
-    prepared.validation.write.mode("overwrite").parquet(f"{out}/validation")
-    train = materialize(prepared.train, "train", f"{out}/train")
-    return training_plan(train, config).first().asDict()
+    measured = length_budget(prepared.validation, "text", config, tokens)
+    measured.write.mode("overwrite").parquet(f"{out}/validation")
+    train = length_budget(prepared.train, "text", config, tokens)
+    train = materialize(train, "train", f"{out}/train")
+    over = train.filter("over_budget").count()
+    return training_plan(train, config).first().asDict() | {"over_budget": over}
 
 
 def run_evaluation(
@@ -226,7 +257,14 @@ def run_evaluation(
     config: CurationConfig = CurationConfig(),
     csv: bool = True,
 ) -> DataFrame:
-    """Both models' answers to the holdout side by side, stored below ``out``."""
+    """Both models' answers to the holdout side by side, stored below ``out``.
+
+    ``holdout`` may be the stored table or its CSV export, which has no ids.
+    """
+    require_columns(holdout, ["source", "input", "output"])
+    if "example_id" not in holdout.columns:
+        holdout = with_example_id(holdout)
+    holdout = _with_unique_ids(materialize(holdout, "holdout", f"{out}/holdout"))
 
     def answers(model: str, complete: Completer) -> DataFrame:
         responses = complete_pending(
@@ -234,6 +272,9 @@ def run_evaluation(
             f"{out}/responses/{model}",
             complete,
             config.concurrency,
+            config.call_waves,
+            tasks=config.call_tasks,
+            attempts=config.attempts,
         )
         return eval_answers(holdout, responses, model, config)
 
@@ -251,18 +292,24 @@ def run_seeding(
     prompts: DataFrame,
     complete: Completer,
     out: str,
+    system: str,
     run_id: str | None = None,
-    concurrency: int = 8,
+    config: CurationConfig = CurationConfig(),
 ) -> DataFrame:
-    """Ask the model every prompt of a corpus and store the traces below ``out``."""
+    """Ask the model every prompt of a corpus under the caller's ``system`` text and store
+    the traces below ``out``. They can be curated as they are."""
+    path = f"{out}/responses/seed"
     responses = complete_pending(
-        prompt_requests(prompts),
-        f"{out}/responses/seed",
+        prompt_requests(prompts, system),
+        path,
         complete,
-        concurrency,
+        config.concurrency,
+        config.call_waves,
         skip_errors=True,
         unique_keys=True,
+        tasks=config.call_tasks,
+        attempts=config.attempts,
     )
-    return materialize(
-        seed_traces(prompts, responses, run_id or new_run_id()), "traces", f"{out}/traces"
-    )
+    failures = read_failures(prompts.sparkSession, path)
+    traces = seed_traces(prompts, responses, run_id or new_run_id(), system, failures)
+    return materialize(traces, "traces", f"{out}/traces")

@@ -27,6 +27,7 @@ TRACES = T.StructType(
         T.StructField("request_time", T.TimestampType()),
         T.StructField("timestamp_ms", T.LongType()),
         T.StructField("state", T.StringType()),
+        T.StructField("status", T.StringType()),
         T.StructField("request", T.VariantType()),
         T.StructField("response", T.VariantType()),
         T.StructField("trace_metadata", T.StringType()),
@@ -35,8 +36,15 @@ TRACES = T.StructType(
     ]
 )
 
+# Holds a line or row that could not be read, whole.
+CORRUPT = "_corrupt_record"
+
 RESPONSES = T.StructType(
-    [T.StructField("request_key", T.StringType()), T.StructField("raw", T.VariantType())]
+    [
+        T.StructField("request_key", T.StringType()),
+        T.StructField("raw", T.VariantType()),
+        T.StructField("error", T.StringType()),
+    ]
 )
 
 TRAINING = T.StructType(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..schema import TRACES
+from ..schema import CORRUPT, TRACES
 
 # Quotes are doubled, blanks at both ends are kept and texts may hold line breaks.
 CSV_WRITE = {
@@ -36,9 +36,15 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
 
 
 def read_traces(spark: SparkSession, path: str, file_format: str = "parquet") -> DataFrame:
-    """Traces as JSON lines or parquet; a JSON payload keeps its kind as VARIANT."""
+    """Traces as JSON lines or parquet; a JSON payload keeps its kind as VARIANT.
+
+    A JSON line that cannot be read is a row of nulls with the line in ``_corrupt_record``;
+    ``ingest.quarantined_traces`` lists these.
+    """
     if file_format == "json":
-        return _guarded(spark.read.schema(TRACES).json, path)
+        schema = T.StructType([*TRACES, T.StructField(CORRUPT, T.StringType())])
+        reader = spark.read.schema(schema).option("columnNameOfCorruptRecord", CORRUPT)
+        return _guarded(reader.json, path)
     return read_table(spark, path)
 
 
