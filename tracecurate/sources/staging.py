@@ -13,13 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def stage_dir(spark: SparkSession) -> str:
+    """The folder in ``spark.checkpoint.dir``, else the one set on the context. Only a session
+    on one machine, as in tests, gets a temporary folder if it has neither."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if context.getCheckpointDir() is None:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="tracecurate-"))
     return context.getCheckpointDir().rstrip("/")
 
