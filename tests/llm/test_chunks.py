@@ -63,6 +63,13 @@ def test_edges(make_docs, edge_pairs):
     assert chunks.remove_repeats(make_docs([])).collect() == []
 
 
+def test_rows_of_one_id_are_told_apart(make_docs):
+    a, b = words(20, 200), words(21, 200)
+    pairs = [(1, a), (2, a), (2, b), (2, b), (3, b)]
+    kept = sorted((r.doc_id, r.text) for r in chunks.remove_repeats(make_docs(pairs)).collect())
+    assert kept == sorted([(1, a), (2, ""), (2, b), (2, b), (3, "")])
+
+
 def test_copies_lose_all_but_the_first(make_docs):
     text = "é" * 3 + words(9, 400) + "ü"
     kept = {r.doc_id: r.text for r in chunks.remove_repeats(make_docs([(3, text), (1, text), (2, text)])).collect()}

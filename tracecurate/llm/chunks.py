@@ -74,20 +74,22 @@ def cuts(text: bytes) -> np.ndarray:
 
 
 def chunk_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, chunk, start, bytes, digest) of every chunk of every text, in bytes of UTF-8."""
+    """(doc_id, version, chunk, start, bytes, digest) of every chunk of every text, in bytes of
+    UTF-8. ``version`` tells apart rows of one id with different texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, chunks, starts, sizes, digests = [], [], [], [], []
             held = 0
-            for doc, text in zip(batch.column(0).to_pylist(), byte_texts(batch.column(1)), strict=True):
+            rows_of = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), byte_texts(batch.column(2)), strict=True)
+            for doc, version, text in rows_of:
                 ends = cuts(text)
                 begins = np.concatenate([[0], ends[:-1]]).astype(np.int64)[: len(ends)]
                 view = memoryview(text)
                 for k in range(0, len(ends), 50_000):
                     a, b = begins[k : k + 50_000], ends[k : k + 50_000]
                     digests += [hashlib.blake2b(view[x:y], digest_size=12).digest() for x, y in zip(a.tolist(), b.tolist(), strict=True)]
-                    ids.append((doc, len(a)))
+                    ids.append((doc, version, len(a)))
                     chunks.append(np.arange(k, k + len(a), dtype=np.int64))
                     starts.append(a)
                     sizes.append(b - a)
@@ -99,22 +101,24 @@ def chunk_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                 yield pack(ids, chunks, starts, sizes, digests)
 
     def pack(ids, chunks, starts, sizes, digests) -> pa.RecordBatch:
-        docs_of = pa.array([d for d, _ in ids], id_type).take(pa.array(np.repeat(np.arange(len(ids)), [n for _, n in ids])))
+        owner = pa.array(np.repeat(np.arange(len(ids)), [n for _, _, n in ids]))
         return pa.RecordBatch.from_arrays(
             [
-                docs_of,
+                pa.array([d for d, _, _ in ids], id_type).take(owner),
+                pa.array([v for _, v, _ in ids], pa.int32()).take(owner),
                 pa.array(np.concatenate(chunks)),
                 pa.array(np.concatenate(starts)),
                 pa.array(np.concatenate(sizes).astype(np.int32)),
                 pa.array(digests, pa.binary()),
             ],
-            ["doc_id", "chunk", "start", "bytes", "digest"],
+            ["doc_id", "version", "chunk", "start", "bytes", "digest"],
         )
 
     rows = narrow(docs, doc_id=id_col, text=text_col).where("doc_id is not null and text is not null")
+    rows = rows.select("doc_id", F.hash("text").alias("version"), "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
     id_type = pa.string() if kind == "string" else pa.int32() if kind == "int" else pa.int64()
-    return rows.mapInArrow(run, f"doc_id {kind}, chunk bigint, start bigint, bytes int, digest binary")
+    return rows.mapInArrow(run, f"doc_id {kind}, version int, chunk bigint, start bigint, bytes int, digest binary")
 
 
 def find_repeats(docs: DataFrame, least_bytes: int = 64, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -123,28 +127,32 @@ def find_repeats(docs: DataFrame, least_bytes: int = 64, id_col: str = "doc_id",
     A stretch is a run of neighbouring chunks that each occurred before, in a document of a
     smaller id or earlier in the same one, of at least ``least_bytes``; ``first_doc_id`` is
     the smallest document that holds one of its chunks. Documents without an id, null and
-    empty texts are in no row. Rows of one id count as one document; if their texts are
-    equal, the copies are not told apart and stay.
+    empty texts are in no row. Rows of one id and text are one document, so neither is a copy
+    of the other; rows of one id and different texts are compared like any two.
     """
+    return _stretches(docs, least_bytes, id_col, text_col).drop("version")
+
+
+def _stretches(docs: DataFrame, least_bytes: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     chunks = stored(chunk_table(docs, id_col, text_col), "chunks")
-    place = F.struct("doc_id", "chunk", "start")
+    place = F.struct("doc_id", "version", "chunk")
     firsts = chunks.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first < last")
     # A digest with many copies is one row here; its copies are on the side that can be split.
     firsts = firsts.select(F.col("digest").alias("_digest"), "first")
     copies = (
         chunks.join(firsts, F.col("digest") == F.col("_digest"))
-        .where(F.struct("doc_id", "chunk", "start") > F.col("first"))
-        .select("doc_id", "chunk", "start", (F.col("start") + F.col("bytes")).alias("end"), F.col("first.doc_id").alias("first_doc_id"))
+        .where(place > F.col("first"))
+        .select("doc_id", "version", "chunk", "start", (F.col("start") + F.col("bytes")).alias("end"), F.col("first.doc_id").alias("first_doc_id"))
     )
-    order = W.partitionBy("doc_id").orderBy("chunk", "start")
+    order = W.partitionBy("doc_id", "version").orderBy("chunk")
     return (
         copies.withColumn("run", F.col("chunk") - F.dense_rank().over(order))
-        .groupBy("doc_id", "run")
+        .groupBy("doc_id", "version", "run")
         .agg(
             F.min("first_doc_id").alias("first_doc_id"),
             F.min("start").alias("start"),
             F.max("end").alias("end"),
-            F.count("*").alias("chunks"),
+            F.count_distinct("chunk").alias("chunks"),
         )
         .where(F.col("end") - F.col("start") >= least_bytes)
         .drop("run")
@@ -154,8 +162,8 @@ def find_repeats(docs: DataFrame, least_bytes: int = 64, id_col: str = "doc_id",
 def remove_repeats(docs: DataFrame, least_bytes: int = 64) -> DataFrame:
     """``docs`` with the repeated stretches cut out of ``text``; where a cut falls inside a
     character, that character stays. Other columns and rows are kept as they are."""
-    spans = find_repeats(docs, least_bytes).groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_spans"))
-    spans = spans.withColumnRenamed("doc_id", "_doc")
+    found = _stretches(docs, least_bytes).groupBy("doc_id", "version")
+    spans = found.agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("_spans"))
 
     @F.pandas_udf("string")
     def cut(texts, cuts_of):
@@ -178,5 +186,8 @@ def remove_repeats(docs: DataFrame, least_bytes: int = 64) -> DataFrame:
             out.append(b"".join([*kept, data[at:]]).decode())
         return pd.Series(out)
 
-    joined = docs.join(spans, docs["doc_id"] == spans["_doc"], "left")
-    return joined.select(*[cut(docs["text"], "_spans").alias("text") if c == "text" else docs[c] for c in docs.columns])
+    joined = docs.alias("_d").join(
+        spans.alias("_s"), (F.col("_d.doc_id") == F.col("_s.doc_id")) & (F.hash("_d.text") == F.col("_s.version")), "left"
+    )
+    text = cut(F.col("_d.text"), F.col("_s._spans")).alias("text")
+    return joined.select(*[text if c == "text" else F.col(f"_d.`{c}`").alias(c) for c in docs.columns])
