@@ -8,7 +8,10 @@ with enough of them are confirmed on their full shingle sets.
 
 Documents with equal sets are one class from the start. In a posting list, members are first
 compared with one of them; only what is then still in different components is compared
-further. So a large group of near copies is linked without its square of pairs.
+further. So a large group of near copies is linked without its square of pairs. Before a pair
+is formed, bitmaps of the two sets must allow it: they hold for each of 1,024 bins whether
+the set has an odd number of shingles there, so as many bins differ as shingles at most, and
+no pair that reaches the threshold is turned away.
 """
 
 from __future__ import annotations
@@ -19,18 +22,19 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import byte_texts, narrow, seeds, shingle_hashes, stored, word_hashes
 from .components import components
 
-COORDINATES = 32
+COORDINATES = 64
 MISS = 2e-7  # chance that a pair right at the threshold shows too few equal coordinates
 
 _FACTORS = seeds(COORDINATES, 5000) | np.uint64(1)
 _OFFSETS = seeds(COORDINATES, 6000)
+BINS = 1024
 _AT_ONCE = 1 << 14  # shingles whose coordinates are held at once
 
 
@@ -61,33 +65,42 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return (least >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
+def bitmap(shingles: np.ndarray) -> np.ndarray:
+    """For each bin whether it holds an odd number of the set's shingles, in 64-bit words."""
+    odd = np.bincount((shingles >> np.uint64(20)).astype(np.int64) % BINS, minlength=BINS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def signatures(docs: DataFrame, words: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, digest, coordinates); the last two are null for an empty set."""
+    """(doc_id, n_shingles, digest, coordinates, bits); the last three are null for an empty set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, digests, coordinates = [], [], []
+            sizes, digests, coordinates, bits = [], [], [], []
             for text in byte_texts(batch.column(1)):
                 shingles = shingle_set(text, words)
                 sizes.append(len(shingles))
                 digests.append(hashlib.blake2b(shingles.tobytes(), digest_size=16).digest() if len(shingles) else None)
                 coordinates.append(signature(shingles) if len(shingles) else None)
+                bits.append(bitmap(shingles) if len(shingles) else None)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).cast(pa.int64()),
                     pa.array(sizes, pa.int64()),
                     pa.array(digests, pa.binary()),
                     pa.array(coordinates, pa.list_(pa.int32())),
+                    pa.array(bits, pa.list_(pa.int64())),
                 ],
-                ["doc_id", "n_shingles", "digest", "coordinates"],
+                ["doc_id", "n_shingles", "digest", "coordinates", "bits"],
             )
 
     rows = narrow(docs, doc_id=id_col, text=text_col)
-    return rows.mapInArrow(run, "doc_id bigint, n_shingles bigint, digest binary, coordinates array<int>")
+    return rows.mapInArrow(run, "doc_id bigint, n_shingles bigint, digest binary, coordinates array<int>, bits array<bigint>")
 
 
 def _prefixes(classes: DataFrame, matches: int) -> DataFrame:
-    """(id, pair): each class under its rarest pairs, as many as a partner cannot avoid.
+    """(id, common, prefix): the rarest pairs of each class, as many as a partner cannot
+    avoid; ``common`` says how widespread all its pairs are.
 
     Pairs that one class alone has come first in that order and can have no partner, so they
     only use up places.
@@ -97,23 +110,31 @@ def _prefixes(classes: DataFrame, matches: int) -> DataFrame:
     )
     shared = pairs.groupBy("pair").agg(F.count("*").alias("n")).where("n > 1").withColumnRenamed("pair", "_pair")
     kept = pairs.join(shared, F.col("pair") == F.col("_pair")).select("id", "n", "pair")
-    listed = kept.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("n", "pair"))).alias("rare"))
+    listed = kept.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("n", "pair"))).alias("rare"), F.sum(F.log("n")).alias("common"))
     places = COORDINATES - matches + 1
     # size(rare) - COORDINATES is minus the number of unshared pairs.
     length = F.greatest(F.lit(0), F.size("rare") - COORDINATES + places)
-    return listed.select("id", F.explode(F.slice("rare", F.lit(1), length)).alias("r")).select("id", "r.pair")
+    return listed.select("id", "common", F.slice("rare", F.lit(1), length)["pair"].alias("prefix")).where("size(prefix) > 0")
+
+
+def _may_reach(n_a: str, n_b: str, bits_a: str, bits_b: str, percent: int) -> Column:
+    """Whether sizes and bitmaps allow the threshold, which bounds the difference of two sets:
+    (100 + percent) * difference <= (100 - percent) * sum of sizes."""
+    words = [F.bit_count(F.col(bits_a)[k].bitwiseXOR(F.col(bits_b)[k])) for k in range(BINS // 64)]
+    sizes = 100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)
+    return sizes & ((100 + percent) * sum(words[1:], words[0]) <= (100 - percent) * (F.col(n_a) + F.col(n_b)))
 
 
 def _similar_enough(pairs: DataFrame, classes: DataFrame, matches: int, percent: int) -> DataFrame:
-    """(a, b) pairs whose sizes and whose equal coordinates allow the threshold."""
+    """(a, b) pairs whose sizes, bitmaps and equal coordinates allow the threshold."""
 
     def side(name: str) -> DataFrame:
-        return classes.select(F.col("id").alias(f"_{name}"), F.col("n_shingles").alias(f"n_{name}"), F.col("coordinates").alias(f"c_{name}"))
+        names = {"id": f"_{name}", "n_shingles": f"n_{name}", "coordinates": f"c_{name}", "bits": f"bits_{name}"}
+        return classes.select(*[F.col(old).alias(new) for old, new in names.items()])
 
     joined = pairs.join(side("a"), F.col("a") == F.col("_a")).join(side("b"), F.col("b") == F.col("_b"))
-    sizes = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
     equal = F.size(F.filter(F.zip_with("c_a", "c_b", lambda x, y: x == y), lambda x: x))
-    return joined.where(sizes).where(equal >= matches).select("a", "b")
+    return joined.where(_may_reach("n_a", "n_b", "bits_a", "bits_b", percent)).where(equal >= matches).select("a", "b")
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -157,23 +178,26 @@ def near_duplicates(
     firsts = stored(linked.groupBy("digest").agg(F.min("doc_id").alias("id")), "classes")
     classes = stored(
         linked.join(firsts.withColumnRenamed("digest", "_digest"), (F.col("digest") == F.col("_digest")) & (F.col("doc_id") == F.col("id")))
-        .select("id", "n_shingles", "digest", "coordinates")
+        .select("id", "n_shingles", "digest", "coordinates", "bits")
         .dropDuplicates(["id", "digest"])
         .drop("digest"),
         "class-signatures",
     )
-    posted = stored(_prefixes(classes, matches), "prefixes")
+    prefixes = stored(_prefixes(classes, matches), "prefixes")
+    posted = prefixes.select("id", "common", F.explode("prefix").alias("pair"))
 
-    # Star turn: every member of a list with one of them, drawn by a hash that differs by list.
-    hub = F.min(F.struct(F.xxhash64("id", "pair").alias("h"), F.col("id").alias("hub"))).alias("least")
-    hubs = posted.groupBy("pair").agg(hub, F.count("*").alias("n")).where("n > 1").select(F.col("pair").alias("_pair"), "least.hub")
+    # Star turn: every member of a list with the one of the most widespread pairs, which is
+    # the least edited of a group of copies and mostly the same in all their lists.
+    hub = F.max(F.struct("common", F.col("id").alias("hub"))).alias("most")
+    hubs = posted.groupBy("pair").agg(hub, F.count("*").alias("n")).where("n > 1").select(F.col("pair").alias("_pair"), "most.hub")
     stars = posted.join(hubs, F.col("pair") == F.col("_pair")).where("id <> hub")
     pairs = stars.select(F.greatest("id", "hub").alias("b"), F.least("id", "hub").alias("a")).distinct()
     candidates = stored(_similar_enough(pairs, classes, matches, percent), "star-pairs")
     texts = narrow(docs, id=id_col, text=text_col)
     links = stored(_confirmed(candidates, _needed(texts, candidates), words, percent), "star-links")
-    if not posted.isEmpty():
-        rest = stored(_similar_enough(_unlinked(posted, components(links)), classes, matches, percent).join(candidates, ["a", "b"], "left_anti"), "rest-pairs")
+    if not prefixes.isEmpty():
+        apart = _unlinked(prefixes, components(links), classes, percent)
+        rest = stored(_similar_enough(apart, classes, matches, percent).join(candidates, ["a", "b"], "left_anti"), "rest-pairs")
         links = links.unionByName(stored(_confirmed(rest, _needed(texts, rest), words, percent), "rest-links"))
 
     # Rows of one id whose texts are in different classes link these, too.
@@ -198,15 +222,18 @@ def _needed(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     return stored(texts.join(ids, F.col("id") == F.col("_id"), "left_semi"), "candidate-texts")
 
 
-def _unlinked(posted: DataFrame, labels: DataFrame) -> DataFrame:
-    """(a, b) pairs of a list that are in different components after the star turn.
+def _unlinked(prefixes: DataFrame, labels: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """(a, b) pairs of a list that are in different components after the star turn and may
+    reach the threshold.
 
-    In each list one component is the main one, that of most members. Its members meet the
-    others only, and the others meet each other; none of the pairs inside a component is formed.
+    In each list one component is the main one, that of most members. Only the others meet
+    the rest of the list; no pair inside a component is formed, and a pair that has several
+    lists in common is formed in the one of the smallest key.
     """
-    named = posted.join(labels.select(F.col("id").alias("_id"), "component"), F.col("id") == F.col("_id"), "left").select(
-        "pair", "id", F.coalesce("component", "id").alias("component")
+    placed = prefixes.join(labels.select(F.col("id").alias("_id"), "component"), F.col("id") == F.col("_id"), "left").select(
+        "id", F.coalesce("component", "id").alias("component"), "prefix"
     )
+    named = placed.select("id", "component", F.explode("prefix").alias("pair"))
     sizes = named.groupBy("pair", "component").agg(F.count("*").alias("n"))
     mains = (
         sizes.groupBy("pair")
@@ -214,17 +241,23 @@ def _unlinked(posted: DataFrame, labels: DataFrame) -> DataFrame:
         .where("parts > 1")
         .select(F.col("pair").alias("_pair"), F.col("most.component").alias("main"))
     )
-    open_lists = stored(
-        named.join(mains, F.col("pair") == F.col("_pair")).select("pair", "id", "component", (F.col("component") == F.col("main")).alias("inside")),
-        "open-lists",
-    )
-    others = open_lists.where("not inside")
-    left = others.select("pair", F.col("id").alias("x"), F.col("component").alias("cx"))
-    right = others.select("pair", F.col("id").alias("y"), F.col("component").alias("cy"))
-    inner = left.join(right, "pair").where("x < y and cx <> cy")
-    mixed = left.join(open_lists.where("inside").select("pair", F.col("id").alias("y")), "pair")
-    both = inner.select("x", "y").unionByName(mixed.select("x", "y"))
-    return both.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    inside = (F.col("component") == F.col("main")).alias("inside")
+    members = named.join(mains, F.col("pair") == F.col("_pair")).select("pair", "id", inside)
+    facts = placed.join(classes.select(F.col("id").alias("_id"), "n_shingles", "bits"), F.col("id") == F.col("_id"))
+    facts = facts.select(F.col("id").alias("_id"), "component", "prefix", "n_shingles", "bits")
+    lists = stored(members.join(facts, F.col("id") == F.col("_id")).drop("_id"), "open-lists")
+
+    def side(rows: DataFrame, name: str) -> DataFrame:
+        names = {"id": name, "component": f"c{name}", "prefix": f"p{name}", "n_shingles": f"n{name}", "bits": f"b{name}"}
+        return rows.select("pair", "inside", *[F.col(old).alias(new) for old, new in names.items()])
+
+    left = side(lists.where("not inside"), "x").drop("inside")
+    right = side(lists, "y").withColumnRenamed("pair", "_pair")
+    first = F.array_min(F.array_intersect("px", "py")) == F.col("pair")
+    apart = (F.col("cx") != F.col("cy")) & (F.col("inside") | (F.col("x") < F.col("y")))
+    near = _may_reach("nx", "ny", "bx", "by", percent)
+    both = left.join(right, (F.col("pair") == F.col("_pair")) & apart & near & first)
+    return both.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
 
 
 def drop_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
