@@ -35,6 +35,7 @@ MISS = 2e-7  # chance that a pair right at the threshold shows too few equal coo
 _FACTORS = seeds(COORDINATES, 5000) | np.uint64(1)
 _OFFSETS = seeds(COORDINATES, 6000)
 BINS = 1024
+BUCKETS = 1 << 20
 _AT_ONCE = 1 << 14  # shingles whose coordinates are held at once
 
 
@@ -218,8 +219,14 @@ def near_duplicates(
 
 def _needed(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     """The texts of the documents in ``pairs``, stored once for both sides."""
-    ids = pairs.select(F.col("a").alias("_id")).unionByName(pairs.select(F.col("b").alias("_id"))).distinct()
-    return stored(texts.join(ids, F.col("id") == F.col("_id"), "left_semi"), "candidate-texts")
+    ids = stored(pairs.select(F.col("a").alias("_id")).unionByName(pairs.select(F.col("b").alias("_id"))).distinct(), "candidate-ids")
+    # Texts whose id is in no bucket of a wanted one stay where they are. There are BUCKETS
+    # numbers at most, however many ids, so their broadcast is bounded; what is left is looked
+    # up exactly.
+    bucket = lambda name: F.pmod(F.xxhash64(name), F.lit(BUCKETS))
+    buckets = F.broadcast(ids.select(bucket("_id").alias("_bucket")).distinct())
+    some = texts.join(buckets, bucket("id") == F.col("_bucket"), "left_semi")
+    return stored(some.join(ids, F.col("id") == F.col("_id"), "left_semi"), "candidate-texts")
 
 
 def _unlinked(prefixes: DataFrame, labels: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
