@@ -118,6 +118,37 @@ ORACLES: dict[str, str] = {
                t.depth, s.role || ': ' || trim(s.text, chr(10) || chr(13)) AS chat
         FROM said s JOIN tops t USING (conv_id, turn) LEFT JOIN links l USING (conv_id, turn)
     """,
+    "op7_near_dedup": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+            FROM documents
+        ),
+        shingles AS (
+            SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) < 2 THEN w
+                ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS shingle
+            FROM words
+        ),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        shared AS (
+            SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+            FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+            GROUP BY ALL
+        ),
+        links AS (
+            SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+            WHERE 100 * c >= 80 * (p.n + q.n - c)
+        ),
+        both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+        reach AS (
+            SELECT doc_id, doc_id AS other FROM documents
+            UNION
+            SELECT r.doc_id, b.y FROM reach r JOIN both_ways b ON b.x = r.other
+        ),
+        least AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+        SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, l.component_id, d.doc_id = l.component_id AS kept
+        FROM documents d JOIN least l USING (doc_id) LEFT JOIN sizes s USING (doc_id)
+    """,
     "op10_line_dedup": """
         WITH split AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents),
         numbered AS (
