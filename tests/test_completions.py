@@ -1,6 +1,7 @@
 """Requests, answers, resume, and what is asked of the model."""
 
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -130,6 +131,33 @@ def test_calls_of_a_task_are_in_flight_together(spark):
     assert time.time() - begin < 6
 
 
+def test_prompts_move_once(spark, tmp_path):
+    """Finding what to ask shuffles keys only; prompts go straight to the tasks that call."""
+    requests = completions.judge_requests(examples(spark, *[(f"User: {i % 3}", "b") for i in range(9)]))
+    path = new_stage_path(spark, "answers")
+    answers = completions.complete_pending(requests.filter("example_id = 'e0'"), path, noting(str(tmp_path / "c")))
+    left = completions.pending_requests(requests, answers, tasks=5)
+    carried = completions.complete_with(left, noting(str(tmp_path / "d")), tasks=None)
+    shuffled = re.findall(
+        r"\bExchange\nInput \[\d+\]: \[[^\]]*\bmessages#",
+        carried._sc._jvm.PythonSQLUtils.explainString(carried._jdf.queryExecution(), "formatted"),
+    )
+    assert len(shuffled) == 1
+    assert left.rdd.getNumPartitions() == 5
+    assert left.count() == 2
+
+
+def test_requests_without_id_or_key(spark):
+    requests = completions.judge_requests(examples(spark, ("User: a", "b"), ("User: a", "b"), (None, "b"), ("User: c", "d")))
+    nameless = requests.withColumn("example_id", F.lit(None).cast("string"))
+    assert completions.dedupe_requests(nameless.unionByName(nameless)).count() == 3
+    assert completions.pending_requests(requests.drop("example_id"), None, True, 2).count() == 4
+    keyless = requests.withColumn("request_key", F.nullif("request_key", F.lit(requests.first().request_key)))
+    assert completions.dedupe_requests(keyless).count() == 2
+    assert completions.pending_requests(keyless, None, True, 2).count() == 2
+    assert completions.dedupe_requests(requests.filter("false")).count() == 0
+
+
 def test_scores_from_the_model(spark, tmp_path):
     df = examples(spark, ("User: a", "b"), ("User: a", "bb"))
     path = new_stage_path(spark, "answers")

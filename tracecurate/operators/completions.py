@@ -121,20 +121,47 @@ def generate_requests(
 
 
 def dedupe_requests(requests: DataFrame) -> DataFrame:
-    """One row per key. All kept columns follow from the key, so any row will do, and
-    copies are combined before the shuffle."""
-    wanted = ["request_key", "stage", "messages", "temperature", "max_tokens"]
-    return requests.select(*wanted).dropDuplicates(["request_key"])
+    """One row per key. All kept columns follow from the key, so any row will do."""
+    return pending_requests(requests, None)
 
 
 def pending_requests(
-    requests: DataFrame, responses: DataFrame | None, unique_keys: bool = False
+    requests: DataFrame,
+    responses: DataFrame | None,
+    unique_keys: bool = False,
+    tasks: int | None = None,
 ) -> DataFrame:
-    """Distinct requests that have no answer yet. Answered ones go before their copies are
-    looked for. ``unique_keys`` tells that no two share a key, which saves that shuffle."""
+    """Distinct requests that have no answer yet, dealt into ``tasks`` parts if given.
+
+    What is wanted is found from keys and ids alone: for each key without an answer the
+    least ``example_id``. Prompts then move once, dealt by key and id, so that a prompt
+    repeated very often is spread. ``unique_keys`` tells that no two requests share a key;
+    they need no id then. A request without a key, that is without messages, is not asked.
+    """
+    place = ["request_key"]
+    rows = requests.select("request_key", "stage", "messages", "temperature", "max_tokens")
+    if not unique_keys:
+        place.append("_row")
+        row = F.coalesce(F.col("example_id").cast("string"), F.lit(""))
+        rows = requests.select(*rows.columns, row.alias("_row"))
+    keys = rows.select(*place)
     if responses is not None:
-        requests = requests.join(responses.select("request_key"), "request_key", "left_anti")
-    return requests if unique_keys else dedupe_requests(requests)
+        keys = keys.join(responses.select("request_key"), "request_key", "left_anti")
+    if not unique_keys:
+        keys = keys.groupBy("request_key").agg(F.min("_row").alias("_row"))
+    if unique_keys and responses is None:
+        found = rows.filter(F.col("request_key").isNotNull())
+        return found if tasks is None else found.repartition(tasks, "request_key")
+    if tasks is not None:
+        # A join keeps a dealing into no fewer parts than the session's; coalesce moves no row.
+        parts = max(tasks, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        rows, keys = rows.repartition(parts, *place), keys.repartition(parts, *place)
+    # An inner join, as the keys are distinct: a semi-join would go below the dealing, and
+    # prompts would move for both.
+    found = rows.join(keys, place)
+    if not unique_keys:
+        found = found.dropDuplicates(place).drop("_row")
+    return found if tasks is None else found.coalesce(tasks)
 
 
 def attach_completions(
@@ -154,13 +181,13 @@ def complete_with(
     requests: DataFrame,
     complete: Completer,
     concurrency: int = 8,
-    tasks: int = 8,
+    tasks: int | None = 8,
     attempts: int = 1,
 ) -> DataFrame:
     """Ask the model for every request: ``(request_key, raw, error)``.
 
-    ``tasks`` is how many parts the requests are dealt into, ``concurrency`` how many calls
-    each has in flight. A call that fails ``attempts`` times gives a row with the error and
+    ``tasks`` is how many parts the requests are dealt into (None: they are dealt already),
+    ``concurrency`` how many calls each has in flight. A call that fails ``attempts`` times gives a row with the error and
     no answer, so it costs none of the answers around it.
     """
 
@@ -192,11 +219,12 @@ def complete_with(
                     }
                 )
 
+    if tasks is not None:
+        requests = requests.repartition(tasks)
     return (
         requests.select(
             "request_key", F.to_json("messages").alias("messages"), "temperature", "max_tokens"
         )
-        .repartition(tasks)
         .mapInPandas(answer, "request_key string, plain string, parts string, error string")
         .select(
             "request_key",
@@ -251,8 +279,8 @@ def complete_pending(
     spark = requests.sparkSession
     for wave in range(waves):
         part = requests.filter(F.pmod(F.xxhash64("request_key"), F.lit(waves)) == wave)
-        pending = pending_requests(part, read_responses(spark, path), unique_keys)
-        answers = complete_with(pending, complete, concurrency, tasks, attempts)
+        pending = pending_requests(part, read_responses(spark, path), unique_keys, tasks)
+        answers = complete_with(pending, complete, concurrency, None, attempts)
         answers.write.mode("append").parquet(path)
     if not skip_errors:
         asked = requests.select("request_key").distinct()
