@@ -53,6 +53,55 @@ def test_equals_brute_force(make_docs, m):
     assert ours(make_docs(pairs), m) == sorted(brute(pairs, m), key=repr)
 
 
+def brute_runs(pairs, m):
+    """What ``dedup_runs`` returns, from the longest earlier copy of every suffix."""
+    docs = sorted({(i is not None, i or 0, t) for i, t in pairs if t is not None}, key=lambda d: (d[0], d[1], 0))
+    split = [[(k, x) for k, x in enumerate(t.split("\n")) if x.strip(" \t\r")] for _, _, t in docs]
+    bare = [[x.strip(" \t\r") for _, x in own] for own in split]
+    out, places = {}, {}
+    for d, (known, i, t) in enumerate(docs):
+        lengths = []
+        for p, line in enumerate(bare[d]):
+            best = 0
+            for e, q in places.get(line, []):
+                n = 0
+                while p + n < len(bare[d]) and q + n < len(bare[e]) and bare[d][p + n] == bare[e][q + n]:
+                    n += 1
+                best = max(best, n)
+            lengths.append(best)
+            places.setdefault(line, []).append((d, p))
+        gone = {p + k for p, n in enumerate(lengths) if n >= m or (p == 0 and n and n == len(bare[d])) for k in range(n)}
+        numbers = {split[d][p][0] for p in gone}
+        kept = "\n".join(x for k, x in enumerate(t.split("\n")) if k not in numbers)
+        out[(i if known else None, t)] = (kept, len(bare[d]), len(gone), sum(p - 1 not in gone for p in gone), max(lengths, default=0))
+    return sorted(((i, *(out[i, t] if t is not None else (None, 0, 0, 0, 0))) for i, t in pairs), key=repr)
+
+
+def our_runs(docs, m):
+    return sorted(((r.doc_id, r.text, r.n_lines, r.n_removed, r.n_runs, r.longest_run) for r in lines.dedup_runs(docs, m).collect()), key=repr)
+
+
+def test_runs_equal_brute_force(make_docs, edge_pairs):
+    rng = random.Random(5)
+    pool = [f"line {k}" for k in range(4)] + ["", " "]
+    base = [f"base {k}" for k in range(40)]
+    pairs = [(k, "\n".join(rng.choice(pool) for _ in range(rng.randrange(25)))) for k in range(30)]
+    for k in range(30):
+        start = rng.randrange(30)
+        pairs.append((50 + k, "\n".join([f"own {k}", *base[start : start + rng.randrange(20)], f"end {k}"])))
+    pairs += [*edge_pairs, (200, "\n".join(["same"] * 70)), (201, "line 1"), (202, "base 3\nbase 4")]
+    docs = make_docs(pairs)
+    for m in (2, 5):
+        assert our_runs(docs, m) == brute_runs(pairs, m)
+
+
+def test_runs_have_their_exact_length_and_single_lines_stay(make_docs):
+    seven = "\n".join(f"x{k}" for k in range(7))
+    docs = make_docs([(1, f"a\n{seven}\nb"), (2, f"c\n{seven}\nd"), (3, "e\nx3\nf"), (4, "x3")])
+    assert our_runs(docs, 3) == [(1, f"a\n{seven}\nb", 9, 0, 0, 0), (2, "c\nd", 9, 7, 1, 7), (3, "e\nx3\nf", 3, 0, 0, 1), (4, "", 1, 1, 1, 1)]
+    assert lines.dedup_runs(make_docs([]), 3).collect() == []
+
+
 def test_edges(make_docs, edge_pairs):
     pairs = [*edge_pairs, (20, "\n".join(["same"] * 70)), (21, "\n".join(f"x{k}" for k in range(3000)) + "\n" + "\n".join(f"x{k}" for k in range(3000)))]
     assert ours(make_docs(pairs), 1) == sorted(brute(pairs, 1), key=repr)

@@ -8,6 +8,11 @@ A suffix that is alone, or ends before, is sorted already and leaves, so each le
 smaller than the one before. In each interval the suffix of the smallest document id and
 line is the first copy; what the others repeat of it is deleted.
 
+``dedup_lines`` and ``remove_repeated_lines`` with ``min_lines=1`` need level 0 alone for what
+they delete, which is a hash of each line. ``dedup_runs`` reads all levels: a binary descent
+through them gives every suffix the exact length that it repeats of an earlier place, and
+whole maximal runs are deleted.
+
 All of it is DataFrame operations. A rank is given per interval, not per row, so a line that
 a third of all rows share is one row to rank.
 """
@@ -15,6 +20,7 @@ a third of all rows share is one row to rank.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tracecurate.operators.numbering import number_rows
@@ -91,18 +97,71 @@ def repeated_lines(levels: list[DataFrame], min_lines: int = 1) -> DataFrame:
     return levels[0].join(inside, same).select(*_PLACE, "line_no")
 
 
-def _per_document(levels: list[DataFrame], min_lines: int) -> DataFrame:
-    """(_doc, _version, gone, n_removed, n_runs, longest_copy): ``gone`` flags the lines of a
-    document, up to the last that goes."""
-    removed = (
-        repeated_lines(levels, min_lines)
-        .groupBy("doc", "version")
-        .agg(F.sort_array(F.collect_list(F.struct("line_no", "pos"))).alias("r"))
-    )
+def copied_lengths(levels: list[DataFrame]) -> DataFrame:
+    """(doc, version, pos, length) of every suffix whose first lines also stand in an earlier
+    place: the greatest number of lines for which that holds.
+
+    A problem is a set of suffixes with ``length`` lines in common; each but the smallest, its
+    ``head``, waits for its own length. It starts as an interval of level k without the
+    suffixes that have an earlier copy of 2**(k + 1) lines. The step down to level j groups it by
+    the rank ``length`` lines further on. Suffixes later than the first of their group have
+    2**j lines more, in a problem with that first as head; the firsts stand for their groups in
+    what is left, as all of a group have the same length in common with those outside. Each
+    suffix waits in one problem, so no step has more than twice the rows of its level.
+    """
+    place = F.struct(*_PLACE)
+    beyond = lambda j: levels[j].select(*[F.col(c).alias(f"_{c}") for c in _PLACE], F.col("rank").alias("next"))
+    waiting = None
+    for k in range(len(levels) - 1, -1, -1):
+        if waiting is not None:
+            heads = waiting.select("length", "head").distinct().select("head.*", "length", "head")
+            members = waiting.unionByName(heads)
+            further = F.col("doc").eqNullSafe(F.col("_doc")) & (F.col("version") == F.col("_version")) & (F.col("pos") + F.col("length") == F.col("_pos"))
+            stepped = stored(members.join(beyond(k), further, "left").select(*_PLACE, "length", "head", "next"), f"step-{k}")
+            groups = stepped.where("next is not null").groupBy("length", "head", "next").agg(F.count("*").alias("n"), F.min(place).alias("first"))
+            groups = groups.where("n > 1").select(*[F.col(c).alias(f"_{c}") for c in ("length", "head", "next")], "first")
+            same = (F.col("next") == F.col("_next")) & (F.col("length") == F.col("_length")) & (F.col("head") == F.col("_head"))
+            grouped = stepped.join(groups, same, "left").withColumn("more", F.coalesce(place > F.col("first"), F.lit(False)))
+            waiting = grouped.where(F.col("more") | (place != F.col("head"))).select(
+                *_PLACE,
+                F.when(F.col("more"), F.col("length") + 2**k).otherwise(F.col("length")).alias("length"),
+                F.when(F.col("more"), F.col("first")).otherwise(F.col("head")).alias("head"),
+            )
+        own = levels[k]
+        if k + 1 < len(levels):
+            deeper = levels[k + 1].where("later").select(*[F.col(c).alias(f"_{c}") for c in _PLACE])
+            same = F.col("doc").eqNullSafe(F.col("_doc")) & (F.col("version") == F.col("_version")) & (F.col("pos") == F.col("_pos"))
+            own = own.join(deeper, same, "left_anti")
+        # The first of an interval has no earlier copy there, so it is among the rows of ``own``.
+        heads = own.where("not later").select(F.col("rank").alias("_rank"), place.alias("head"))
+        own = own.where("later").join(heads, F.col("rank") == F.col("_rank")).select(*_PLACE, F.lit(2**k).alias("length"), "head")
+        waiting = stored(own if waiting is None else waiting.unionByName(own), f"lengths-{k}")
+    return waiting.select(*_PLACE, "length")
+
+
+def repeated_runs(levels: list[DataFrame]) -> DataFrame:
+    """(doc, version, pos, length) of all runs of lines that also stand in an earlier place and
+    can be made longer at neither end."""
+    before = W.partitionBy("doc", "version").orderBy("pos")
+    last = F.lag(F.struct("pos", "length")).over(before)
+    lengths = copied_lengths(levels).withColumn("last", last)
+    inner = (F.col("last.pos") == F.col("pos") - 1) & (F.col("last.length") == F.col("length") + 1)
+    return lengths.where(~F.coalesce(inner, F.lit(False))).select(*_PLACE, "length")
+
+
+def _flags(removed: DataFrame) -> DataFrame:
+    """(doc, version, gone, n_removed, n_runs) from the lines to remove: ``gone`` flags the lines
+    of a document, up to the last that goes."""
+    removed = removed.groupBy("doc", "version").agg(F.sort_array(F.collect_list(F.struct("line_no", "pos"))).alias("r"))
     kept_before = lambda x, i: x["line_no"] - F.when(i > 0, F.col("r")[i - 1]["line_no"] + 1).otherwise(0)
     flags = F.flatten(F.transform("r", lambda x, i: F.concat(F.array_repeat(F.lit(False), kept_before(x, i)), F.array(F.lit(True)))))
     starts = F.filter("r", lambda x, i: (i == 0) | (x["pos"] != F.col("r")[F.greatest(i - 1, F.lit(0))]["pos"] + 1))
-    flagged = removed.select("doc", "version", flags.alias("gone"), F.size("r").alias("n_removed"), F.size(starts).alias("n_runs"))
+    return removed.select("doc", "version", flags.alias("gone"), F.size("r").alias("n_removed"), F.size(starts).alias("n_runs"))
+
+
+def _per_document(levels: list[DataFrame], min_lines: int) -> DataFrame:
+    """(_doc, _version, gone, n_removed, n_runs, longest_copy), ``gone`` as in ``_flags``."""
+    flagged = _flags(repeated_lines(levels, min_lines))
     deep = None
     for k, level in enumerate(levels):
         own = level.where("later").groupBy("doc", "version").agg(F.lit(2**k).alias("depth"))
@@ -125,7 +184,39 @@ def dedup_lines(
     an earlier place, 0 if none does. A null text stays null and has no lines. Rows
     equal in id and text are one document and treated alike; null ids come first in order.
     """
-    found = _per_document(suffix_levels(docs, id_col, text_col), min_lines)
+    return _without(docs, _per_document(suffix_levels(docs, id_col, text_col), min_lines), "longest_copy", id_col, text_col)
+
+
+def dedup_runs(docs: DataFrame, min_lines: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, text, n_lines, n_removed, n_runs, longest_run) for every row of ``docs``.
+
+    From ``text`` the maximal runs of ``min_lines`` lines or more are gone that also stand in an
+    earlier place, and all lines of a document that as a whole stands in an earlier place,
+    however short it is. Single lines that recur in other surroundings stay. ``longest_run`` is
+    the exact greatest number of lines in a row that also stand in an earlier place, deleted
+    or not. All else is as in ``dedup_lines``.
+    """
+    levels = suffix_levels(docs, id_col, text_col)
+    runs = stored(repeated_runs(levels), "runs")
+    same = F.col("doc").eqNullSafe(F.col("_doc")) & (F.col("version") == F.col("_version"))
+    lines = F.size(F.filter(F.split("text", "\n"), lambda x: F.btrim(x, F.lit(" \t\r")) != ""))
+    sizes = narrow(docs, _doc=id_col, text=text_col).where("text is not null").select("_doc", _version().alias("_version"), lines.alias("n")).distinct()
+    short = F.col("length") < min_lines
+    whole = runs.where(short & (F.col("pos") == 0)).join(sizes, same & (F.col("length") == F.col("n")), "left_semi")
+    going = runs.where(~short).unionByName(whole)
+    # Later runs end later, so lines that two runs share are taken with the first.
+    ended = F.lag(F.col("pos") + F.col("length")).over(W.partitionBy("doc", "version").orderBy("pos"))
+    start = F.greatest("pos", F.coalesce(ended, F.lit(0)))
+    spans = going.withColumn("start", start)
+    inside = spans.select(F.col("doc").alias("_doc"), F.col("version").alias("_version"), F.explode(F.sequence("start", F.col("pos") + F.col("length") - 1)).alias("_pos"))
+    removed = levels[0].join(inside, same & (F.col("pos") == F.col("_pos"))).select(*_PLACE, "line_no")
+    longest = runs.groupBy("doc", "version").agg(F.max("length").alias("longest_run")).withColumnsRenamed({"doc": "_doc", "version": "_version"})
+    found = longest.join(_flags(removed), same, "left").select("_doc", "_version", "gone", "n_removed", "n_runs", "longest_run")
+    return _without(docs, found, "longest_run", id_col, text_col)
+
+
+def _without(docs: DataFrame, found: DataFrame, longest: str, id_col: str, text_col: str) -> DataFrame:
+    """Every row of ``docs`` without the lines that ``found`` flags, with its counts."""
     rows = narrow(docs, doc_id=id_col, text=text_col).withColumn("version", _version())
     same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("version") == F.col("_version"))
     kept = F.filter(F.split("text", "\n"), lambda x, i: ~F.coalesce(F.try_element_at("gone", i + 1), F.lit(False)))
@@ -134,7 +225,7 @@ def dedup_lines(
         "doc_id",
         F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text"),
         F.when(F.col("text").isNull(), 0).otherwise(lines).alias("n_lines"),
-        *[F.coalesce(c, F.lit(0)).alias(c) for c in ("n_removed", "n_runs", "longest_copy")],
+        *[F.coalesce(c, F.lit(0)).alias(c) for c in ("n_removed", "n_runs", longest)],
     )
 
 
