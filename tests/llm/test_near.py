@@ -70,6 +70,21 @@ def test_edges(make_docs, edge_pairs):
     assert gone == {5}
 
 
+def test_repeated_rows_of_one_id_are_kept_once(make_docs):
+    long, other = "a text that is delivered many times under one id", "quite another text that has the same id"
+    pairs = [(1, long)] * 50 + [(1, other)] * 3 + [(2, long)] * 4 + [(3, "")] * 2 + [(4, None)] * 2 + [(5, "only once here")] + [(None, long)] * 2
+    docs = make_docs(pairs)
+    kept = near.drop_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    want = [(1, long), (1, other), (3, ""), (4, None), (5, "only once here"), (None, long), (None, long)]
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_rows_of_one_id_that_differ_in_another_column_stay(make_docs):
+    docs = make_docs([(6, "the same words in two rows")]).unionByName(make_docs([(6, "the same words in two rows")] * 2, lang="de"))
+    assert sorted(r.lang for r in near.drop_near_duplicates(docs).collect()) == ["de", "en"]
+
+
 def test_given_table(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     pairs = [(r.doc_id, r.text) for r in docs.collect()]

@@ -269,6 +269,10 @@ def _unlinked(prefixes: DataFrame, labels: DataFrame, classes: DataFrame, percen
 
 def drop_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one document, that of the smallest id, of each group of near-duplicates.
-    Of rows that share its id one is kept for each distinct row."""
-    gone = near_duplicates(docs, words, percent).where("not kept").select("doc_id").distinct()
-    return docs.alias("_d").join(gone.alias("_g"), F.col("_d.doc_id") == F.col("_g.doc_id"), "left_anti")
+    Of rows that share its id one is kept for each distinct row; rows without an id all stay."""
+    ids = near_duplicates(docs, words, percent).where("doc_id is not null").groupBy("doc_id")
+    marked = stored(ids.agg(F.min("kept").alias("kept"), F.count("*").alias("n")).where("not kept or n > 1"), "marked-ids")
+    rows, same = docs.alias("_d"), F.col("_d.doc_id") == F.col("_g.doc_id")
+    # Only rows of an id that occurs more than once move to be compared.
+    once = rows.join(marked.alias("_g"), same, "left_anti")
+    return once.unionByName(rows.join(marked.where("kept").alias("_g"), same, "left_semi").distinct())
