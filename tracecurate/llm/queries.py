@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chunks, language, lines, near, quality, quotes, shards, tiling, topk
+from . import bpe, chunks, digests, language, lines, near, quality, quotes, shards, tiling, topk
 from .common import table
 
 
@@ -54,6 +54,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_removed", "n_runs", "longest_copy", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests.fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_bpe": op2_bpe,
@@ -65,6 +69,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_language": op9_language,
     "op10_line_dedup": op10_line_dedup,
+    "op13_fingerprints": op13_fingerprints,
 }
 
 ORACLES: dict[str, str] = {
