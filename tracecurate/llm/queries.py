@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chunks, digests, language, lines, near, quality, quotes, shards, tiling, topk
+from . import bpe, chunks, digests, language, lines, near, quality, quotes, search, shards, tiling, topk
 from .common import table
 
 
@@ -54,6 +54,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_removed", "n_runs", "longest_copy", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests.fingerprint_edits(table(spark, sf_dir, "documents"))
 
@@ -69,6 +73,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_language": op9_language,
     "op10_line_dedup": op10_line_dedup,
+    "op12_ranked_search": op12_ranked_search,
     "op13_fingerprints": op13_fingerprints,
 }
 
@@ -193,4 +198,38 @@ ORACLES: dict[str, str] = {
                CASE WHEN d.text IS NOT NULL THEN sha256(coalesce(t.kept, '')) END AS kept_sha256
         FROM documents d LEFT JOIN counts c USING (doc_id) LEFT JOIN texts t USING (doc_id) LEFT JOIN longest g USING (doc_id)
     """,
+    "op12_ranked_search": r"""
+        WITH words AS (
+            SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+            FROM documents
+        ),
+        docs AS (SELECT r, doc_id, w, len(w) AS n FROM words WHERE len(w) > 0),
+        stats AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS length FROM docs),
+        asked AS (
+            SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM benchmark
+        ),
+        counts AS (
+            SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM docs)
+            WHERE term IN (SELECT term FROM asked) GROUP BY r, term
+        ),
+        weights AS (
+            SELECT term, CAST(floor(1000 * ln((2 * CAST(s.docs AS DOUBLE) + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight
+            FROM counts, stats s GROUP BY term, s.docs
+        ),
+        scores AS (
+            SELECT a.item_id, c.r, d.doc_id,
+                   CAST(sum(w.weight * ((1000000000 * c.tf) // (1000 * c.tf + 8 * (100 - 90 + (90 * d.n * s.docs) // s.length)))) AS BIGINT) AS score
+            FROM asked a JOIN counts c USING (term) JOIN weights w USING (term) JOIN docs d ON d.r = c.r, stats s
+            GROUP BY a.item_id, c.r, d.doc_id
+        ),
+        ranked AS (
+            SELECT item_id, doc_id, score,
+                   CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
+            FROM scores WHERE score > 0
+        )
+        SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+    """,
 }
