@@ -15,7 +15,7 @@ from tracecurate.llm.queries import ORACLES, QUERIES
 
 def test_one_query_an_operator():
     numbers = sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(contract.queries())
 
 

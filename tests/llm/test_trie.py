@@ -1,0 +1,124 @@
+"""The prefix trie against plain dictionaries of prefixes."""
+
+import hashlib
+import random
+import zlib
+
+import pytest
+
+from tracecurate.llm import trie
+
+SCHEMA = "conv_id bigint, turn bigint, role string, text string, size bigint, node string, pos int"
+
+
+def tie(role, text):
+    return hashlib.md5(hashlib.md5((role or "").encode()).hexdigest().encode() + (text or "").encode()).digest()
+
+
+def rest(a, n):
+    return a - n * int(a / n)
+
+
+def brute(rows, borrow):
+    turns = {}
+    for c, turn, role, text in rows:
+        if c is not None:
+            turns.setdefault(c, []).append((turn is not None, turn or 0, tie(role, text), role or "", text or ""))
+    said = {c: [t[3:] for t in sorted(own)] for c, own in turns.items()}
+    built = said
+    if borrow:
+        built = {}
+        for c, own in said.items():
+            h = zlib.crc32(str(c).encode()) % 9
+            built[c] = said.get(c - rest(c, 5), [])[:h] + own[h:]
+    members, ends, kids = {}, {}, {}
+    for c, path in built.items():
+        for d in range(len(path) + 1):
+            members.setdefault(tuple(path[:d]), []).append(c)
+            if d:
+                kids.setdefault(tuple(path[: d - 1]), set()).add(tuple(path[:d]))
+        ends.setdefault(tuple(path), []).append(c)
+    below = {}
+
+    for node in sorted(members, key=len, reverse=True):
+        own = (len(members[node]) - 1) * len(node[-1][1].encode()) if node else 0
+        children = kids.get(node, ())
+        below[node] = (sum(below[k][0] for k in children) or 1, own + sum(below[k][1] for k in children))
+    return sorted(
+        (
+            (
+                min(m), len(n), min(members[n[:-1]]) if n else None, len(m), len(kids.get(n, ())), *below[n],
+                hashlib.sha256(",".join(map(str, sorted(ends.get(n, [])))).encode()).hexdigest(),
+            )
+            for n, m in members.items()
+        ),
+        key=repr,
+    )
+
+
+def ours(spark, rows, borrow):
+    df = spark.createDataFrame([(*r, 1, "x", 2) for r in rows], SCHEMA)
+    return sorted((tuple(r) for r in trie.prefix_trie(df, borrow=borrow).collect()), key=repr)
+
+
+def conversations(seed, count):
+    rng = random.Random(seed)
+    rows = []
+    for c in range(count):
+        start = rng.choice([0, 0, 1, 2]) if c % 3 else 0
+        rows += [(c, t, "user" if t % 2 == 0 else "assistant", f"shared {start} {t}" if t < rng.randrange(6) else f"turn é {rng.randrange(4)} {t}") for t in range(rng.randrange(1, 9))]
+    return rows
+
+
+EDGES = [
+    (-7, 0, "user", "negative"), (-5, 0, "user", "base of negatives"), (-5, 1, None, None), (-9, 3, "user", ""),
+    (300, None, "user", "no turn"), (300, None, "user", "no turn"), (300, 0, "user", "after"), (300, 0, "a", "tie"),
+    (None, 0, "user", "no conversation"), (301, 5, "user", "x" * 100_000), (9_223_372_036_854_775_807, 0, "user", "last"),
+]
+
+
+@pytest.mark.parametrize("borrow", [False, True])
+def test_equals_brute_force(spark, monkeypatch, borrow):
+    rows = conversations(1, 150) + EDGES + [(1000 + k, 0, "user", "hot first turn") for k in range(120)]
+    rows += [(2000 + k, t, "user", f"copy {t}") for k in range(60) for t in range(4)]
+    rows += [(400, t, "user", f"long {t}") for t in range(300)] + [(401, t, "user", f"long {t}" if t < 250 else "other") for t in range(300)]
+    random.Random(2).shuffle(rows)
+    assert ours(spark, rows, borrow) == brute(rows, borrow)
+    monkeypatch.setattr(trie, "SHARD_TURNS", 40)
+    monkeypatch.setattr(trie, "_CHUNK", 20)
+    assert ours(spark, rows, borrow) == brute(rows, borrow)
+
+
+def test_empty_and_turnless(spark):
+    assert ours(spark, [], True) == []
+    c = next(c for c in range(1, 200) if c % 5 and zlib.crc32(str(c).encode()) % 9)
+    assert ours(spark, [(c, 0, "user", "taken")], True) == [(c, 0, None, 1, 0, 1, 0, hashlib.sha256(str(c).encode()).hexdigest())]
+
+
+def shard_by_shard(paths, splitters):
+    skeleton = trie.skeleton_of(splitters)
+    cuts = [b"", *splitters, None]
+    found = []
+    for low, high in zip(cuts, cuts[1:]):
+        rows = [(p, [1] * (len(p) // 16), n, c, f"end {c}") for p, n, c in sorted(paths) if p >= low and (high is None or p < high)]
+        found += trie.shard_nodes(rows, skeleton)
+    return found, skeleton
+
+
+def test_only_the_skeleton_is_in_several_shards():
+    rng = random.Random(7)
+    symbols = [hashlib.md5(bytes([k])).digest() for k in range(3)]
+    paths = {b"".join(rng.choice(symbols) for _ in range(rng.randrange(7))) for _ in range(400)}
+    paths = [(p, rng.randrange(1, 4), k) for k, p in enumerate(sorted(paths))]
+    splitters = trie.choose_splitters([p for p, _, _ in paths], 9)
+    assert len(splitters) == 8
+    found, skeleton = shard_by_shard(paths, splitters)
+    keys = [n[0] for n in found if not n[10]]
+    assert len(keys) == len(set(keys))
+    assert len({n[0] for n in found if n[10]}) == len(skeleton)
+    assert trie.choose_splitters([b"", symbols[0], symbols[0]], 3) == [symbols[0]]
+
+
+def test_common_turns():
+    a, b = bytes(16) + bytes([1] * 16), bytes(16) + bytes([2] * 16)
+    assert [trie.common_turns(*x) for x in ((a, b), (a, a), (b"", a), (a[:16], b))] == [1, 2, 0, 1]

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chunks, digests, language, lines, near, quality, quotes, search, shards, tiling, topk
+from . import bpe, chunks, digests, language, lines, near, quality, quotes, search, shards, tiling, topk, trie
 from .common import table
 
 
@@ -54,6 +54,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_removed", "n_runs", "longest_copy", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"), borrow=True)
+
+
 def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -73,6 +77,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_language": op9_language,
     "op10_line_dedup": op10_line_dedup,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_ranked_search": op12_ranked_search,
     "op13_fingerprints": op13_fingerprints,
 }
@@ -198,6 +203,53 @@ ORACLES: dict[str, str] = {
                CASE WHEN d.text IS NOT NULL THEN sha256(coalesce(t.kept, '')) END AS kept_sha256
         FROM documents d LEFT JOIN counts c USING (doc_id) LEFT JOIN texts t USING (doc_id) LEFT JOIN longest g USING (doc_id)
     """,
+    "op11_prefix_trie": """
+        WITH said AS (
+            SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (
+                PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(md5(coalesce(role, '')) || coalesce(text, ''))) - 1 AS pos
+            FROM conversations WHERE conv_id IS NOT NULL
+        ),
+        -- CRC-32 of the decimal digits, bit by bit.
+        convs AS (
+            SELECT conv_id, xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(conv_id::VARCHAR, ''),
+                d -> ascii(d)::BIGINT)), (crc, b) -> list_reduce(list_concat([xor(crc, b)], range(8)),
+                (x, k) -> xor(x >> 1, 3988292384 * (x & 1))))) % 9 AS h
+            FROM (SELECT DISTINCT conv_id FROM said)
+        ),
+        rebuilt AS (
+            SELECT c.conv_id, s.pos, s.role, s.text FROM convs c JOIN said s ON s.conv_id = c.conv_id - c.conv_id % 5 AND s.pos < c.h
+            UNION ALL
+            SELECT c.conv_id, s.pos, s.role, s.text FROM convs c JOIN said s ON s.conv_id = c.conv_id AND s.pos >= c.h
+        ),
+        placed AS (
+            SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY pos) AS depth, md5(role) || md5(text) AS symbol,
+                   strlen(text) AS size
+            FROM rebuilt
+        ),
+        prefixes AS (
+            SELECT conv_id, depth, size, md5(string_agg(symbol, '') OVER (PARTITION BY conv_id ORDER BY depth)) AS node FROM placed
+            UNION ALL
+            SELECT conv_id, 0, 0, '' FROM convs
+        ),
+        lasts AS (SELECT conv_id, arg_max(node, depth) AS node FROM prefixes GROUP BY conv_id),
+        ends AS (SELECT node, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) AS ends_sha256 FROM lasts GROUP BY node),
+        nodes AS (
+            SELECT node, depth, any_value(size) AS size, min(conv_id) AS conv_id, count(*) AS n_convs FROM prefixes GROUP BY node, depth
+        ),
+        edges AS (
+            SELECT n.node, p.node AS parent FROM nodes n JOIN prefixes p ON p.conv_id = n.conv_id AND p.depth = n.depth - 1
+        ),
+        kids AS (SELECT parent AS node, count(*) AS n_children FROM edges GROUP BY parent),
+        below AS (
+            SELECT p.node, sum((n.n_convs - 1) * n.size) AS saved_tokens, count(*) FILTER (k.node IS NULL) AS n_leaves
+            FROM nodes n JOIN prefixes p ON p.conv_id = n.conv_id AND p.depth <= n.depth LEFT JOIN kids k ON k.node = n.node
+            GROUP BY p.node
+        )
+        SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n_children, 0) AS n_children, b.n_leaves,
+               CAST(b.saved_tokens AS BIGINT) AS saved_tokens, coalesce(x.ends_sha256, sha256('')) AS ends_sha256
+        FROM nodes n JOIN below b ON b.node = n.node LEFT JOIN kids k ON k.node = n.node LEFT JOIN ends x ON x.node = n.node
+        LEFT JOIN edges e ON e.node = n.node LEFT JOIN nodes p ON p.node = e.parent
+    """,
     "op12_ranked_search": r"""
         WITH words AS (
             SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
