@@ -212,8 +212,8 @@ ORACLES: dict[str, str] = {
         -- CRC-32 of the decimal digits, bit by bit.
         convs AS (
             SELECT conv_id, xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(conv_id::VARCHAR, ''),
-                d -> ascii(d)::BIGINT)), (crc, b) -> list_reduce(list_concat([xor(crc, b)], range(8)),
-                (x, k) -> xor(x >> 1, 3988292384 * (x & 1))))) % 9 AS h
+                lambda d: ascii(d)::BIGINT)), lambda crc, b: list_reduce(list_concat([xor(crc, b)], range(8)),
+                lambda x, k: xor(x >> 1, 3988292384 * (x & 1))))) % 9 AS h
             FROM (SELECT DISTINCT conv_id FROM said)
         ),
         rebuilt AS (
