@@ -8,6 +8,7 @@ from check_oracles import open_tables, same_rows
 from conftest import SF_DIR
 from corpus_fixtures import edge_pairs, make_docs  # noqa: F401
 from pyspark.sql import functions as F
+from test_lines import brute_runs
 
 import __spark_entry__ as contract
 from tracecurate.llm.queries import ORACLES, QUERIES
@@ -44,17 +45,7 @@ def test_pipeline_stage_by_stage(spark):
     assert kept == {i: t for i, t in rows.items() if quality_of[i] == 1} and docs.columns == columns
 
     docs = stages["line_dedup"](spark, docs, SF_DIR)
-    seen, want = set(), {}
-    for i in sorted(kept):
-        left, cut = [], False
-        for line in kept[i].split("\n"):
-            if line.strip(" \t\r") and line.strip(" \t\r") in seen:
-                cut = True
-            else:
-                left.append(line)
-                seen |= {line.strip(" \t\r")}
-        if not cut or "".join(left).strip():
-            want[i] = "\n".join(left)
+    want = {i: text for i, text, n, removed, *_ in brute_runs(sorted(kept.items()), 3) if not removed or text.strip()}
     kept = {r.doc_id: r.text for r in docs.collect()}
     assert kept == want and docs.columns == columns
     assert docs.where(F.col("n_chars") != F.length("text")).count() == 0

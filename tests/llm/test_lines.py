@@ -1,59 +1,13 @@
-"""Line dedup against brute force over all windows, for several least lengths."""
+"""Line dedup against brute force over all pairs of places."""
 
 import random
 
-import pytest
 from corpus_fixtures import edge_pairs, make_docs  # noqa: F401
 
 from tracecurate.llm import lines
 
 
-def brute(pairs, m):
-    """Kept text, deleted lines, runs and the longest copy of every distinct (id, text)."""
-    docs = sorted({(i is not None, i or 0, t) for i, t in pairs if t is not None}, key=lambda d: (d[0], d[1], 0))
-    split = [[(k, x) for k, x in enumerate(t.split("\n")) if x.strip(" \t\r")] for _, _, t in docs]
-    out = {}
-
-    def later(span):
-        seen, found = set(), set()
-        for d, own in enumerate(split):
-            for p in range(len(own) - span + 1):
-                key = tuple(x.strip(" \t\r") for _, x in own[p : p + span])
-                if key in seen:
-                    found.add((d, p))
-                seen.add(key)
-        return found
-
-    gone = {(d, p + k) for d, p in later(m) for k in range(m)}
-    spans, span = {}, 1
-    while found := later(span):
-        spans |= {d: span for d, _ in found}
-        span *= 2
-    for d, (known, i, t) in enumerate(docs):
-        mine = {p for e, p in gone if e == d}
-        numbers = {split[d][p][0] for p in mine}
-        kept = "\n".join(x for k, x in enumerate(t.split("\n")) if k not in numbers)
-        out[(i if known else None, t)] = (kept, len(split[d]), len(mine), sum(p - 1 not in mine for p in mine), spans.get(d, 0))
-    return [(i, *(out[i, t] if t is not None else (None, 0, 0, 0, 0))) for i, t in pairs]
-
-
-def ours(docs, m):
-    return sorted(((r.doc_id, r.text, r.n_lines, r.n_removed, r.n_runs, r.longest_copy) for r in lines.dedup_lines(docs, m).collect()), key=repr)
-
-
-@pytest.mark.parametrize("m", [1, 2, 3])
-def test_equals_brute_force(make_docs, m):
-    rng = random.Random(m)
-    pool = [f"line {k} of the pool" for k in range(9)] + ["", " ", "hot line"]
-    pairs = []
-    for k in range(60):
-        own = [rng.choice(pool) + rng.choice(["", "", " ", "\r"]) if rng.random() < 0.6 else f"own {k} {rng.random()}" for _ in range(rng.randrange(14))]
-        pairs.append((k, "\n".join(["hot line", *own] if k % 3 == 0 else own)))
-    pairs += [(k + 100, pairs[k][1]) for k in range(0, 20, 2)]
-    assert ours(make_docs(pairs), m) == sorted(brute(pairs, m), key=repr)
-
-
-def brute_runs(pairs, m):
+def brute_runs(pairs, m, words=25):
     """What ``dedup_runs`` returns, from the longest earlier copy of every suffix."""
     docs = sorted({(i is not None, i or 0, t) for i, t in pairs if t is not None}, key=lambda d: (d[0], d[1], 0))
     split = [[(k, x) for k, x in enumerate(t.split("\n")) if x.strip(" \t\r")] for _, _, t in docs]
@@ -70,15 +24,17 @@ def brute_runs(pairs, m):
                 best = max(best, n)
             lengths.append(best)
             places.setdefault(line, []).append((d, p))
-        gone = {p + k for p, n in enumerate(lengths) if n >= m or (p == 0 and n and n == len(bare[d])) for k in range(n)}
+        starts = [(p, n) for p, n in enumerate(lengths) if n and not (p and lengths[p - 1] == n + 1)]
+        wordy = [any(len(x.split()) >= words for x in bare[d][p : p + n]) for p, n in starts]
+        gone = {p + k for (p, n), w in zip(starts, wordy) if n >= m or w or (p == 0 and n == len(bare[d])) for k in range(n)}
         numbers = {split[d][p][0] for p in gone}
         kept = "\n".join(x for k, x in enumerate(t.split("\n")) if k not in numbers)
         out[(i if known else None, t)] = (kept, len(bare[d]), len(gone), sum(p - 1 not in gone for p in gone), max(lengths, default=0))
     return sorted(((i, *(out[i, t] if t is not None else (None, 0, 0, 0, 0))) for i, t in pairs), key=repr)
 
 
-def our_runs(docs, m):
-    return sorted(((r.doc_id, r.text, r.n_lines, r.n_removed, r.n_runs, r.longest_run) for r in lines.dedup_runs(docs, m).collect()), key=repr)
+def our_runs(docs, m, words=25):
+    return sorted(((r.doc_id, r.text, r.n_lines, r.n_removed, r.n_runs, r.longest_run) for r in lines.dedup_runs(docs, m, words).collect()), key=repr)
 
 
 def test_runs_equal_brute_force(make_docs, edge_pairs):
@@ -102,21 +58,29 @@ def test_runs_have_their_exact_length_and_single_lines_stay(make_docs):
     assert lines.dedup_runs(make_docs([]), 3).collect() == []
 
 
+def test_runs_with_a_long_line_go(make_docs):
+    rng = random.Random(9)
+    pool = [" ".join(f"w{k}{j}" for j in range(rng.randrange(1, 8))) for k in range(6)] + ["a\tb  c d e"]
+    pairs = [(k, "\n".join(rng.choice(pool) + rng.choice(["", f" own {rng.random()}"]) for _ in range(rng.randrange(12)))) for k in range(60)]
+    for words in (4, 6):
+        assert our_runs(make_docs(pairs), 4, words) == brute_runs(pairs, 4, words)
+
+
 def test_edges(make_docs, edge_pairs):
-    pairs = [*edge_pairs, (20, "\n".join(["same"] * 70)), (21, "\n".join(f"x{k}" for k in range(3000)) + "\n" + "\n".join(f"x{k}" for k in range(3000)))]
-    assert ours(make_docs(pairs), 1) == sorted(brute(pairs, 1), key=repr)
-    assert lines.dedup_lines(make_docs([])).collect() == []
-    assert ours(make_docs([(1, "a"), (2, "b")]), 4) == [(1, "a", 1, 0, 0, 0), (2, "b", 1, 0, 0, 0)]
+    long = "\n".join(f"x{k}" for k in range(3000))
+    pairs = [*edge_pairs, (20, "\n".join(["same"] * 70)), (21, long + "\n" + long)]
+    assert our_runs(make_docs(pairs), 3) == brute_runs(pairs, 3)
+    assert our_runs(make_docs([(1, "a"), (2, "b")]), 4) == [(1, "a", 1, 0, 0, 0), (2, "b", 1, 0, 0, 0)]
 
 
 def test_removal_keeps_columns_and_drops_what_is_used_up(make_docs):
-    docs = make_docs([(1, "a\nb"), (2, "b\nc"), (3, "a\nb"), (4, ""), (5, None)])
+    docs = make_docs([(1, "a\nb\nx"), (2, "b\nc"), (3, "a\nb\nx"), (4, ""), (5, None), (6, "y\na\nb\nx")])
     kept = lines.remove_repeated_lines(docs)
     assert kept.columns == docs.columns
     rows = {r.doc_id: (r.text, r.n_chars) for r in kept.collect()}
-    assert rows == {1: ("a\nb", 3), 2: ("c", 1), 4: ("", 0), 5: (None, None)}
+    assert rows == {1: ("a\nb\nx", 5), 2: ("b\nc", 3), 4: ("", 0), 5: (None, None), 6: ("y", 1)}
 
 
 def test_no_python_on_the_way(make_docs):
-    plan = lines.dedup_lines(make_docs([(1, "a"), (2, "a")]))._jdf.queryExecution().toString()
+    plan = lines.dedup_runs(make_docs([(1, "a"), (2, "a")]))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "InArrow" not in plan

@@ -5,13 +5,9 @@ suffixes by their first 2**k lines; the next level ranks pairs of ranks, of the
 itself and of the one 2**k lines further on. Suffixes of equal rank stand side by side in
 the suffix array and form an interval of a longest common prefix of at least 2**k lines.
 A suffix that is alone, or ends before, is sorted already and leaves, so each level is
-smaller than the one before. In each interval the suffix of the smallest document id and
-line is the first copy; what the others repeat of it is deleted.
-
-``dedup_lines`` and ``remove_repeated_lines`` with ``min_lines=1`` need level 0 alone for what
-they delete, which is a hash of each line. ``dedup_runs`` reads all levels: a binary descent
-through them gives every suffix the exact length that it repeats of an earlier place, and
-whole maximal runs are deleted.
+smaller than the one before. A binary descent through the levels gives every suffix the exact
+length that it has in common with an earlier place. Where that cannot be made longer at
+either end, it is a maximal repeated run, and the later copies of such runs are deleted.
 
 All of it is DataFrame operations. A rank is given per interval, not per row, so a line that
 a third of all rows share is one row to rank.
@@ -28,6 +24,8 @@ from tracecurate.operators.numbering import number_rows
 from .common import narrow, stored
 
 _PLACE = ("doc", "version", "pos")
+MIN_LINES = 3
+MIN_WORDS = 25
 
 
 def _version(text: str = "text") -> Column:
@@ -35,12 +33,16 @@ def _version(text: str = "text") -> Column:
     return F.xxhash64(text)
 
 
-def _symbols(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc, version, pos, line_no, symbol) of the lines that are not blank."""
+def _symbols(docs: DataFrame, min_words: int, id_col: str, text_col: str) -> DataFrame:
+    """(doc, version, pos, line_no, long, symbol) of the lines that are not blank; ``long`` ones
+    have ``min_words`` words or more."""
+    line = F.col("x.line")
+    # Fewer characters than this cannot be as many words.
+    long = (F.length(line) >= 2 * min_words - 1) & (F.size(F.split(line, "[ \\t\\r\\x0B\\f]+")) >= min_words)
     lines = F.transform(F.split("text", "\n"), lambda x, i: F.struct(i.alias("line_no"), F.btrim(x, F.lit(" \t\r")).alias("line")))
     rows = narrow(docs, doc=id_col, text=text_col).where("text is not null")
     return rows.select("doc", _version().alias("version"), F.posexplode(F.filter(lines, lambda x: x["line"] != "")).alias("pos", "x")).select(
-        *_PLACE, F.col("x.line_no").alias("line_no"), F.unhex(F.md5("x.line")).alias("symbol")
+        *_PLACE, F.col("x.line_no").alias("line_no"), long.alias("long"), F.unhex(F.md5("x.line")).alias("symbol")
     )
 
 
@@ -66,10 +68,10 @@ def _beside(level: DataFrame, offset: int) -> DataFrame:
     return own.join(further, same).select(*_PLACE, "r1", "r2")
 
 
-def suffix_levels(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> list[DataFrame]:
+def suffix_levels(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> list[DataFrame]:
     """Levels 0, 1, .. of the suffix array over all repeated lines, each (doc, version, pos,
-    rank, later), level 0 with line_no; the last is the deepest that has an interval."""
-    symbols = stored(_symbols(docs, id_col, text_col), "symbols")
+    rank, later), level 0 with line_no and long; the last is the deepest that has an interval."""
+    symbols = stored(_symbols(docs, min_words, id_col, text_col), "symbols")
     first = stored(_intervals(symbols, ["symbol"], "level-0").dropDuplicates(list(_PLACE)), "level-0")
     levels = [first]
     while not levels[-1].isEmpty():
@@ -79,24 +81,6 @@ def suffix_levels(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return levels[:-1] or levels
 
 
-def repeated_lines(levels: list[DataFrame], min_lines: int = 1) -> DataFrame:
-    """(doc, version, pos, line_no) of all lines in later copies of runs of ``min_lines`` or more."""
-    k = min_lines.bit_length() - 1
-    if k >= len(levels):  # no run of even the first 2**k lines is repeated
-        return levels[0].where("false").select(*_PLACE, "line_no")
-    starts, over = levels[k], min_lines - 2**k
-    if over:
-        starts = _intervals(stored(_beside(starts, over), "min-pairs"), ["r1", "r2"], "min-run")
-    starts = starts.where("later").select(*_PLACE)
-    if min_lines == 1:
-        return levels[0].where("later").select(*_PLACE, "line_no")
-    inside = starts.select("doc", "version", F.explode(F.sequence("pos", F.col("pos") + (min_lines - 1))).alias("pos")).distinct()
-    names = {c: f"_{c}" for c in _PLACE}
-    inside = inside.withColumnsRenamed(names)
-    same = F.col("doc").eqNullSafe(F.col("_doc")) & (F.col("version") == F.col("_version")) & (F.col("pos") == F.col("_pos"))
-    return levels[0].join(inside, same).select(*_PLACE, "line_no")
-
-
 def copied_lengths(levels: list[DataFrame]) -> DataFrame:
     """(doc, version, pos, length) of every suffix whose first lines also stand in an earlier
     place: the greatest number of lines for which that holds.
@@ -159,51 +143,22 @@ def _flags(removed: DataFrame) -> DataFrame:
     return removed.select("doc", "version", flags.alias("gone"), F.size("r").alias("n_removed"), F.size(starts).alias("n_runs"))
 
 
-def _per_document(levels: list[DataFrame], min_lines: int) -> DataFrame:
-    """(_doc, _version, gone, n_removed, n_runs, longest_copy), ``gone`` as in ``_flags``."""
-    flagged = _flags(repeated_lines(levels, min_lines))
-    deep = None
-    for k, level in enumerate(levels):
-        own = level.where("later").groupBy("doc", "version").agg(F.lit(2**k).alias("depth"))
-        deep = own if deep is None else deep.unionByName(own)
-    deep = deep.groupBy("doc", "version").agg(F.max("depth").alias("longest_copy"))
-    deep = deep.withColumnsRenamed({"doc": "_doc", "version": "_version"})
-    same = F.col("doc").eqNullSafe(F.col("_doc")) & (F.col("version") == F.col("_version"))
-    return deep.join(flagged, same, "left").select("_doc", "_version", "gone", "n_removed", "n_runs", "longest_copy")
-
-
-def dedup_lines(
-    docs: DataFrame, min_lines: int = 1, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """(doc_id, text, n_lines, n_removed, n_runs, longest_copy) for every row of ``docs``.
-
-    From ``text`` the later copies of repeated runs of ``min_lines`` lines or more are gone.
-    Lines are compared without blanks at their ends; blank lines are no symbols and stay.
-    ``n_lines`` counts lines that are not blank, ``n_runs`` the deleted stretches, and
-    ``longest_copy`` is the greatest power of two of lines in a row that also stand in
-    an earlier place, 0 if none does. A null text stays null and has no lines. Rows
-    equal in id and text are one document and treated alike; null ids come first in order.
-    """
-    return _without(docs, _per_document(suffix_levels(docs, id_col, text_col), min_lines), "longest_copy", id_col, text_col)
-
-
-def dedup_runs(docs: DataFrame, min_lines: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text, n_lines, n_removed, n_runs, longest_run) for every row of ``docs``.
-
-    From ``text`` the maximal runs of ``min_lines`` lines or more are gone that also stand in an
-    earlier place, and all lines of a document that as a whole stands in an earlier place,
-    however short it is. Single lines that recur in other surroundings stay. ``longest_run`` is
-    the exact greatest number of lines in a row that also stand in an earlier place, deleted
-    or not. All else is as in ``dedup_lines``.
-    """
-    levels = suffix_levels(docs, id_col, text_col)
+def _cuts(docs: DataFrame, min_lines: int, min_words: int, id_col: str, text_col: str) -> DataFrame:
+    """(_doc, _version, gone, n_removed, n_runs, longest_run) of documents with a repeated line,
+    ``gone`` as in ``_flags`` for the lines to delete."""
+    levels = suffix_levels(docs, min_words, id_col, text_col)
     runs = stored(repeated_runs(levels), "runs")
     same = F.col("doc").eqNullSafe(F.col("_doc")) & (F.col("version") == F.col("_version"))
-    lines = F.size(F.filter(F.split("text", "\n"), lambda x: F.btrim(x, F.lit(" \t\r")) != ""))
-    sizes = narrow(docs, _doc=id_col, text=text_col).where("text is not null").select("_doc", _version().alias("_version"), lines.alias("n")).distinct()
-    short = F.col("length") < min_lines
-    whole = runs.where(short & (F.col("pos") == 0)).join(sizes, same & (F.col("length") == F.col("n")), "left_semi")
-    going = runs.where(~short).unionByName(whole)
+    sizes = narrow(docs, _doc=id_col, text=text_col).where("text is not null").select("_doc", _version().alias("_version"), _solid_lines().alias("lines")).distinct()
+    short = runs.where(F.col("length") < min_lines)
+    whole = (F.col("length") == F.col("lines")) & (F.col("pos") == 0)
+    # A short run has fewer than min_lines lines to look at.
+    looked = short.select("*", F.explode(F.sequence("pos", F.col("pos") + F.col("length") - 1)).alias("_pos"))
+    long = levels[0].where("long").select(F.col("doc").alias("_doc"), F.col("version").alias("_version"), F.col("pos").alias("_pos"))
+    there = F.col("a.doc").eqNullSafe(F.col("b._doc")) & (F.col("a.version") == F.col("b._version")) & (F.col("a._pos") == F.col("b._pos"))
+    wordy = looked.alias("a").join(long.alias("b"), there, "left_semi")
+    going = runs.where(F.col("length") >= min_lines).unionByName(short.join(sizes, same & whole, "left_semi")).unionByName(wordy.select(runs.columns))
+    going = going.distinct()
     # Later runs end later, so lines that two runs share are taken with the first.
     ended = F.lag(F.col("pos") + F.col("length")).over(W.partitionBy("doc", "version").orderBy("pos"))
     start = F.greatest("pos", F.coalesce(ended, F.lit(0)))
@@ -211,28 +166,49 @@ def dedup_runs(docs: DataFrame, min_lines: int, id_col: str = "doc_id", text_col
     inside = spans.select(F.col("doc").alias("_doc"), F.col("version").alias("_version"), F.explode(F.sequence("start", F.col("pos") + F.col("length") - 1)).alias("_pos"))
     removed = levels[0].join(inside, same & (F.col("pos") == F.col("_pos"))).select(*_PLACE, "line_no")
     longest = runs.groupBy("doc", "version").agg(F.max("length").alias("longest_run")).withColumnsRenamed({"doc": "_doc", "version": "_version"})
-    found = longest.join(_flags(removed), same, "left").select("_doc", "_version", "gone", "n_removed", "n_runs", "longest_run")
-    return _without(docs, found, "longest_run", id_col, text_col)
+    return longest.join(_flags(removed), same, "left").select("_doc", "_version", "gone", "n_removed", "n_runs", "longest_run")
+
+
+def _solid_lines() -> Column:
+    return F.size(F.filter(F.split("text", "\n"), lambda x: F.btrim(x, F.lit(" \t\r")) != ""))
+
+
+def dedup_runs(
+    docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """(doc_id, text, n_lines, n_removed, n_runs, longest_run) for every row of ``docs``.
+
+    From ``text`` the maximal runs of lines are gone that also stand in an earlier place, if they
+    have ``min_lines`` lines or a line of ``min_words`` words, and all lines of a document that as a
+    whole stands in an earlier place, however short it is. So with 3 and 25 every repeated run
+    of more than 50 words goes, and a short line that recurs in other surroundings stays.
+
+    Lines are compared without blanks at their ends; blank lines are no symbols and stay.
+    ``n_lines`` counts lines that are not blank, ``n_runs`` the deleted stretches, and ``longest_run``
+    is the exact greatest number of lines in a row that also stand in an earlier place, deleted
+    or not. A null text stays null and has no lines. Rows equal in id and text are one
+    document and treated alike; null ids come first in order. An empty table gives none.
+    """
+    return _without(docs, _cuts(docs, min_lines, min_words, id_col, text_col), id_col, text_col)
 
 
-def _without(docs: DataFrame, found: DataFrame, longest: str, id_col: str, text_col: str) -> DataFrame:
+def _without(docs: DataFrame, found: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Every row of ``docs`` without the lines that ``found`` flags, with its counts."""
     rows = narrow(docs, doc_id=id_col, text=text_col).withColumn("version", _version())
     same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("version") == F.col("_version"))
     kept = F.filter(F.split("text", "\n"), lambda x, i: ~F.coalesce(F.try_element_at("gone", i + 1), F.lit(False)))
-    lines = F.size(F.filter(F.split("text", "\n"), lambda x: F.btrim(x, F.lit(" \t\r")) != ""))
     return rows.join(found, same, "left").select(
         "doc_id",
         F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text"),
-        F.when(F.col("text").isNull(), 0).otherwise(lines).alias("n_lines"),
-        *[F.coalesce(c, F.lit(0)).alias(c) for c in ("n_removed", "n_runs", longest)],
+        F.when(F.col("text").isNull(), 0).otherwise(_solid_lines()).alias("n_lines"),
+        *[F.coalesce(c, F.lit(0)).alias(c) for c in ("n_removed", "n_runs", "longest_run")],
     )
 
 
-def remove_repeated_lines(docs: DataFrame, min_lines: int = 1) -> DataFrame:
-    """``docs`` with the later copies gone from ``text`` and ``n_chars`` counted anew.
+def remove_repeated_lines(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS) -> DataFrame:
+    """``docs`` without the later copies that ``dedup_runs`` deletes, ``n_chars`` counted anew.
     Documents that lose their last line go; all others, empty ones too, stay."""
-    found = _per_document(suffix_levels(docs), min_lines)
+    found = _cuts(docs, min_lines, min_words, "doc_id", "text")
     same = F.col("_d.doc_id").eqNullSafe(F.col("_f._doc")) & (F.xxhash64("_d.text") == F.col("_f._version"))
     joined = docs.alias("_d").join(found.alias("_f"), same, "left")
     kept = F.filter(F.split("_d.text", "\n"), lambda x, i: ~F.coalesce(F.try_element_at("_f.gone", i + 1), F.lit(False)))

@@ -50,8 +50,8 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = lines.dedup_lines(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_lines", "n_removed", "n_runs", "longest_copy", F.sha2("text", 256).alias("kept_sha256"))
+    found = lines.dedup_runs(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_removed", "n_runs", "longest_run", F.sha2("text", 256).alias("kept_sha256"))
 
 
 def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -164,44 +164,59 @@ ORACLES: dict[str, str] = {
         SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, l.component_id, d.doc_id = l.component_id AS kept
         FROM documents d JOIN least l USING (doc_id) LEFT JOIN sizes s USING (doc_id)
     """,
-    "op10_line_dedup": """
+    "op10_line_dedup": r"""
         WITH split AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents),
         numbered AS (
             SELECT doc_id, i - 1 AS line_no, l[i] AS raw, trim(l[i], ' ' || chr(9) || chr(13)) AS line
             FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM split)
         ),
         solid AS (
-            SELECT doc_id, line_no, line, row_number() OVER (PARTITION BY doc_id ORDER BY line_no) AS pos
+            SELECT doc_id, line_no, md5(line) AS symbol, len(string_split_regex(line, '[ \t\r\x0B\f]+')) >= 25 AS long,
+                   row_number() OVER (PARTITION BY doc_id ORDER BY line_no) - 1 AS pos
             FROM numbered WHERE line <> ''
         ),
-        marked AS (
-            SELECT *, row_number() OVER (PARTITION BY line ORDER BY doc_id, pos) > 1 AS later FROM solid
+        sizes AS (SELECT doc_id, count(*) AS lines FROM solid GROUP BY doc_id),
+        -- Every line with each earlier equal one; equal lines in a row lie on one diagonal.
+        pairs AS (
+            SELECT a.doc_id, a.pos, b.doc_id AS other, a.pos - b.pos AS diagonal
+            FROM solid a JOIN solid b ON a.symbol = b.symbol AND (b.doc_id < a.doc_id OR (b.doc_id = a.doc_id AND b.pos < a.pos))
         ),
-        edges AS (
-            SELECT *, later AND NOT coalesce(lag(later) OVER (PARTITION BY doc_id ORDER BY pos), FALSE) AS starts FROM marked
+        islands AS (
+            SELECT *, pos - row_number() OVER (PARTITION BY doc_id, other, diagonal ORDER BY pos) AS island FROM pairs
         ),
-        counts AS (
-            SELECT doc_id, count(*) AS n_lines, count(*) FILTER (later) AS n_removed, count(*) FILTER (starts) AS n_runs
-            FROM edges GROUP BY doc_id
+        reached AS (
+            SELECT doc_id, pos, max(pos) OVER (PARTITION BY doc_id, other, diagonal, island) - pos + 1 AS length FROM islands
         ),
-        texts AS (
-            SELECT n.doc_id, string_agg(n.raw, chr(10) ORDER BY n.line_no) FILTER (NOT coalesce(m.later, FALSE)) AS kept
-            FROM numbered n LEFT JOIN marked m USING (doc_id, line_no) GROUP BY n.doc_id
+        lengths AS (SELECT doc_id, pos, max(length) AS length FROM reached GROUP BY doc_id, pos),
+        marked AS (
+            SELECT *, lag(pos) OVER w AS last_pos, lag(length) OVER w AS last_length
+            FROM lengths WINDOW w AS (PARTITION BY doc_id ORDER BY pos)
         ),
-        sequences AS (SELECT doc_id, list(line ORDER BY pos) AS s FROM solid GROUP BY doc_id),
-        spans AS (SELECT unnest([1, 2, 4, 8, 16, 32, 64, 128, 256, 512, 1024, 2048, 4096]) AS span),
         runs AS (
-            SELECT doc_id, span, p, md5(array_to_string(s[p:p + span - 1], chr(10))) AS key
-            FROM (SELECT doc_id, s, span, unnest(range(1, len(s) - span + 2)) AS p FROM sequences, spans)
+            SELECT doc_id, pos, length FROM marked
+            WHERE NOT coalesce(last_pos = pos - 1 AND last_length = length + 1, FALSE)
+        ),
+        going AS (
+            SELECT r.doc_id, r.pos, r.length FROM runs r JOIN sizes z USING (doc_id)
+            WHERE r.length >= 3 OR (r.pos = 0 AND r.length = z.lines)
+               OR EXISTS (FROM solid s WHERE s.long AND s.doc_id = r.doc_id AND s.pos BETWEEN r.pos AND r.pos + r.length - 1)
         ),
-        copies AS (
-            SELECT doc_id, span, row_number() OVER (PARTITION BY span, key ORDER BY doc_id, p) > 1 AS later FROM runs
+        gone AS (SELECT DISTINCT doc_id, unnest(range(pos, pos + length)) AS pos FROM going),
+        edges AS (
+            SELECT doc_id, pos, coalesce(lag(pos) OVER (PARTITION BY doc_id ORDER BY pos) <> pos - 1, TRUE) AS starts FROM gone
+        ),
+        counts AS (SELECT doc_id, count(*) AS n_removed, count(*) FILTER (starts) AS n_runs FROM edges GROUP BY doc_id),
+        dropped AS (SELECT s.doc_id, s.line_no FROM solid s JOIN gone g USING (doc_id, pos)),
+        texts AS (
+            SELECT n.doc_id, string_agg(n.raw, chr(10) ORDER BY n.line_no) FILTER (d.line_no IS NULL) AS kept
+            FROM numbered n LEFT JOIN dropped d USING (doc_id, line_no) GROUP BY n.doc_id
         ),
-        longest AS (SELECT doc_id, max(span) AS longest_copy FROM copies WHERE later GROUP BY doc_id)
-        SELECT d.doc_id, CAST(coalesce(c.n_lines, 0) AS INTEGER) AS n_lines, CAST(coalesce(c.n_removed, 0) AS INTEGER) AS n_removed,
-               CAST(coalesce(c.n_runs, 0) AS INTEGER) AS n_runs, CAST(coalesce(g.longest_copy, 0) AS INTEGER) AS longest_copy,
+        longest AS (SELECT doc_id, max(length) AS longest_run FROM runs GROUP BY doc_id)
+        SELECT d.doc_id, CAST(coalesce(z.lines, 0) AS INTEGER) AS n_lines, CAST(coalesce(c.n_removed, 0) AS INTEGER) AS n_removed,
+               CAST(coalesce(c.n_runs, 0) AS INTEGER) AS n_runs, CAST(coalesce(g.longest_run, 0) AS INTEGER) AS longest_run,
                CASE WHEN d.text IS NOT NULL THEN sha256(coalesce(t.kept, '')) END AS kept_sha256
-        FROM documents d LEFT JOIN counts c USING (doc_id) LEFT JOIN texts t USING (doc_id) LEFT JOIN longest g USING (doc_id)
+        FROM documents d LEFT JOIN sizes z USING (doc_id) LEFT JOIN counts c USING (doc_id) LEFT JOIN texts t USING (doc_id)
+        LEFT JOIN longest g USING (doc_id)
     """,
     "op11_prefix_trie": """
         WITH said AS (
