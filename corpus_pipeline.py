@@ -19,7 +19,7 @@ def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without later copies of lines; those with no line left go."""
+    """Documents without later copies of maximal line runs; those with no line left go."""
     return lines.remove_repeated_lines(docs)
 
 
