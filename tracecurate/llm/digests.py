@@ -70,8 +70,8 @@ def bucket_counts(texts: list[bytes]) -> np.ndarray:
     return counts
 
 
-def fingerprints(texts: list[bytes]) -> list[str]:
-    """The digest of each text: two digits of length, two of quartile ratios, the codes."""
+def digests(texts: list[bytes]) -> list[bytes]:
+    """The digest of each text: a byte of length, one of two quartile ratios, the codes."""
     if not texts:
         return []
     counts = bucket_counts(texts)
@@ -85,12 +85,17 @@ def fingerprints(texts: list[bytes]) -> list[str]:
     header[:, 0] = np.minimum(np.round(np.log2(lengths + 1) * _LENGTH_STEPS), 255)
     top = np.maximum(q3, 1)
     header[:, 1] = np.minimum(q1 * 16 // top, 15) << 4 | np.minimum(q2 * 16 // top, 15)
-    return [row.tobytes().hex() for row in np.concatenate([header, body.astype(np.uint8)], axis=1)]
+    return [row.tobytes() for row in np.concatenate([header, body.astype(np.uint8)], axis=1)]
+
+
+def fingerprints(texts: list[bytes]) -> list[str]:
+    """The digests as hexadecimal digits."""
+    return [digest.hex() for digest in digests(texts)]
 
 
-def likeness(a: list[str], b: list[str]) -> np.ndarray:
+def likeness(a: list[bytes], b: list[bytes]) -> np.ndarray:
     """1 for equal digests, 0 for the greatest difference there can be."""
-    x, y = (np.frombuffer(bytes.fromhex("".join(d)), dtype=np.uint8).reshape(len(d), -1).astype(np.int16) for d in (a, b))
+    x, y = (np.frombuffer(b"".join(d), dtype=np.uint8).reshape(len(d), -1).astype(np.int16) for d in (a, b))
     length = np.minimum(np.abs(x[:, 0] - y[:, 0]), _LENGTH_CAP) * _LENGTH_WEIGHT
     ratios = (np.abs((x[:, 1] >> 4) - (y[:, 1] >> 4)) + np.abs((x[:, 1] & 15) - (y[:, 1] & 15))) * _RATIO_WEIGHT
     codes = sum(np.abs((x[:, 2:] >> s & 3) - (y[:, 2:] >> s & 3)).sum(axis=1) for s in (0, 2, 4, 6))
@@ -117,38 +122,34 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.withColumn("key", F.concat_ws(":", F.hex("version"), F.col("doc_id").cast("string")))
 
 
-def _digest(pairs: DataFrame) -> DataFrame:
-    """Digests of the texts and of the edited texts, and their likeness."""
+def _lend(texts: DataFrame) -> DataFrame:
+    """What each text lends to the document before: its beginning and its digest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = fingerprints(list(byte_texts(batch.column("text"))))
-            edited = fingerprints(list(byte_texts(batch.column("edited"))))
-            near = likeness(own, edited) if own else np.zeros(0)
-            kept = [batch.column(c) for c in ("key", "next_key", "n_chars", "edited_sha256")]
-            yield pa.RecordBatch.from_arrays(
-                [*kept, pa.array(own, pa.string()), pa.array(edited, pa.string()), pa.array(near, pa.float64())],
-                names=["key", "next_key", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited"],
-            )
+            prints = pa.array(digests(list(byte_texts(batch.column("text")))), pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("_key"), batch.column("n_chars"), batch.column("lent"), prints], names=["_key", "n_chars", "lent", "following"])
 
-    schema = "key string, next_key string, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double"
-    return pairs.mapInArrow(run, schema)
+    return texts.mapInArrow(run, "_key string, n_chars bigint, lent string, following binary")
 
 
-def with_likeness(df: DataFrame, a: str, b: str, name: str) -> DataFrame:
-    """``df`` with the likeness of two columns of fingerprints, null where either is null."""
+def _digest(pairs: DataFrame) -> DataFrame:
+    """Digests of the texts and of the edited texts, and their likeness."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = batch.column(a).to_pylist(), batch.column(b).to_pylist()
-            both = [k for k in range(len(x)) if x[k] is not None and y[k] is not None]
-            out: list[float | None] = [None] * len(x)
-            if both:
-                for k, value in zip(both, likeness([x[k] for k in both], [y[k] for k in both])):
-                    out[k] = float(value)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.float64())], names=[*batch.schema.names, name])
+            own = digests(list(byte_texts(batch.column("text"))))
+            edited = digests(list(byte_texts(batch.column("edited"))))
+            following = batch.column("following").to_pylist()
+            near = [likeness(own, other) if own else np.zeros(0) for other in (edited, following)]
+            kept = [batch.column(c) for c in ("key", "n_chars", "edited_sha256")]
+            yield pa.RecordBatch.from_arrays(
+                [*kept, pa.array(own, pa.binary()), pa.array(edited, pa.binary()), *[pa.array(x, pa.float64()) for x in near]],
+                names=["key", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
+            )
 
-    return df.mapInArrow(run, df.select("*", F.lit(None).cast("double").alias(name)).schema)
+    schema = "key string, n_chars bigint, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
+    return pairs.mapInArrow(run, schema)
 
 
 def _lent(text: Column, n_chars: Column) -> Column:
@@ -175,13 +176,12 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     turn = stored(order.join(before, "place").select("key", "n_chars", "before_key", "before_chars"), "turn")
     texts = rows.select("key", "text").dropDuplicates(["key"])
     lent = texts.join(turn, "key").select(
-        F.col("before_key").alias("_key"), F.col("key").alias("next_key"), F.col("before_chars").alias("n_chars"), _lent(F.col("text"), F.col("before_chars")).alias("lent")
+        F.col("before_key").alias("_key"), F.col("before_chars").alias("n_chars"), "text", _lent(F.col("text"), F.col("before_chars")).alias("lent")
     )
     kept = F.substring("text", F.lit(1), (F.col("n_chars") - F.floor(F.col("n_chars") / 4)).cast("int"))
-    pairs = texts.join(lent, F.col("key") == F.col("_key")).withColumn("edited", F.concat(kept, "lent"))
-    found = stored(_digest(pairs.select("key", "next_key", "n_chars", "text", "edited", F.sha2("edited", 256).alias("edited_sha256"))), "digests")
-    following = found.select(F.col("key").alias("next_key"), F.col("fingerprint").alias("next_fingerprint"))
-    found = with_likeness(found.join(following, "next_key"), "fingerprint", "next_fingerprint", "near_next")
-    return rows.select("doc_id", "key").join(found, "key").select(
-        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"
-    )
+    pairs = texts.join(_lend(lent), F.col("key") == F.col("_key")).withColumn("edited", F.concat(kept, "lent"))
+    sha = F.unhex(F.sha2("edited", 256)).alias("edited_sha256")
+    found = _digest(pairs.select("key", "n_chars", "text", "edited", "following", sha))
+    # One row a document moves once more, to every row of that document; digests go as bytes.
+    spelled = [F.lower(F.hex(c)).alias(c) for c in ("edited_sha256", "fingerprint", "edited_fingerprint")]
+    return rows.select("doc_id", "key").join(found, "key").select("doc_id", "n_chars", *spelled, "near_edited", "near_next")
