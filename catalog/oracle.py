@@ -311,6 +311,13 @@ _SELECTS = {
         UNION ALL SELECT trace_id, trace_id || '-child', 'chat', 'LLM.output',
           length(answered)::VARCHAR FROM traces""",
     "sessionize": "SELECT session_id, example_id AS trace_id, turn_no, request, response FROM examples",
+    "sessions_after_append": "SELECT session_id, example_id AS trace_id, turn_no, request, response FROM examples",
+    "session_changes": """SELECT session_id, trace_id, turn_no, change FROM (
+          SELECT session_id, example_id AS trace_id, turn_no, late, CASE WHEN late THEN 'added' ELSE 'replaced' END AS change,
+            row_number() OVER (PARTITION BY session_id, late ORDER BY turn_no) AS old_no
+          FROM (SELECT *, (split_part(example_id, '-', 2)::BIGINT * 1000 + split_part(example_id, '-', 3)::BIGINT) % 3 = 0 AS late
+            FROM examples))
+        WHERE late OR old_no <> turn_no""",
     "unroll_examples": """SELECT example_id, session_id, turn_no, 2 * turn_no - 1 AS n_messages,
         conversation_str, target_response FROM examples""",
     "unroll_examples_blocks": """SELECT example_id, session_id, turn_no,

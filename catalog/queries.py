@@ -14,6 +14,7 @@ from tracecurate.operators import (
     compare,
     completions,
     explore,
+    increments,
     ingest,
     report,
     scoring,
@@ -364,6 +365,37 @@ def sessionize_range(spark, sf_dir):
     return numbered_turns(spark, sf_dir, LONG)
 
 
+def late(found):
+    """A third of the turns, dealt over all sessions, comes after the rest."""
+    return F.unix_millis("request_time") % 3 == 0
+
+
+def session_log(spark, sf_dir):
+    """A log of two batches; the second holds the late turns and repeats earlier ones."""
+    found = materialize(turns(spark, sf_dir), "turns")
+    again = F.unix_millis("request_time") % 5 == 1
+    path = new_stage_path(spark, "session-log")
+    increments.append_turns(found.filter(~late(found)), path, 0, CONFIG)
+    increments.append_turns(found.filter(late(found) | again), path, 1, CONFIG)
+    return path
+
+
+@query
+def sessions_after_append(spark, sf_dir):
+    """Sessions as a log of two batches leaves them: the same as built at once."""
+    found = increments.read_sessions(spark, session_log(spark, sf_dir))
+    return found.select(
+        "session_id", "trace_id", F.col("turn_no").cast("bigint").alias("turn_no"), "request", "response"
+    )
+
+
+@query
+def session_changes(spark, sf_dir):
+    """What the late turns add to sessions and which others they renumber."""
+    log = increments.open_log(spark, session_log(spark, sf_dir)).filter("batch = 1")
+    return log.select("session_id", "trace_id", F.col("turn_no").cast("bigint").alias("turn_no"), "change")
+
+
 def listed_examples(found):
     return found.select(
         "example_id",

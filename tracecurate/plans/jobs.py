@@ -24,6 +24,7 @@ from ..operators.completions import (
     read_failures,
     with_judge_key,
 )
+from ..operators.increments import latest_deliveries
 from ..operators.ingest import clean_turns, quarantined_traces, scan_traces
 from ..operators.report import length_budget, training_plan, turn_counts, words
 from ..operators.scoring import (
@@ -156,7 +157,7 @@ def run_curation(
     distinct = turns.select("trace_id").distinct().count()
     if distinct < delivered:  # a trace that was delivered twice is one example
         repeated = delivered - distinct
-        turns = store(turns.dropDuplicates(["trace_id"]), "distinct_turns")
+        turns = store(latest_deliveries(turns), "distinct_turns")
     # Histories are most of the data. They are stored and shuffled once, as messages; the
     # transcript is rendered from them wherever it is read.
     stored = store(unroll_examples(turns, config).drop("conversation_str"), "examples")
