@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pytest
 from corpus_fixtures import edge_pairs, make_docs, prose  # noqa: F401
 from pyspark.sql import functions as F
 
@@ -52,7 +53,9 @@ def brute(pairs, version):
     return sorted(((i, *out[i, t or ""]) for i, t in pairs), key=repr)
 
 
-def test_equals_brute_force(spark, make_docs, edge_pairs):
+@pytest.mark.parametrize("block", [digests.BLOCK_BYTES, 500])
+def test_equals_brute_force(spark, make_docs, edge_pairs, monkeypatch, block):
+    monkeypatch.setattr(digests, "BLOCK_BYTES", block)
     rng = random.Random(3)
     pairs = [(i, t if t is None or len(t) < 5_000 else t[:3_000]) for i, t in edge_pairs]
     pairs += [(20 + k, prose(k, rng.randrange(60))) for k in range(20)] + [(500, "copy of a row")] * 50

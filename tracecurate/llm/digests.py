@@ -10,18 +10,21 @@ the sum of the differences of their codes, lengths and ratios, each of them boun
 
 from __future__ import annotations
 
+import hashlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracecurate.operators.numbering import number_rows
-
 from .common import PIECE, byte_texts, narrow, seeds, stored
 
 BUCKETS = 256
+BLOCK_BYTES = 8 << 20  # of text in a block, as long as there are not too many blocks
+MOST_BLOCKS = 1 << 16
+_SAMPLES = 20  # sampled documents a block
 _AHEAD = 4
 _TRIPLETS = [(i, j) for i in range(1, _AHEAD) for j in range(i + 1, _AHEAD + 1)]
 _FACTORS = (seeds(3 * len(_TRIPLETS), 7_000) >> np.uint64(32)).astype(np.uint32).reshape(-1, 3) | np.uint32(1)
@@ -115,45 +118,78 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
     return rows.mapInArrow(run, f"doc_id {place}, fingerprint string")
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, text, version, key): one key a document, also without an id."""
-    rows = narrow(docs, doc_id=id_col, text=text_col).withColumn("text", F.coalesce("text", F.lit("")))
-    rows = rows.withColumn("version", F.xxhash64("text"))
-    return rows.withColumn("key", F.concat_ws(":", F.hex("version"), F.col("doc_id").cast("string")))
+def _order(doc_id, version: int) -> tuple:
+    """Documents go by id, null ids first, then by the hash of their text."""
+    return (doc_id is not None, 0 if doc_id is None else doc_id, version)
 
 
-def _lend(texts: DataFrame) -> DataFrame:
-    """What each text lends to the document before: its beginning and its digest."""
+def _dealt(rows: DataFrame, splitters: list[tuple]) -> DataFrame:
+    """``rows`` (doc_id, version, text) with their block, the number of splitters up to them. A
+    splitter, the first document of its block, also goes to the block before, as its guest.
+    What a task has sent once it does not send again."""
+    shared = rows.sparkSession.sparkContext.broadcast(splitters)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cuts, seen = shared.value, set()
         for batch in batches:
-            prints = pa.array(digests(list(byte_texts(batch.column("text")))), pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("_key"), batch.column("n_chars"), batch.column("lent"), prints], names=["_key", "n_chars", "lent", "following"])
-
-    return texts.mapInArrow(run, "_key string, n_chars bigint, lent string, following binary")
-
-
-def _digest(pairs: DataFrame) -> DataFrame:
-    """Digests of the texts and of the edited texts, and their likeness."""
+            at: list[int] = []
+            blocks: list[int] = []
+            guests: list[bool] = []
+            for k, name in enumerate(map(_order, batch.column("doc_id").to_pylist(), batch.column("version").to_pylist())):
+                if name in seen:
+                    continue
+                seen.add(name)
+                block = bisect_right(cuts, name) - 1
+                at.append(k)
+                blocks.append(block)
+                guests.append(False)
+                if cuts[block] == name:
+                    at.append(k)
+                    blocks.append((block - 1) % len(cuts))
+                    guests.append(True)
+            columns = [c.take(pa.array(at, pa.int64())) for c in batch.columns]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(blocks, pa.int32()), pa.array(guests, pa.bool_())], names=[*batch.schema.names, "block", "guest"])
+
+    return rows.mapInArrow(run, rows.select("*", F.lit(0).alias("block"), F.lit(True).alias("guest")).schema)
+
+
+def _edits(dealt: DataFrame) -> DataFrame:
+    """One row a document, from blocks in order: each document meets the one after it, the last
+    of a block its guest. Two documents are held besides the batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None  # (name, guest, doc_id, version, text, digest)
         for batch in batches:
-            own = digests(list(byte_texts(batch.column("text"))))
-            edited = digests(list(byte_texts(batch.column("edited"))))
-            following = batch.column("following").to_pylist()
-            near = [likeness(own, other) if own else np.zeros(0) for other in (edited, following)]
-            kept = [batch.column(c) for c in ("key", "n_chars", "edited_sha256")]
-            yield pa.RecordBatch.from_arrays(
-                [*kept, pa.array(own, pa.binary()), pa.array(edited, pa.binary()), *[pa.array(x, pa.float64()) for x in near]],
-                names=["key", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
-            )
-
-    schema = "key string, n_chars bigint, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
-    return pairs.mapInArrow(run, schema)
-
-
-def _lent(text: Column, n_chars: Column) -> Column:
-    return F.substring(text, F.lit(1), F.floor(n_chars / 4).cast("int"))
+            own = []
+            before = last and last[0]
+            for block, guest, doc_id, version, text in zip(*[batch.column(c).to_pylist() for c in ("block", "guest", "doc_id", "version", "text")]):
+                name = (block, guest, doc_id, version)
+                if name != before:
+                    own.append((name, guest, doc_id, version, text))
+                before = name
+            prints = digests([d[4].encode() for d in own])
+            run_ = [*([last] if last else []), *[(*d, p) for d, p in zip(own, prints)]]
+            pairs = [(a, b) for a, b in zip(run_, run_[1:]) if not a[1]]
+            last = run_[-1] if run_ else None
+            if not pairs:
+                continue
+            edited = [(a[4][: len(a[4]) - len(a[4]) // 4] + b[4][: len(a[4]) // 4]).encode() for a, b in pairs]
+            edited_prints, own_prints = digests(edited), [a[5] for a, _ in pairs]
+            columns = [
+                pa.array([a[2] for a, _ in pairs], batch.column("doc_id").type),
+                pa.array([a[3] for a, _ in pairs], pa.int64()),
+                pa.array([len(a[4]) for a, _ in pairs], pa.int64()),
+                pa.array([hashlib.sha256(e).digest() for e in edited], pa.binary()),
+                pa.array(own_prints, pa.binary()),
+                pa.array(edited_prints, pa.binary()),
+                pa.array(likeness(own_prints, edited_prints), pa.float64()),
+                pa.array(likeness(own_prints, [b[5] for _, b in pairs]), pa.float64()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["_id", "_version", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
+
+    kind = dealt.schema["doc_id"].dataType.simpleString()
+    schema = f"_id {kind}, _version bigint, n_chars bigint, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
+    return dealt.mapInArrow(run, schema)
 
 
 def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -166,22 +202,27 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     null ids first, then by a hash of the text; the first follows the last, and a single document
     follows itself. An empty table gives none.
 
-    The order is found on ids and hashes alone. Each text is sent once, to the task of its key, and
-    lends its beginning to the document before.
+    Splitters come from a bounded sample of ids and hashes. Each text is sent once, to the
+    range between two splitters, where its block is sorted and read as a stream.
     """
-    rows = _keyed(docs, id_col, text_col)
-    names = rows.select("doc_id", "version", "key", F.length("text").cast("bigint").alias("n_chars")).distinct()
-    order = stored(number_rows(names, "doc_id", "version", name="place", total="total"), "order")
-    before = order.select(F.col("key").alias("before_key"), F.col("n_chars").alias("before_chars"), (F.col("place") % F.col("total") + 1).alias("place"))
-    turn = stored(order.join(before, "place").select("key", "n_chars", "before_key", "before_chars"), "turn")
-    texts = rows.select("key", "text").dropDuplicates(["key"])
-    lent = texts.join(turn, "key").select(
-        F.col("before_key").alias("_key"), F.col("before_chars").alias("n_chars"), "text", _lent(F.col("text"), F.col("before_chars")).alias("lent")
-    )
-    kept = F.substring("text", F.lit(1), (F.col("n_chars") - F.floor(F.col("n_chars") / 4)).cast("int"))
-    pairs = texts.join(_lend(lent), F.col("key") == F.col("_key")).withColumn("edited", F.concat(kept, "lent"))
-    sha = F.unhex(F.sha2("edited", 256)).alias("edited_sha256")
-    found = _digest(pairs.select("key", "n_chars", "text", "edited", "following", sha))
+    rows = narrow(docs, doc_id=id_col, text=text_col).withColumn("text", F.coalesce("text", F.lit("")))
+    rows = rows.select("doc_id", F.xxhash64("text").alias("version"), "text")
+    names = stored(rows.select("doc_id", "version", F.octet_length("text").alias("size")), "names")
+    whole = names.agg(F.count("*").alias("rows"), F.sum(F.col("size").cast("bigint")).alias("bytes")).first()
+    kind = names.schema["doc_id"].dataType.simpleString()
+    if not whole["rows"]:
+        schema = f"doc_id {kind}, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+        return docs.sparkSession.createDataFrame([], schema)
+    blocks = min(MOST_BLOCKS, 1 + whole["bytes"] // BLOCK_BYTES)
+    every = max(1, whole["rows"] // (_SAMPLES * blocks))
+    # About _SAMPLES names a block, and the first of all.
+    sample = names.where(F.pmod(F.xxhash64("doc_id", "version"), F.lit(every)) == 0).select("doc_id", "version").distinct()
+    ordered = sorted({_order(*r) for r in sample.limit(2 * _SAMPLES * blocks).collect()})
+    first = names.select("doc_id", "version").orderBy(F.col("doc_id").asc_nulls_first(), "version").first()
+    splitters = sorted({_order(*first), *[ordered[len(ordered) * k // blocks] for k in range(1, blocks) if ordered]})
+    dealt = _dealt(rows, splitters)
+    found = _edits(dealt.repartition("block").sortWithinPartitions("block", "guest", F.col("doc_id").asc_nulls_first(), "version"))
     # One row a document moves once more, to every row of that document; digests go as bytes.
     spelled = [F.lower(F.hex(c)).alias(c) for c in ("edited_sha256", "fingerprint", "edited_fingerprint")]
-    return rows.select("doc_id", "key").join(found, "key").select("doc_id", "n_chars", *spelled, "near_edited", "near_next")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("version") == F.col("_version"))
+    return names.join(found, same).select("doc_id", "n_chars", *spelled, "near_edited", "near_next")
