@@ -311,6 +311,12 @@ _SELECTS = {
         UNION ALL SELECT trace_id, trace_id || '-child', 'chat', 'LLM.output',
           length(answered)::VARCHAR FROM traces""",
     "sessionize": "SELECT session_id, example_id AS trace_id, turn_no, request, response FROM examples",
+    "metadata_literals": """SELECT conv_id, turn, CASE WHEN ok THEN 'conv-' || conv_id END AS session,
+        CASE WHEN ok THEN text END AS note, CASE WHEN ok THEN turn END AS place,
+        CASE WHEN ok THEN true END AS flag, CASE WHEN ok THEN conv_id END AS last,
+        CASE WHEN ok THEN '{"flag":true,"list":[1,-2.5,' || conv_id || '],"none":null}' END AS "inner",
+        NOT ok AS unreadable
+        FROM (SELECT *, (conv_id + turn) % 7 <> 0 AS ok FROM conversations)""",
     "sessions_after_append": "SELECT session_id, example_id AS trace_id, turn_no, request, response FROM examples",
     "session_changes": """SELECT session_id, trace_id, turn_no, change FROM (
           SELECT session_id, example_id AS trace_id, turn_no, late, CASE WHEN late THEN 'added' ELSE 'replaced' END AS change,

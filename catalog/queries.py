@@ -380,6 +380,42 @@ def session_log(spark, sf_dir):
     return path
 
 
+def noted(spark, sf_dir):
+    """Every message with itself as metadata, written as Python writes a dict; some are broken."""
+    escaped = F.col("text")
+    for plain, escape in (("\\", "\\\\"), ("'", "\\'"), ("\n", "\\n"), ("\r", "\\r")):
+        escaped = F.replace(escaped, F.lit(plain), F.lit(escape))
+    conv, turn = F.col("conv_id").cast("string"), F.col("turn").cast("string")
+    session = F.when((F.col("conv_id") + F.col("turn")) % 7 == 0, F.concat(F.lit("conv-"), conv)).otherwise(
+        F.concat(F.lit("'conv-"), conv, F.lit("'"))
+    )
+    literal = F.concat(
+        F.lit("{'mlflow.trace.session': "), session, F.lit(", 'note': '"), escaped, F.lit("', \"it's\": ('a', "), turn,
+        F.lit(",), 'inner': {'flag': True, 'none': None, 'list': [1, -2.50, "), conv, F.lit("]}}"),
+    )
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", literal.alias("trace_metadata"))
+
+
+@query
+def metadata_literals(spark, sf_dir):
+    """Every key of metadata in Python literals; what is none is unreadable."""
+    found = noted(spark, sf_dir)
+    kind = found.schema["trace_metadata"].dataType
+    meta = ingest.payload.metadata_object(F.col("trace_metadata"), kind)
+    get = lambda path, to: F.try_variant_get("meta", path, to)
+    return found.select("conv_id", "turn", "trace_metadata", meta.alias("meta")).select(
+        "conv_id",
+        "turn",
+        get("$['mlflow.trace.session']", "string").alias("session"),
+        get("$.note", "string").alias("note"),
+        get("$[\"it's\"][1]", "bigint").alias("place"),
+        get("$.inner.flag", "boolean").alias("flag"),
+        get("$.inner.list[2]", "bigint").alias("last"),
+        F.to_json(get("$.inner", "variant")).alias("inner"),
+        ingest.unreadable_metadata(found).alias("unreadable"),
+    )
+
+
 @query
 def sessions_after_append(spark, sf_dir):
     """Sessions as a log of two batches leaves them: the same as built at once."""

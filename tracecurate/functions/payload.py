@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F, types as T
 
+from .literals import parse_literal
 from .text import pystrip
 
 
@@ -97,21 +98,26 @@ def is_blank_metadata(meta: Column, dtype: T.DataType) -> Column:
 
 def _key_in_text(meta: Column, key: str) -> Column:
     """Look a key up in JSON text or, when it is no JSON, in a Python dict literal."""
-    quoted = key.replace(".", r"\.")
-    literal = (
-        rf"""['"]{quoted}['"]\s*:\s*(?:'((?:[^'\\]|\\.)*)'|"((?:[^"\\]|\\.)*)")"""
-    )
-    in_literal = F.regexp_replace(
-        F.concat(F.regexp_extract(meta, literal, 1), F.regexp_extract(meta, literal, 2)),
-        r"\\(.)",
-        "$1",
-    )
+    in_literal = F.try_variant_get(parse_literal(meta), f"$['{key}']", "string")
     return F.coalesce(
         F.get_json_object(meta, f"$['{key}']"),
         F.when(F.try_parse_json(meta).isNull(), in_literal),
     )
 
 
+def metadata_object(meta: Column, dtype: T.DataType) -> Column:
+    """Whole metadata as VARIANT, whichever way it is encoded; null if it cannot be read."""
+    if isinstance(dtype, T.VariantType):
+        text = F.try_variant_get(meta, "$", "string")
+        is_text = F.schema_of_variant(meta) == "STRING"
+        return F.when(is_text, metadata_object(text, T.StringType())).otherwise(meta)
+    if not isinstance(dtype, T.StringType):
+        return F.to_variant_object(meta)
+    parsed = F.try_parse_json(meta)
+    found = F.when(parsed.isNotNull(), parsed).otherwise(parse_literal(meta))
+    return F.when(F.startswith(F.ltrim(meta), F.lit("{")), found)
+
+
 def metadata_value(meta: Column, dtype: T.DataType, key: str) -> Column:
     """Value of one metadata key, whichever way the metadata is encoded."""
     if isinstance(dtype, T.MapType):
@@ -132,12 +138,7 @@ def is_unreadable_metadata(meta: Column, dtype: T.DataType) -> Column:
         return is_text & is_unreadable_metadata(text, T.StringType())
     if not isinstance(dtype, T.StringType):
         return F.lit(False)
-    parsed = F.try_parse_json(meta)
-    json_object = F.startswith(F.ltrim(meta), F.lit("{"))
-    literal = F.rlike(meta, F.lit(r"""(?s)^\s*\{\s*(?:['"].*)?\}\s*$"""))
-    return F.coalesce(
-        (meta != "") & ~F.when(parsed.isNotNull(), json_object).otherwise(literal), F.lit(False)
-    )
+    return F.coalesce((meta != "") & metadata_object(meta, dtype).isNull(), F.lit(False))
 
 
 def unquoted(value: Column) -> Column:
