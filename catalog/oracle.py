@@ -416,6 +416,29 @@ _SELECTS = {
         FROM examples JOIN (
           SELECT session_id, row_number() OVER (ORDER BY md5(session_id || ':42'), session_id) AS place,
             count(*) OVER () AS n FROM (SELECT DISTINCT session_id FROM examples)) USING (session_id)""",
+    "leak_free_split": """SELECT * FROM (
+        WITH RECURSIVE sourced AS (
+          SELECT t.example_id, split_part(t.example_id, '#', 1) AS seed_id, md5(t.input) AS input_hash, e.session_id
+          FROM training t JOIN examples e ON e.example_id = split_part(t.example_id, '#', 1)),
+        keyed AS (SELECT example_id, unnest(['s' || session_id, 'e' || seed_id, 'i' || input_hash]) AS value FROM sourced),
+        firsts AS (SELECT value, min(example_id) AS hub FROM keyed GROUP BY value),
+        edges AS (SELECT example_id AS a, hub AS b FROM keyed JOIN firsts USING (value)
+          UNION SELECT hub, example_id FROM keyed JOIN firsts USING (value)),
+        reach AS (SELECT example_id, example_id AS other FROM sourced
+          UNION SELECT r.example_id, e.b FROM reach r JOIN edges e ON e.a = r.other),
+        parts AS (SELECT example_id, min(other) AS component FROM reach GROUP BY example_id),
+        sizes AS (SELECT component, count(*) AS size FROM parts GROUP BY component),
+        wanted AS (SELECT round_even(CAST(0.1 AS DOUBLE) * sum(size), 0) AS amount FROM sizes),
+        held AS (SELECT component FROM (
+          SELECT component, amount, sum(size) OVER (ORDER BY md5(component || ':42'), component) AS reached
+          FROM sizes, wanted WHERE size <= amount) WHERE reached <= amount),
+        left_over AS (SELECT * FROM sizes WHERE component NOT IN (SELECT component FROM held)),
+        wanted_too AS (SELECT ceil(CAST(0.1 AS DOUBLE) * sum(size)) AS amount FROM left_over),
+        checked AS (SELECT component FROM (
+          SELECT component, amount, sum(size) OVER (ORDER BY md5(component || ':43'), component) AS reached
+          FROM left_over, wanted_too WHERE size <= amount) WHERE reached <= amount)
+        SELECT example_id, component, CASE WHEN component IN (SELECT component FROM held) THEN 'holdout'
+          WHEN component IN (SELECT component FROM checked) THEN 'validation' ELSE 'train' END AS split FROM parts)""",
     "split_counts": """SELECT split, count(*) AS rows FROM (
         SELECT split FROM assigned UNION ALL SELECT 'holdout' FROM holdout) GROUP BY split""",
     "training_plan": """SELECT n AS train_rows, n // 8 AS steps_per_epoch,

@@ -785,6 +785,16 @@ def group_split(spark, sf_dir):
     return splits.split_groups(found, "session_id", CONFIG)
 
 
+@query
+def leak_free_split(spark, sf_dir):
+    """No session, seed or input on two sides of the splits."""
+    curated = stored_curated(spark, sf_dir)
+    synthetic = materialize(kept_synthetic(curated), "synthetic")
+    found = materialize(assembly.training_data(curated, synthetic), "training")
+    links = materialize(assembly.training_links(curated, synthetic), "training-links")
+    return splits.split_leak_free(found, links, CONFIG).select("example_id", "component", "split")
+
+
 @query
 def split_counts(spark, sf_dir):
     found = stored_training(spark, sf_dir)

@@ -163,6 +163,20 @@ def test_rows_that_share_an_id_are_refused(spark):
         jobs.run_evaluation(rows, None, None, new_stage_path(spark, "eval"), CONFIG)
 
 
+def test_preparation_without_leaks(spark, run):
+    """With the links of the run no session and no seed is on two sides."""
+    out = run[0]
+    prep, training = new_stage_path(spark, "prep"), spark.read.parquet(f"{out}/training_data")
+    links = spark.read.parquet(f"{out}/training_links")
+    assert training.join(links, "example_id").count() == training.count() > 0
+    jobs.run_preparation(training, prep, CONFIG, csv=False, links=links)
+    sides = [spark.read.parquet(f"{prep}/{name}").select("example_id") for name in ("holdout", "train", "validation")]
+    assert sum(s.count() for s in sides) == training.count()
+    for column in ("session_id", "seed_id"):
+        own = [{r[0] for r in s.join(links, "example_id").select(column).collect()} for s in sides]
+        assert not own[0] & own[1] and not own[0] & own[2] and not own[1] & own[2]
+
+
 def test_unreadable_traces_are_stored_and_counted(spark):
     rows = traces(spark, SF_DIR)
     broken = rows.withColumn("trace_metadata", F.when(F.col("timestamp_ms") % 2 == 0, "junk").otherwise("{}"))

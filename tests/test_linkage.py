@@ -1,0 +1,105 @@
+"""Components against a plain union-find, and splits that divide none of them."""
+
+import hashlib
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tracecurate.config import CurationConfig
+from tracecurate.operators import linkage, splits
+
+
+def plain(pairs, nodes):
+    root = {n: n for n in nodes}
+
+    def find(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+
+    for a, b in pairs:
+        a, b = sorted((find(a), find(b)))
+        root[b] = a
+    return {n: find(n) for n in nodes}
+
+
+def test_connected(spark):
+    rng = random.Random(3)
+    pairs = [(f"n{rng.randrange(300)}", f"n{rng.randrange(300)}") for _ in range(200)]
+    pairs += [(f"p{k:03d}", f"p{k + 1:03d}") for k in range(120)]  # a long path
+    pairs += [("hub", f"h{k}") for k in range(150)] + [("self", "self")]
+    found = {r.node: r.root for r in linkage.connected(spark.createDataFrame(pairs, "a string, b string")).collect()}
+    want = plain(pairs, {n for p in pairs for n in p})
+    assert found == {n: r for n, r in want.items() if n != r}
+    assert linkage.connected(spark.createDataFrame([], "a string, b string")).collect() == []
+
+
+def training_rows(spark, seed, count, big=0):
+    rng = random.Random(seed)
+    rows = []
+    for k in range(count):
+        session = f"s{rng.randrange(count // 3)}" if k >= big else "big"
+        rows.append((f"e{k}" if rng.random() < 0.5 else f"e{rng.randrange(count)}#{k}x", session, f"text {rng.randrange(4 * count)}"))
+    frame = spark.createDataFrame([(i, "curated", t, "out") for i, _, t in rows], "example_id string, source string, input string, output string")
+    links = spark.createDataFrame([(i, s, i.split("#")[0]) for i, s, _ in rows if s != "s1"], "example_id string, session_id string, seed_id string")
+    return rows, frame, links
+
+
+def plain_split(rows, config):
+    keys = {}
+    for i, session, text in rows:
+        values = ["i" + text] + ([] if session == "s1" else ["s" + session, "e" + i.split("#")[0]])
+        for v in values:
+            keys.setdefault(v, []).append(i)
+    part = plain([(g[0], x) for g in keys.values() for x in g], [i for i, _, _ in rows])
+    sizes = {}
+    for c in part.values():
+        sizes[c] = sizes.get(c, 0) + 1
+
+    def drawn(sizes, amount, seed):
+        out, reached = set(), 0
+        for c in sorted((c for c in sizes if sizes[c] <= amount), key=lambda c: (hashlib.md5(f"{c}:{seed}".encode()).hexdigest(), c)):
+            reached += sizes[c]
+            if reached > amount:
+                break
+            out.add(c)
+        return out
+
+    held = drawn(sizes, splits.holdout_size(len(rows), config), config.seed)
+    rest = {c: n for c, n in sizes.items() if c not in held}
+    checked = drawn(rest, splits.validation_size(sum(rest.values()), config), config.seed + 1)
+    return {i: (c, "holdout" if c in held else "validation" if c in checked else "train") for i, c in part.items()}
+
+
+@pytest.mark.parametrize("seed,count,big", [(1, 240, 0), (2, 150, 60), (3, 9, 0)])
+def test_leak_free_split_equals_a_plain_one(spark, seed, count, big):
+    rows, frame, links = training_rows(spark, seed, count, big)
+    config = CurationConfig(holdout_fraction=0.2)
+    found = splits.split_leak_free(frame, links, config).collect()
+    assert {r.example_id: (r.component, r.split) for r in found} == plain_split(rows, config)
+    assert len(found) == count
+    held = sum(r.split == "holdout" for r in found)
+    assert held <= splits.holdout_size(count, config)
+
+
+def test_cut_is_found_through_prefixes(spark, monkeypatch):
+    monkeypatch.setattr(splits, "_DIGITS_PER_STEP", 1)
+    sizes = [(f"c{k}", k % 7 + 1) for k in range(200)]
+    frame = spark.createDataFrame(sizes, "component string, size bigint")
+    for amount in (0, 1, 6, 100, 797, 798, 10_000):
+        chosen = {r.component for r in frame.filter(splits.draw_components(frame, amount, 5)).collect()}
+        reached, want = 0, set()
+        for c, n in sorted(sizes, key=lambda r: (hashlib.md5(f"{r[0]}:5".encode()).hexdigest(), r[0])):
+            if n <= amount:
+                reached += n
+                if reached > amount:
+                    break
+                want.add(c)
+        assert chosen == want
+
+
+def test_no_rows(spark):
+    _, frame, links = training_rows(spark, 1, 9)
+    none = splits.split_leak_free(frame.filter(F.lit(False)), links)
+    assert none.collect() == []

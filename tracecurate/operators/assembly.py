@@ -67,3 +67,13 @@ def synthetic_skipped(synthetic: DataFrame) -> DataFrame:
 def training_data(curated: DataFrame, synthetic: DataFrame) -> DataFrame:
     """All training rows. Both parts are kept whole; nothing is deduplicated."""
     return training_curated(curated).unionByName(training_synthetic(synthetic))
+
+
+def training_links(curated: DataFrame, synthetic: DataFrame) -> DataFrame:
+    """(example_id, session_id, seed_id): where training rows come from, for splits that must not
+    divide it. The seed of a curated example is itself, that of a copy the part before ``#``
+    and the number that ``synthetic_judge_input`` puts there."""
+    seed = F.regexp_replace("example_id", "#[^#]*$", "")
+    return curated.select("example_id", "session_id", F.col("example_id").alias("seed_id")).unionByName(
+        synthetic.select("example_id", "session_id", seed.alias("seed_id"))
+    )

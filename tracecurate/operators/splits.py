@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..config import CurationConfig
 from ..sources.staging import materialize
+from .linkage import row_components
 from .numbering import number_rows
 
 _DIGITS_PER_STEP = 4
@@ -124,3 +125,74 @@ def split_groups(
     groups = materialize(df.filter(F.col(group).isNotNull()).select(group).distinct(), "groups")
     chosen = draw(groups, holdout_size(groups.count(), config), group, config.seed)
     return df.withColumn("split", F.when(chosen, "holdout").otherwise("train"))
+
+
+def _first_beyond(draws: DataFrame, amount: int):
+    """The ``(place, key)`` at which the running sum of ``size`` first exceeds ``amount``, in the
+    order of places; None if it never does. Found from sums over hash prefixes, as in
+    ``_kth_place``."""
+    total = draws.agg(F.sum("size").alias("size")).first()["size"]
+    if total is None or total <= amount:
+        return None
+    prefix, left, rows = "", amount, None
+    running = Window.orderBy("digits").rowsBetween(Window.unboundedPreceding, -1)
+    while len(prefix) < _HASH_DIGITS and rows != 1:
+        sums = (
+            draws.filter(F.startswith("place", F.lit(prefix)))
+            .groupBy(F.substring("place", 1, len(prefix) + _DIGITS_PER_STEP).alias("digits"))
+            .agg(F.sum("size").alias("size"), F.count("*").alias("rows"))
+            .withColumn("before", F.coalesce(F.sum("size").over(running), F.lit(0)))
+        )
+        beyond = sums.filter((F.col("before") <= left) & (F.col("before") + F.col("size") > left))
+        found = beyond.first()
+        prefix, left, rows = found["digits"], left - found["before"], found["rows"]
+    # Left are those of one hash, in practice a single one.
+    reached = F.sum("size").over(Window.orderBy("key").rowsBetween(Window.unboundedPreceding, 0))
+    last = draws.filter(F.startswith("place", F.lit(prefix))).withColumn("reached", reached)
+    return last.filter(F.col("reached") > left).orderBy("key").first()
+
+
+def draw_components(sizes: DataFrame, rows: int, seed: int) -> Column:
+    """Predicate on (component, size): a weighted lottery that draws at most ``rows`` rows.
+
+    A component with more rows than that is never drawn; of the others those are that come
+    first, as long as their rows fit. ``sizes`` is a stored table.
+    """
+    place, key = lottery("component", seed), F.col("component").cast("string")
+    fits = F.col("size") <= rows
+    draws = sizes.filter(fits).select(place.alias("place"), key.alias("key"), "size")
+    first = _first_beyond(draws, rows)
+    if first is None:
+        return fits
+    before = (place < first["place"]) | ((place == first["place"]) & (key < first["key"]))
+    return fits & before
+
+
+def split_leak_free(
+    training: DataFrame,
+    links: DataFrame,
+    config: CurationConfig = CurationConfig(),
+) -> DataFrame:
+    """``training`` with ``component`` and ``split``: ``holdout``, ``validation`` or ``train``.
+
+    Rows of one session, copies of one seed and rows with equal input stay on one side, also
+    when they are linked through others. ``links`` has ``example_id, session_id, seed_id``; a
+    training row without an entry there is linked by its input alone. Shares are of rows: as
+    many components are drawn as fit into the size of an ordinary holdout and validation part.
+    """
+    keyed = training.select("example_id", F.md5("input").alias("input_hash")).join(
+        links.select("example_id", "session_id", "seed_id"), "example_id", "left"
+    )
+    keyed = materialize(keyed, "keyed")
+    parts = materialize(row_components(keyed, ["session_id", "seed_id", "input_hash"]), "components")
+    sizes = materialize(parts.groupBy("component").agg(F.count("*").alias("size")), "sizes")
+
+    def rows(of: DataFrame) -> int:
+        return of.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("rows")).first()["rows"]
+
+    held = draw_components(sizes, holdout_size(rows(sizes), config), config.seed)
+    rest = materialize(sizes.filter(~held), "rest")
+    checked = draw_components(rest, validation_size(rows(rest), config), config.seed + 1)
+    split = F.when(held, "holdout").when(checked, "validation").otherwise("train")
+    assigned = parts.join(sizes.select("component", split.alias("split")), "component")
+    return training.join(assigned.select("example_id", "component", "split"), "example_id")

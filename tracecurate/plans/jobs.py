@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Observation, functions as F
 from ..config import ChatTemplate, CurationConfig
 from ..functions.prompts import chat_text
 from ..functions.text import format_transcript, message, messages_to_json, parse_transcript
-from ..operators.assembly import synthetic_skipped, training_data
+from ..operators.assembly import synthetic_skipped, training_data, training_links
 from ..operators.compare import eval_answers, eval_requests, eval_results
 from ..operators.completions import (
     Completer,
@@ -36,7 +36,7 @@ from ..operators.scoring import (
 )
 from ..operators.seeding import new_run_id, prompt_requests, seed_traces
 from ..operators.sessions import unroll_examples
-from ..operators.splits import split_holdout, split_validation, with_example_id
+from ..operators.splits import split_holdout, split_leak_free, split_validation, with_example_id
 from ..operators.synthesis import (
     generate_examples,
     judge_synthetic,
@@ -93,10 +93,18 @@ def prepare(
     training: DataFrame,
     config: CurationConfig = CurationConfig(),
     template: ChatTemplate = ChatTemplate(),
+    links: DataFrame | None = None,
 ) -> PreparedData:
-    """Split off the holdout, split the rest, render chat text. ``training`` is stored."""
-    holdout, rest = split_holdout(training, config)
-    assigned = split_validation(rest, config)
+    """Split off the holdout, split the rest, render chat text. ``training`` is stored.
+
+    With ``links`` no session, seed or input is on two sides, see ``split_leak_free``.
+    """
+    if links is None:
+        holdout, rest = split_holdout(training, config)
+        assigned = split_validation(rest, config)
+    else:
+        assigned = materialize(split_leak_free(training, links, config), "assigned")
+        holdout = assigned.filter("split = 'holdout'").select(training.columns)
 
     def texts(split: str) -> DataFrame:
         return training_text(assigned.filter(F.col("split") == split), template).select(
@@ -194,6 +202,7 @@ def run_curation(
     )
     training = store(assembled, "training_data")
     export(training.drop("example_id"), "training_data")
+    training_links(curated, synthetic).write.mode("overwrite").parquet(f"{out}/training_links")
     synthetic_skipped(synthetic).write.mode("overwrite").parquet(f"{out}/synthetic_skipped")
 
     first, generated = judged_seen.get, written_seen.get["rows"]
@@ -229,16 +238,19 @@ def run_preparation(
     template: ChatTemplate = ChatTemplate(),
     csv: bool = True,
     tokens=words,
+    links: DataFrame | None = None,
 ) -> dict[str, int]:
     """Training rows to a holdout and to chat texts below ``out``; returns sizes and plan.
 
+    ``links``, the table ``training_links`` of a curation run, makes the splits free of leaks.
+
     Chat texts come with their length in ``tokens``, what the sequence cap leaves of it, and
     whether it cuts; ``report.truncate_tokens`` does the cutting.
     """
     if "example_id" not in training.columns:
         training = with_example_id(training)
     training = _with_unique_ids(materialize(training, "training", f"{out}/training"))
-    prepared = prepare(training, config, template)
+    prepared = prepare(training, config, template, links)
     prepared.holdout.write.mode("overwrite").parquet(f"{out}/holdout")
     if csv:
         write_csv(prepared.holdout.drop("example_id"), f"{out}/holdout_csv")
