@@ -328,6 +328,11 @@ _SELECTS = {
         conversation_str, target_response FROM examples""",
     "unroll_examples_blocks": """SELECT example_id, session_id, turn_no,
         2 * turn_no - 1 AS n_messages, conversation_str, target_response FROM examples""",
+    "unroll_examples_chain": """SELECT example_id, session_id, turn_no,
+        2 * turn_no - 1 AS n_messages, conversation_str, target_response FROM examples""",
+    "rendered_requests": f"""SELECT DISTINCT {_JUDGE_KEY} AS request_key,
+        {_judge_user("conversation_str", "target_response")} AS prompt
+        FROM scored WHERE quality_score IS NULL OR quality_score < 7""",
     "sessionize_range": """SELECT session_id, example_id AS trace_id, turn_no, request, response
         FROM examples""",
     "format_transcript": "SELECT example_id, conversation_str AS transcript FROM examples",

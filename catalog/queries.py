@@ -14,6 +14,7 @@ from tracecurate.operators import (
     compare,
     completions,
     explore,
+    histories,
     increments,
     ingest,
     report,
@@ -455,6 +456,34 @@ def unroll_examples_blocks(spark, sf_dir):
     return listed_examples(sessions.unroll_examples(found, LONG, sizes))
 
 
+def stored_chain(spark, sf_dir):
+    found, sizes = turns_and_sizes(spark, sf_dir)
+    return materialize(histories.chain_turns(found, CONFIG, sizes), "chain")
+
+
+@query
+def unroll_examples_chain(spark, sf_dir):
+    """The same from turns that are stored once, in blocks of two."""
+    return listed_examples(histories.render_examples(stored_chain(spark, sf_dir), None, LONG))
+
+
+@query
+def rendered_requests(spark, sf_dir):
+    """The prompts left to ask, when only those are rendered from the stored turns."""
+    chain = stored_chain(spark, sf_dir)
+    found = completions.with_judge_key(histories.render_examples(chain, None, LONG), config=CONFIG)
+    keys = materialize(found.select("example_id", "session_id", "turn_no", "request_key"), "keys")
+    good = scoring.keep_good(scored_examples(spark, sf_dir), CONFIG)
+    answered = completions.with_judge_key(good, config=CONFIG).select("request_key")
+    example = F.min(F.struct("example_id", "session_id", "turn_no")).alias("example")
+    left = keys.join(answered, "request_key", "left_anti").groupBy("request_key").agg(example)
+    wanted = materialize(left.select("request_key", "example.*"), "wanted")
+    rendered = histories.render_examples(chain, wanted, LONG)
+    return completions.keyed_judge_requests(rendered, config=CONFIG).select(
+        "request_key", F.element_at("messages", 2)["content"].alias("prompt")
+    )
+
+
 @query
 def format_transcript(spark, sf_dir):
     return examples(spark, sf_dir).select(

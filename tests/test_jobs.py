@@ -69,6 +69,13 @@ def test_counts_agree_with_the_tables(spark, run):
     assert asked <= counts["examples"] + counts["generated"] + counts["synthetic_judged"]
 
 
+def test_only_outputs_hold_histories(spark, run):
+    columns = lambda name: spark.read.parquet(f"{run[0]}/{name}").columns
+    assert columns("chain") == ["example_id", "session_id", "turn_no", "request", "response"]
+    for name in ("judge_keys", "scored"):
+        assert not {"messages", "conversation_str", "target_response"} & set(columns(name))
+
+
 def test_a_second_run_asks_nothing(spark, run):
     out, counts, notes, asked = run
     again = jobs.run_curation(traces(spark, SF_DIR), model(notes), out, CONFIG, csv=False)

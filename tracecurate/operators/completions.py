@@ -18,6 +18,7 @@ from ..config import CurationConfig
 from ..functions.payload import completion_text
 from ..functions.prompts import generate_messages, judge_messages
 from ..schema import RESPONSES, require_columns
+from ..sources.staging import materialize
 
 # messages, temperature, max_tokens -> text, or a list of parts with "content"
 Completer = Callable[[list[dict], float, int], "str | list[dict]"]
@@ -61,7 +62,14 @@ def judge_requests(
     examples: DataFrame, stage: str = "judge", config: CurationConfig = CurationConfig()
 ) -> DataFrame:
     """One judge request per example."""
-    return with_judge_key(examples, stage, config).select(
+    return keyed_judge_requests(with_judge_key(examples, stage, config), stage, config)
+
+
+def keyed_judge_requests(
+    keyed: DataFrame, stage: str = "judge", config: CurationConfig = CurationConfig()
+) -> DataFrame:
+    """The same for examples that carry their ``request_key``."""
+    return keyed.select(
         "request_key",
         F.lit(stage).alias("stage"),
         "example_id",
@@ -283,9 +291,48 @@ def complete_pending(
         answers = complete_with(pending, complete, concurrency, None, attempts)
         answers.write.mode("append").parquet(path)
     if not skip_errors:
-        asked = requests.select("request_key").distinct()
-        failures = read_failures(spark, path).join(asked, "request_key", "left_semi")
-        count, reason = failures.agg(F.count("*"), F.max("error")).first()
-        if count:
-            raise RuntimeError(f"{count} requests have no answer; one of the reasons: {reason}")
+        _raise_failures(requests, path)
+    return read_responses(spark, path)
+
+
+def _raise_failures(requests: DataFrame, path: str) -> None:
+    asked = requests.select("request_key").distinct()
+    failures = read_failures(requests.sparkSession, path).join(asked, "request_key", "left_semi")
+    count, reason = failures.agg(F.count("*"), F.max("error")).first()
+    if count:
+        raise RuntimeError(f"{count} requests have no answer; one of the reasons: {reason}")
+
+
+def complete_wanted(
+    keys: DataFrame,
+    requests_of: Callable[[DataFrame], DataFrame],
+    path: str,
+    complete: Completer,
+    concurrency: int = 8,
+    waves: int = 1,
+    tasks: int = 8,
+    attempts: int = 1,
+) -> DataFrame:
+    """``complete_pending`` for prompts that are not stored: only those still wanted are written.
+
+    ``keys`` is a stored table with ``request_key`` and what names an example. Of the examples that
+    share a key the least is asked; ``requests_of`` gets those rows and gives their requests. So
+    a run that has little left to ask renders and moves that little. A row without a key is
+    not asked.
+    """
+    spark = keys.sparkSession
+    example = F.struct(*[c for c in keys.columns if c != "request_key"])
+    for wave in range(waves):
+        part = keys.filter(F.pmod(F.xxhash64("request_key"), F.lit(waves)) == wave)
+        part = part.filter(F.col("request_key").isNotNull())
+        answered = read_responses(spark, path)
+        if answered is not None:
+            part = part.join(answered.select("request_key"), "request_key", "left_anti")
+        wanted = part.groupBy("request_key").agg(F.min(example).alias("example"))
+        wanted = materialize(wanted.select("request_key", "example.*"), "wanted")
+        # Even a table without answers is begun, so that it can be read.
+        if answered is None or not wanted.isEmpty():
+            answers = complete_with(requests_of(wanted), complete, concurrency, tasks, attempts)
+            answers.write.mode("append").parquet(path)
+    _raise_failures(keys, path)
     return read_responses(spark, path)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..config import CurationConfig
 from ..functions.text import ASSISTANT_PREFIX, USER_PREFIX, message
@@ -103,6 +103,27 @@ def _history_by_blocks(turns: DataFrame, block_turns: int) -> DataFrame:
     )
 
 
+def example_texts(history: Column, request: Column) -> tuple[Column, Column]:
+    """Messages and transcript of a request after its ``history`` of turns."""
+    earlier_messages = F.flatten(
+        F.transform(
+            history,
+            lambda t: F.array(message("user", t["request"]), message("assistant", t["response"])),
+        )
+    )
+    earlier_lines = F.transform(
+        history,
+        lambda t: F.concat(
+            F.lit(USER_PREFIX), t["request"], F.lit("\n" + ASSISTANT_PREFIX), t["response"]
+        ),
+    )
+    last_line = F.array(F.concat(F.lit(USER_PREFIX), request))
+    return (
+        F.concat(earlier_messages, F.array(message("user", request))),
+        F.array_join(F.concat(earlier_lines, last_line), "\n"),
+    )
+
+
 def unroll_examples(
     turns: DataFrame,
     config: CurationConfig = CurationConfig(),
@@ -125,25 +146,12 @@ def unroll_examples(
         with_history = with_history.unionByName(
             _history_by_blocks(large, config.history_block_turns)
         )
-    request = F.col("turn.request")
-    earlier_messages = F.flatten(
-        F.transform(
-            "history",
-            lambda t: F.array(message("user", t["request"]), message("assistant", t["response"])),
-        )
-    )
-    earlier_lines = F.transform(
-        "history",
-        lambda t: F.concat(
-            F.lit(USER_PREFIX), t["request"], F.lit("\n" + ASSISTANT_PREFIX), t["response"]
-        ),
-    )
-    last_line = F.array(F.concat(F.lit(USER_PREFIX), request))
+    messages, transcript = example_texts(F.col("history"), F.col("turn.request"))
     return with_history.select(
         F.col("trace_id").alias("example_id"),
         "session_id",
         "turn_no",
-        F.concat(earlier_messages, F.array(message("user", request))).alias("messages"),
+        messages.alias("messages"),
         F.col("turn.response").alias("target_response"),
-        F.array_join(F.concat(earlier_lines, last_line), "\n").alias("conversation_str"),
+        transcript.alias("conversation_str"),
     )

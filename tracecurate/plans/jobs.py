@@ -19,11 +19,14 @@ from ..operators.compare import eval_answers, eval_requests, eval_results
 from ..operators.completions import (
     Completer,
     complete_pending,
+    complete_wanted,
     generate_requests,
     judge_requests,
+    keyed_judge_requests,
     read_failures,
     with_judge_key,
 )
+from ..operators.histories import chain_turns, render_examples
 from ..operators.increments import latest_deliveries
 from ..operators.ingest import clean_turns, quarantined_traces, scan_traces
 from ..operators.report import length_budget, training_plan, turn_counts, words
@@ -114,6 +117,19 @@ def prepare(
     return PreparedData(holdout, texts("train"), texts("validation"))
 
 
+# Columns of the stored examples that were kept.
+CURATED = (
+    "example_id",
+    "session_id",
+    "turn_no",
+    "messages",
+    "target_response",
+    "judge_content",
+    "quality_score",
+    "judge_reason",
+)
+
+
 def _observed(df: DataFrame, name: str, **counts: Column) -> tuple[DataFrame, Observation]:
     """Count rows while they are written, without a job of their own."""
     seen = Observation(name)
@@ -166,20 +182,33 @@ def run_curation(
     if distinct < delivered:  # a trace that was delivered twice is one example
         repeated = delivered - distinct
         turns = store(latest_deliveries(turns), "distinct_turns")
-    # Histories are most of the data. They are stored and shuffled once, as messages; the
-    # transcript is rendered from them wherever it is read.
-    stored = store(unroll_examples(turns, config).drop("conversation_str"), "examples")
-    examples = _with_transcript(stored)
-
-    answers = ask(judge_requests(examples, config=config), "judge")
-    keyed = with_judge_key(examples, config=config).drop("conversation_str")
-    judged, judged_seen = _observed(score_keyed(keyed, answers), "judged", kept=kept)
-    scored = _with_transcript(store(judged, "scored"))
-    report = store(scores_report(scored, config), "scores_report")
-    export(report, "scores_report")
-    curated = keep_good(scored, config)
-    curated.drop("conversation_str").write.mode("overwrite").parquet(f"{out}/curated_traces")
+    # Turns are stored once, with their place. Histories are rendered from them where they are
+    # read; stored are only those of the outputs.
+    chain = store(chain_turns(turns, config), "chain")
+    keyed = with_judge_key(render_examples(chain, None, config), config=config)
+    keys = store(keyed.select("example_id", "session_id", "turn_no", "request_key"), "judge_keys")
+
+    def requests_of(wanted: DataFrame) -> DataFrame:
+        return keyed_judge_requests(render_examples(chain, wanted, config), config=config)
+
+    answers = complete_wanted(
+        keys,
+        requests_of,
+        f"{out}/responses/judge",
+        complete,
+        config.concurrency,
+        config.call_waves,
+        config.call_tasks,
+        config.attempts,
+    )
+    judged, judged_seen = _observed(score_keyed(keys, answers), "judged", kept=kept)
+    scored = store(judged, "scored")
+    report = scores_report(render_examples(chain, scored, config), config)
+    export(store(report, "scores_report"), "scores_report")
+    kept_examples = render_examples(chain, keep_good(scored, config), config)
+    curated = store(kept_examples.select(*CURATED), "curated_traces")
     export(curated.withColumn("messages", messages_to_json(F.col("messages"))), "curated_traces")
+    curated = _with_transcript(curated)
 
     seeds = curated.select("example_id", "session_id", "conversation_str", "target_response")
     answers = ask(generate_requests(seeds, config), "generate", unique_keys=True)
