@@ -8,7 +8,7 @@ from operator import or_
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..config import ATTRIBUTE_WORDS
-from .ingest import nth_newest
+from .selection import nth_newest
 
 
 def session_search(traces: DataFrame) -> DataFrame:

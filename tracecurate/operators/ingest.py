@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from ..config import CurationConfig
 from ..functions import payload
 from ..schema import CORRUPT, require_columns
+from .selection import nth_newest
 
 
 def scan_traces(traces: DataFrame, max_results: int | None) -> DataFrame:
@@ -29,17 +30,6 @@ def scan_traces(traces: DataFrame, max_results: int | None) -> DataFrame:
     return traces.filter((age > last["age"]) | ((age == last["age"]) & (key <= last["trace_id"])))
 
 
-def nth_newest(rows: DataFrame, position: int):
-    """The row at a place of ``(at, trace_id)`` rows, newest first; None beyond the end."""
-    first = rows.orderBy(F.col("at").desc(), "trace_id").limit(position)
-    ages = first.groupBy(F.unix_micros("at").alias("age")).agg(
-        F.max("trace_id").alias("trace_id"), F.count("*").alias("n")
-    )
-    # The last has the least time and, among those, the greatest id.
-    found = ages.agg(F.sum("n").alias("n"), F.min(F.struct("age", "trace_id")).alias("last")).first()
-    return found["last"] if found["n"] == position else None
-
-
 def event_time(traces: DataFrame) -> Column:
     """``request_time``, else ``timestamp_ms``, as a timestamp; the epoch without both."""
     found = []
