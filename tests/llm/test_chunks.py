@@ -57,7 +57,8 @@ def test_edges(make_docs, edge_pairs):
     kept = chunks.remove_repeats(docs)
     assert kept.columns == docs.columns
     texts = sorted((r.doc_id is None, r.doc_id or 0, r.text or "", r.text is None) for r in kept.collect())
-    want = sorted((i is None, i or 0, t or "", t is None) for i, t in edge_pairs if i != 9)
+    # Document 5 is a whole copy of document 4, short as it is.
+    want = sorted((i is None, i or 0, "" if i == 5 else t or "", t is None) for i, t in edge_pairs if i != 9)
     assert [t for t in texts if t[1] != 9] == want
     assert chunks.find_repeats(make_docs([])).collect() == []
     assert chunks.remove_repeats(make_docs([])).collect() == []
@@ -70,6 +71,15 @@ def test_rows_of_one_id_are_told_apart(make_docs):
     assert kept == sorted([(1, a), (2, ""), (2, b), (2, b), (3, "")])
 
 
+def test_short_texts_are_found_as_wholes_only(make_docs):
+    """A stretch under 64 bytes counts if it is all of its text, in one chunk or in several."""
+    several = next(t for t in (words(k, 9)[:63] for k in range(700, 900)) if len(chunks.cuts(t.encode())) > 1)
+    pairs = [(1, "one"), (2, "one"), (3, "one"), (4, "none"), (5, several), (6, several), (7, several + "!"), (8, "one " + words(30, 50))]
+    found = {r.doc_id: (r.first_doc_id, r.start, r.end, r.chunks) for r in chunks.find_repeats(make_docs(pairs)).collect()}
+    size = len(several)
+    assert found == {2: (1, 0, 3, 1), 3: (1, 0, 3, 1), 6: (5, 0, size, len(chunks.cuts(several.encode())))}
+
+
 def test_copies_lose_all_but_the_first(make_docs):
     text = "é" * 3 + words(9, 400) + "ü"
     kept = {r.doc_id: r.text for r in chunks.remove_repeats(make_docs([(3, text), (1, text), (2, text)])).collect()}
@@ -77,12 +87,12 @@ def test_copies_lose_all_but_the_first(make_docs):
 
 
 def test_given_tables_against_brute_force(spark):
-    """Every later exact copy of a whole long text is found from end to end."""
+    """Every later exact copy of a whole text is found from end to end, short ones too."""
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     rows = sorted((r.doc_id, r.text) for r in docs.collect())
     first, later = {}, {}
     for i, t in rows:
-        if first.setdefault(t, i) != i and len(t.encode()) >= 64:
+        if first.setdefault(t, i) != i and t:
             later[i] = len(t.encode())
     found = {r.doc_id: (r.a, r.b) for r in chunks.find_repeats(docs).groupBy("doc_id").agg(F.min("start").alias("a"), F.max("end").alias("b")).collect()}
     assert later and all(found[i] == (0, n) for i, n in later.items())

@@ -74,12 +74,13 @@ def cuts(text: bytes) -> np.ndarray:
 
 
 def chunk_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, version, chunk, start, bytes, digest) of every chunk of every text, in bytes of
-    UTF-8. ``version`` tells apart rows of one id with different texts."""
+    """(doc_id, version, chunk, start, bytes, last, digest) of every chunk of every text, in bytes
+    of UTF-8; ``last`` is the chunk at the end of its text. ``version`` tells apart rows of one id
+    with different texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, chunks, starts, sizes, digests = [], [], [], [], []
+            ids, chunks, starts, sizes, lasts, digests = [], [], [], [], [], []
             held = 0
             rows_of = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), byte_texts(batch.column(2)), strict=True)
             for doc, version, text in rows_of:
@@ -93,14 +94,15 @@ def chunk_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                     chunks.append(np.arange(k, k + len(a), dtype=np.int64))
                     starts.append(a)
                     sizes.append(b - a)
+                    lasts.append(b == len(text))
                     held += len(a)
                     if held >= 50_000:
-                        yield pack(ids, chunks, starts, sizes, digests)
-                        ids, chunks, starts, sizes, digests, held = [], [], [], [], [], 0
+                        yield pack(ids, chunks, starts, sizes, lasts, digests)
+                        ids, chunks, starts, sizes, lasts, digests, held = [], [], [], [], [], [], 0
             if held:
-                yield pack(ids, chunks, starts, sizes, digests)
+                yield pack(ids, chunks, starts, sizes, lasts, digests)
 
-    def pack(ids, chunks, starts, sizes, digests) -> pa.RecordBatch:
+    def pack(ids, chunks, starts, sizes, lasts, digests) -> pa.RecordBatch:
         owner = pa.array(np.repeat(np.arange(len(ids)), [n for _, _, n in ids]))
         return pa.RecordBatch.from_arrays(
             [
@@ -109,25 +111,26 @@ def chunk_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                 pa.array(np.concatenate(chunks)),
                 pa.array(np.concatenate(starts)),
                 pa.array(np.concatenate(sizes).astype(np.int32)),
+                pa.array(np.concatenate(lasts)),
                 pa.array(digests, pa.binary()),
             ],
-            ["doc_id", "version", "chunk", "start", "bytes", "digest"],
+            ["doc_id", "version", "chunk", "start", "bytes", "last", "digest"],
         )
 
     rows = narrow(docs, doc_id=id_col, text=text_col).where("doc_id is not null and text is not null")
     rows = rows.select("doc_id", F.hash("text").alias("version"), "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
     id_type = pa.string() if kind == "string" else pa.int32() if kind == "int" else pa.int64()
-    return rows.mapInArrow(run, f"doc_id {kind}, version int, chunk bigint, start bigint, bytes int, digest binary")
+    return rows.mapInArrow(run, f"doc_id {kind}, version int, chunk bigint, start bigint, bytes int, last boolean, digest binary")
 
 
 def find_repeats(docs: DataFrame, least_bytes: int = 64, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Repeated stretches as (doc_id, first_doc_id, start, end, chunks), offsets in UTF-8 bytes.
 
     A stretch is a run of neighbouring chunks that each occurred before, in a document of a
-    smaller id or earlier in the same one, of at least ``least_bytes``; ``first_doc_id`` is
-    the smallest document that holds one of its chunks. Documents without an id, null and
-    empty texts are in no row. Rows of one id and text are one document, so neither is a copy
+    smaller id or earlier in the same one, of at least ``least_bytes`` unless it is a whole text,
+    which may be of any size; ``first_doc_id`` is the smallest document that holds one of its
+    chunks. Documents without an id, null and empty texts are in no row. Rows of one id and text are one document, so neither is a copy
     of the other; rows of one id and different texts are compared like any two.
     """
     return _stretches(docs, least_bytes, id_col, text_col).drop("version")
@@ -142,7 +145,7 @@ def _stretches(docs: DataFrame, least_bytes: int, id_col: str = "doc_id", text_c
     copies = (
         chunks.join(firsts, F.col("digest") == F.col("_digest"))
         .where(place > F.col("first"))
-        .select("doc_id", "version", "chunk", "start", (F.col("start") + F.col("bytes")).alias("end"), F.col("first.doc_id").alias("first_doc_id"))
+        .select("doc_id", "version", "chunk", "start", (F.col("start") + F.col("bytes")).alias("end"), "last", F.col("first.doc_id").alias("first_doc_id"))
     )
     order = W.partitionBy("doc_id", "version").orderBy("chunk")
     return (
@@ -153,9 +156,10 @@ def _stretches(docs: DataFrame, least_bytes: int, id_col: str = "doc_id", text_c
             F.min("start").alias("start"),
             F.max("end").alias("end"),
             F.count_distinct("chunk").alias("chunks"),
+            ((F.min("start") == 0) & F.bool_or("last")).alias("whole"),
         )
-        .where(F.col("end") - F.col("start") >= least_bytes)
-        .drop("run")
+        .where(F.col("whole") | (F.col("end") - F.col("start") >= least_bytes))
+        .drop("run", "whole")
     )
 
 
