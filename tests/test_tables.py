@@ -32,6 +32,16 @@ def test_csv_round_trip(spark):
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
 
 
+def test_csv_is_cut_into_files_that_tasks_read_alone(spark):
+    rows = [(f"s{i}", f"line\n\"{i}\", {i}", f"out {i}\r\n") for i in range(95)]
+    df = spark.createDataFrame(rows, TRAINING).coalesce(1)
+    path = new_stage_path(spark, "csv")
+    tables.write_csv(df, path, rows_per_file=10)
+    back = tables.read_csv(spark, path, TRAINING)
+    assert len(back.inputFiles()) == 10
+    assert sorted(map(tuple, back.collect())) == sorted(rows)
+
+
 def test_empty_text_comes_back_null(spark):
     df = spark.createDataFrame([("s", "", "x")], TRAINING)
     path = new_stage_path(spark, "csv")

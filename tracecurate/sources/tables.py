@@ -56,8 +56,13 @@ def read_prompts(spark: SparkSession, path: str, file_format: str = "csv") -> Da
     return _guarded(reader.format(file_format).load, path)
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).options(**CSV_WRITE).csv(path)
+def write_csv(
+    df: DataFrame, path: str, mode: str = "overwrite", rows_per_file: int = 100_000
+) -> None:
+    """Write CSV in files of at most ``rows_per_file`` rows. Texts hold line ends, so a file cannot
+    be split: it is read by one task, and more files are what lets more tasks read."""
+    writer = df.write.mode(mode).options(**CSV_WRITE).option("maxRecordsPerFile", rows_per_file)
+    writer.csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
