@@ -48,11 +48,15 @@ class CurationConfig:
     generate_temperature: float = 0.8
     generate_max_tokens: int = 8192
     eval_max_tokens: int = 512
+    seed_temperature: float = 1.0
+    seed_max_tokens: int = 4096
     # Calls in flight in each task, tasks, jobs that are committed one by one, and tries.
     concurrency: int = 8
     call_tasks: int = 8
     call_waves: int = 4
     attempts: int = 3
+    # Calls that all tasks together may begin in a second; None for any number.
+    calls_per_second: float | None = None
 
     # splits and training plan
     holdout_fraction: float = 0.1

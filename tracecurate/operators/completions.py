@@ -7,6 +7,8 @@ read: ``complete_pending`` writes answers to a table, and nothing else calls the
 from __future__ import annotations
 
 import json
+import threading
+import time
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 
@@ -19,6 +21,8 @@ from ..functions.payload import completion_text
 from ..functions.prompts import generate_messages, judge_messages
 from ..schema import RESPONSES, require_columns
 from ..sources.staging import materialize
+from .dealing import call_cost, deal_by_cost
+from .increments import sift
 
 # messages, temperature, max_tokens -> text, or a list of parts with "content"
 Completer = Callable[[list[dict], float, int], "str | list[dict]"]
@@ -68,8 +72,9 @@ def judge_requests(
 def keyed_judge_requests(
     keyed: DataFrame, stage: str = "judge", config: CurationConfig = CurationConfig()
 ) -> DataFrame:
-    """The same for examples that carry their ``request_key``."""
+    """The same for examples that carry their ``request_key``, and their ``task`` if they were dealt."""
     return keyed.select(
+        *[c for c in ("task",) if c in keyed.columns],
         "request_key",
         F.lit(stage).alias("stage"),
         "example_id",
@@ -111,6 +116,12 @@ def with_generate_key(
     )
 
 
+def judge_cost(config: CurationConfig = CurationConfig()) -> Column:
+    """Estimated tokens of a judge call over an example."""
+    letters = F.length("conversation_str") + F.length("target_response") + len(config.judge_system)
+    return call_cost(letters, config.judge_max_tokens)
+
+
 def generate_requests(
     seeds: DataFrame, config: CurationConfig = CurationConfig()
 ) -> DataFrame:
@@ -191,23 +202,41 @@ def complete_with(
     concurrency: int = 8,
     tasks: int | None = 8,
     attempts: int = 1,
+    calls_per_second: float | None = None,
 ) -> DataFrame:
     """Ask the model for every request: ``(request_key, raw, error)``.
 
-    ``tasks`` is how many parts the requests are dealt into (None: they are dealt already),
-    ``concurrency`` how many calls each has in flight. A call that fails ``attempts`` times gives a row with the error and
-    no answer, so it costs none of the answers around it.
+    ``tasks`` is how many parts the requests are dealt into, by their ``task`` if they have one
+    (None: they are dealt already), ``concurrency`` how many calls each has in flight. All calls
+    of a task share its part of ``calls_per_second``, repeated ones included. A call that
+    fails ``attempts`` times gives a row with the error and no answer, so it costs none of the
+    answers around it.
     """
-
-    def ask(messages: str, temperature: float, max_tokens: int):
-        for left in reversed(range(max(1, attempts))):
-            try:
-                return complete(json.loads(messages), temperature, max_tokens), None
-            except Exception as error:
-                if not left:
-                    return None, f"{type(error).__name__}: {error}"
+    if tasks is not None:
+        by_task = "task" in requests.columns
+        requests = requests.repartitionById(tasks, F.col("task")) if by_task else requests.repartition(tasks)
+    pause = 0.0 if calls_per_second is None else (tasks or 1) / calls_per_second
 
     def answer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        turn, free_at = threading.Lock(), time.monotonic()
+
+        def wait() -> None:
+            nonlocal free_at
+            with turn:
+                begin = max(free_at, time.monotonic())
+                free_at = begin + pause
+            time.sleep(max(0.0, begin - time.monotonic()))
+
+        def ask(messages: str, temperature: float, max_tokens: int):
+            for left in reversed(range(max(1, attempts))):
+                if pause:
+                    wait()
+                try:
+                    return complete(json.loads(messages), temperature, max_tokens), None
+                except Exception as error:
+                    if not left:
+                        return None, f"{type(error).__name__}: {error}"
+
         with ThreadPoolExecutor(max(1, concurrency)) as pool:
             for batch in batches:
                 found = list(
@@ -227,8 +256,6 @@ def complete_with(
                     }
                 )
 
-    if tasks is not None:
-        requests = requests.repartition(tasks)
     return (
         requests.select(
             "request_key", F.to_json("messages").alias("messages"), "temperature", "max_tokens"
@@ -266,6 +293,48 @@ def read_failures(spark: SparkSession, path: str) -> DataFrame:
     return failed.filter("answers = 0 and error is not null").drop("answers")
 
 
+def _with_row(requests: DataFrame) -> DataFrame:
+    """``_row``: what tells where a request came from, the key itself if it has no id."""
+    row = F.col("example_id") if "example_id" in requests.columns else F.col("request_key")
+    return requests.withColumn("_row", F.coalesce(row.cast("string"), F.lit("")))
+
+
+def wanted_keys(
+    requests: DataFrame, responses: DataFrame | None, unique_keys: bool = False
+) -> DataFrame:
+    """``(request_key, _row, cost)`` of the requests without an answer: for each key the least id.
+
+    ``cost`` estimates the tokens of the call. No prompt is shuffled or stored. ``unique_keys``
+    tells that no two requests share a key.
+    """
+    letters = F.aggregate("messages", F.lit(0), lambda n, m: n + F.coalesce(F.length(m["content"]), F.lit(0)))
+    keys = _with_row(requests).select(
+        "request_key", "_row", call_cost(letters, F.col("max_tokens")).alias("cost")
+    )
+    keys = keys.filter(F.col("request_key").isNotNull())
+    if responses is not None:
+        keys = keys.join(responses.select("request_key"), "request_key", "left_anti")
+    if unique_keys:
+        return keys
+    # Requests of one key have one prompt, so one cost.
+    return keys.groupBy("request_key").agg(F.min("_row").alias("_row"), F.min("cost").alias("cost"))
+
+
+def dealt_requests(
+    requests: DataFrame, wanted: DataFrame, tasks: int, unique_keys: bool = False
+) -> DataFrame:
+    """The requests of ``wanted``, a stored table of ``wanted_keys``, each with its ``task``.
+
+    Others are sifted out where they are read, by hash buckets of their rows, so what moves is
+    what is asked and little else.
+    """
+    dealt = deal_by_cost(wanted, tasks).drop("cost")
+    place = ["request_key", "_row"]
+    found = sift(_with_row(requests), wanted, "_row").join(dealt, place)
+    columns = ("request_key", "stage", "messages", "temperature", "max_tokens", "task")
+    return (found if unique_keys else found.dropDuplicates(place)).select(*columns)
+
+
 def complete_pending(
     requests: DataFrame,
     path: str,
@@ -276,22 +345,28 @@ def complete_pending(
     unique_keys: bool = False,
     tasks: int = 8,
     attempts: int = 1,
+    calls_per_second: float | None = None,
 ) -> DataFrame:
     """Answer what has no answer in the table at ``path`` yet, append it there, return all.
 
-    The requests are answered in ``waves``, jobs that are committed one by one, so a lost
-    driver costs one wave. Failed calls are stored with their reason and asked again by the
+    What is wanted is found once, as keys. It is answered in ``waves``, jobs that are committed
+    one by one, so a lost driver costs one wave; each renders its own prompts and deals them into
+    ``tasks`` of equal cost. Failed calls are stored with their reason and asked again by the
     next run. Unless ``skip_errors``, a run that leaves some raises in the end, when all
     other answers are stored.
     """
     spark = requests.sparkSession
+    answered = read_responses(spark, path)
+    wanted = materialize(wanted_keys(requests, answered, unique_keys), "wanted")
     for wave in range(waves):
-        part = requests.filter(F.pmod(F.xxhash64("request_key"), F.lit(waves)) == wave)
-        pending = pending_requests(part, read_responses(spark, path), unique_keys, tasks)
-        answers = complete_with(pending, complete, concurrency, None, attempts)
-        answers.write.mode("append").parquet(path)
+        part = wanted.filter(F.pmod(F.xxhash64("_row"), F.lit(waves)) == wave)
+        # Even a table without answers is begun, so that it can be read.
+        if (wave == 0 and answered is None) or not part.isEmpty():
+            dealt = dealt_requests(requests, part, tasks, unique_keys)
+            answers = complete_with(dealt, complete, concurrency, tasks, attempts, calls_per_second)
+            answers.write.mode("append").parquet(path)
     if not skip_errors:
-        _raise_failures(requests, path)
+        _raise_failures(wanted, path)
     return read_responses(spark, path)
 
 
@@ -312,13 +387,14 @@ def complete_wanted(
     waves: int = 1,
     tasks: int = 8,
     attempts: int = 1,
+    calls_per_second: float | None = None,
 ) -> DataFrame:
     """``complete_pending`` for prompts that are not stored: only those still wanted are written.
 
     ``keys`` is a stored table with ``request_key`` and what names an example. Of the examples that
     share a key the least is asked; ``requests_of`` gets those rows and gives their requests. So
-    a run that has little left to ask renders and moves that little. A row without a key is
-    not asked.
+    a run that has little left to ask renders and moves that little. With a column ``cost`` the
+    rows come with a ``task``, so that all tasks cost the same. A row without a key is not asked.
     """
     spark = keys.sparkSession
     example = F.struct(*[c for c in keys.columns if c != "request_key"])
@@ -332,7 +408,11 @@ def complete_wanted(
         wanted = materialize(wanted.select("request_key", "example.*"), "wanted")
         # Even a table without answers is begun, so that it can be read.
         if answered is None or not wanted.isEmpty():
-            answers = complete_with(requests_of(wanted), complete, concurrency, tasks, attempts)
+            if "cost" in wanted.columns:
+                wanted = deal_by_cost(wanted, tasks).drop("cost")
+            answers = complete_with(
+                requests_of(wanted), complete, concurrency, tasks, attempts, calls_per_second
+            )
             answers.write.mode("append").parquet(path)
     _raise_failures(keys, path)
     return read_responses(spark, path)

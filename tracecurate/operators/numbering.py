@@ -43,6 +43,33 @@ def number_rows(
     )
 
 
+def number_in_groups(df: DataFrame, group: list[str], *order: str, name: str = "row_no") -> DataFrame:
+    """Number the rows of each group 1, 2, .. in the given order; a group may have any size.
+
+    As in ``number_rows`` rows are range-partitioned and stored with their place. A row's number
+    is its place in its block, less the group's first there, plus the group's rows in earlier
+    blocks. The join goes by block and group, so a large group is spread over its blocks.
+    """
+    placed = materialize(
+        df.repartitionByRange(*group, *order)
+        .sortWithinPartitions(*group, *order)
+        .withColumn("_place", F.monotonically_increasing_id()),
+        "numbered",
+    ).withColumn("_block", F.shiftright("_place", _POSITION_BITS))
+    earlier = Window.partitionBy(*group).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    parts = (
+        placed.groupBy("_block", *group)
+        .agg(F.count("*").alias("_rows"), F.min("_place").alias("_first"))
+        .withColumn("_offset", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) + 1 - F.col("_first"))
+        .drop("_rows", "_first")
+    )
+    return (
+        placed.join(parts, ["_block", *group])
+        .withColumn(name, F.col("_place") + F.col("_offset"))
+        .drop("_block", "_place", "_offset")
+    )
+
+
 def split_by_group_size(
     df: DataFrame, group: str, limit: int, broadcast_rows: int, sizes_of: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame | None]:

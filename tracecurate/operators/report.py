@@ -67,7 +67,10 @@ def length_budget(
     ``tokens`` turns the text into a token array; pass the caller's tokenizer as a
     ``pandas_udf`` to count what a model would see.
     """
-    count = F.size(tokens(F.col(text)))
+    if tokens is words:  # counted without being built
+        count = F.regexp_count(F.col(text), F.lit(f"(?U)[^{BLANK_CLASS}]+"))
+    else:
+        count = F.size(tokens(F.col(text)))
     return rows.withColumns(
         {
             "n_tokens": count.cast("bigint"),

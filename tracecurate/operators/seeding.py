@@ -11,7 +11,7 @@ from ..functions.text import preview
 from .completions import attach_completions, copy_key, request_key
 from .numbering import number_rows
 
-# Settings of the serving side apply, none are sent.
+# What stands for the settings of the serving side, for callers that send none.
 _TEMPERATURE, _MAX_TOKENS = 1.0, 0
 
 
@@ -51,22 +51,26 @@ def _messages(system: str) -> Column:
     return dialogue(system, F.col("prompt"))
 
 
-def with_prompt_key(prompts: DataFrame, system: str) -> DataFrame:
+def with_prompt_key(
+    prompts: DataFrame, system: str, temperature: float = _TEMPERATURE, max_tokens: int = _MAX_TOKENS
+) -> DataFrame:
     # The index is in the key: a prompt that occurs twice is asked twice.
-    prompt = request_key("seed", _messages(system), _TEMPERATURE, _MAX_TOKENS)
+    prompt = request_key("seed", _messages(system), temperature, max_tokens)
     key = copy_key(prompt, F.col("prompt_index"))
     return prompts.withColumn("request_key", key)
 
 
-def prompt_requests(prompts: DataFrame, system: str) -> DataFrame:
+def prompt_requests(
+    prompts: DataFrame, system: str, temperature: float = _TEMPERATURE, max_tokens: int = _MAX_TOKENS
+) -> DataFrame:
     """A fixed system message and the prompt, one request per prompt."""
-    return with_prompt_key(prompts, system).select(
+    return with_prompt_key(prompts, system, temperature, max_tokens).select(
         "request_key",
         F.lit("seed").alias("stage"),
         "prompt_index",
         _messages(system).alias("messages"),
-        F.lit(_TEMPERATURE).alias("temperature"),
-        F.lit(_MAX_TOKENS).alias("max_tokens"),
+        F.lit(temperature).alias("temperature"),
+        F.lit(max_tokens).alias("max_tokens"),
     )
 
 
@@ -76,14 +80,17 @@ def seed_traces(
     run_id: str,
     system: str,
     failures: DataFrame | None = None,
+    begun_ms: int = 0,
+    temperature: float = _TEMPERATURE,
+    max_tokens: int = _MAX_TOKENS,
 ) -> DataFrame:
     """Prompts and their answers as traces; an unanswered prompt becomes a failed trace, with
     its reason in ``error`` if ``failures`` has one.
 
-    Traces are as old as their place in the corpus says: number 1 is a millisecond old. They
-    name no session, so each is one of its own.
+    Traces follow ``begun_ms``, the run's time, by their place in the corpus: number 1 by a
+    millisecond. They name no session, so each is one of its own.
     """
-    keyed = with_prompt_key(prompts, system)
+    keyed = with_prompt_key(prompts, system, temperature, max_tokens)
     if failures is not None:
         reasons = failures.select("request_key", "error")
         keyed = keyed.join(reasons, "request_key", "left")
@@ -96,7 +103,7 @@ def seed_traces(
     has_answer = F.col("answer").isNotNull()
     return tag_prompts(answered, run_id).select(
         F.concat_ws("-", F.lit(run_id), "prompt_index").alias("trace_id"),
-        F.timestamp_millis(F.col("prompt_index").cast("bigint")).alias("request_time"),
+        F.timestamp_millis(F.lit(begun_ms) + F.col("prompt_index").cast("bigint")).alias("request_time"),
         "run_name",
         "tags",
         F.when(has_answer, "OK").otherwise("ERROR").alias("state"),

@@ -6,20 +6,15 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..config import CurationConfig
 from ..functions.text import ASSISTANT_PREFIX, USER_PREFIX, message
-from .numbering import number_rows, split_by_group_size
+from .numbering import number_in_groups, split_by_group_size
 
 _TURN_ORDER = ("request_time", "trace_id")
 
 
 def _number_large_sessions(turns: DataFrame) -> DataFrame:
-    """Turn numbers for sessions too large for one task: global numbers less the first."""
-    numbered = number_rows(turns, "session_id", *_TURN_ORDER, name="_row")
-    first = numbered.groupBy("session_id").agg(F.min("_row").alias("_first"))
-    return (
-        numbered.join(first, "session_id")
-        .withColumn("turn_no", (F.col("_row") - F.col("_first") + 1).cast("int"))
-        .drop("_row", "_first")
-    )
+    """Turn numbers for sessions too large for one task."""
+    numbered = number_in_groups(turns, ["session_id"], *_TURN_ORDER, name="turn_no")
+    return numbered.withColumn("turn_no", F.col("turn_no").cast("int"))
 
 
 def sessionize(

@@ -7,7 +7,10 @@ answer yet, and write the outputs.
 
 from __future__ import annotations
 
+import time
+import uuid
 from dataclasses import dataclass
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
@@ -21,6 +24,7 @@ from ..operators.completions import (
     complete_pending,
     complete_wanted,
     generate_requests,
+    judge_cost,
     judge_requests,
     keyed_judge_requests,
     read_failures,
@@ -29,7 +33,7 @@ from ..operators.completions import (
 from ..operators.histories import chain_turns, render_examples
 from ..operators.increments import latest_deliveries
 from ..operators.ingest import clean_turns, quarantined_traces, scan_traces
-from ..operators.report import length_budget, training_plan, turn_counts, words
+from ..operators.report import length_budget, training_plan, truncate_tokens, turn_counts, words
 from ..operators.scoring import (
     keep_good,
     passes,
@@ -49,6 +53,7 @@ from ..operators.synthesis import (
 from ..schema import require_columns
 from ..sources.staging import materialize
 from ..sources.tables import write_csv
+from .manifest import Run, Stage, source_fingerprint
 
 
 def build_examples(traces: DataFrame, config: CurationConfig = CurationConfig()) -> DataFrame:
@@ -130,11 +135,17 @@ CURATED = (
 )
 
 
-def _observed(df: DataFrame, name: str, **counts: Column) -> tuple[DataFrame, Observation]:
+# Settings that decide what a stage holds; those of size, speed and tries do not.
+_READ = ("max_traces", "success_states", "housekeeping_phrases", "session_key", "parse_json_strings")
+_JUDGE = ("judge_system", "judge_temperature", "judge_max_tokens")
+_GENERATE = ("generate_system", "generate_temperature", "generate_max_tokens", "copies")
+_SPLIT = ("holdout_fraction", "validation_fraction", "seed")
+
+
+def _observed(df: DataFrame, seen: Observation, **counts: Column) -> DataFrame:
     """Count rows while they are written, without a job of their own."""
-    seen = Observation(name)
     exprs = [count.alias(metric) for metric, count in counts.items()]
-    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *exprs), seen
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *exprs)
 
 
 def _with_transcript(df: DataFrame) -> DataFrame:
@@ -150,10 +161,13 @@ def run_curation(
 ) -> dict[str, int]:
     """Traces to training data below ``out``; returns the counts of the stages.
 
-    Answers are appended to tables below ``out/responses``. A second run over the same
-    traces asks the model nothing.
+    Stages that an earlier run over the same files and settings has finished are taken over,
+    see ``manifest``. Answers are appended to tables below ``out/responses``; a second run over
+    the same traces asks the model nothing.
     """
+    run = Run(traces.sparkSession, out, config, source_fingerprint(traces))
     kept = F.count_if(passes(config.score_threshold))
+    scanned = cache(lambda: scan_traces(traces, config.max_traces))
 
     def ask(requests: DataFrame, stage: str, unique_keys: bool = False) -> DataFrame:
         return complete_pending(
@@ -165,86 +179,117 @@ def run_curation(
             unique_keys=unique_keys,
             tasks=config.call_tasks,
             attempts=config.attempts,
+            calls_per_second=config.calls_per_second,
         )
 
-    def store(df: DataFrame, name: str) -> DataFrame:
-        return materialize(df, name, f"{out}/{name}")
-
-    def export(df: DataFrame, name: str) -> None:
+    def export(df: DataFrame, name: str, after: Stage) -> None:
         if csv:
-            write_csv(df, f"{out}/{name}_csv")
-
-    scanned = scan_traces(traces, config.max_traces)
-    turns = store(clean_turns(scanned, config), "turns")
-    quarantine = store(quarantined_traces(scanned, config), "quarantine")
-    delivered, repeated = turns.count(), 0
-    distinct = turns.select("trace_id").distinct().count()
-    if distinct < delivered:  # a trace that was delivered twice is one example
-        repeated = delivered - distinct
-        turns = store(latest_deliveries(turns), "distinct_turns")
+            run.step(f"{name}_csv", lambda: write_csv(df, f"{out}/{name}_csv"), [after])
+
+    def sizes(turns: DataFrame) -> dict[str, int]:
+        found = turns.agg(F.count("*").alias("n"), F.count_distinct("trace_id").alias("ids")).first()
+        return {"rows": found["n"], "distinct": found["ids"], "traces": scanned().count()}
+
+    delivered = run.stage("turns", lambda: clean_turns(scanned(), config), settings=_READ, count=sizes)
+    quarantine = run.stage(
+        "quarantine",
+        lambda: quarantined_traces(scanned(), config),
+        settings=_READ,
+        count=lambda rows: {"rows": rows.count()},
+    )
+    turns, repeated = delivered, delivered.counts["rows"] - delivered.counts["distinct"]
+    if repeated:  # a trace that was delivered twice is one example
+        turns = run.stage("distinct_turns", lambda: latest_deliveries(delivered.table), [delivered])
     # Turns are stored once, with their place. Histories are rendered from them where they are
     # read; stored are only those of the outputs.
-    chain = store(chain_turns(turns, config), "chain")
-    keyed = with_judge_key(render_examples(chain, None, config), config=config)
-    keys = store(keyed.select("example_id", "session_id", "turn_no", "request_key"), "judge_keys")
+    chain = run.stage(
+        "chain",
+        lambda: chain_turns(turns.table, config),
+        [turns],
+        count=lambda rows: turn_counts(rows).first().asDict(),
+    )
+
+    def keys_of_all() -> DataFrame:
+        keyed = with_judge_key(render_examples(chain.table, None, config), config=config)
+        return keyed.select("example_id", "session_id", "turn_no", "request_key", judge_cost(config).alias("cost"))
+
+    keys = run.stage("judge_keys", keys_of_all, [chain], _JUDGE)
 
     def requests_of(wanted: DataFrame) -> DataFrame:
-        return keyed_judge_requests(render_examples(chain, wanted, config), config=config)
+        return keyed_judge_requests(render_examples(chain.table, wanted, config), config=config)
 
-    answers = complete_wanted(
-        keys,
-        requests_of,
-        f"{out}/responses/judge",
-        complete,
-        config.concurrency,
-        config.call_waves,
-        config.call_tasks,
-        config.attempts,
+    def judged() -> DataFrame:
+        answers = complete_wanted(
+            keys.table,
+            requests_of,
+            f"{out}/responses/judge",
+            complete,
+            config.concurrency,
+            config.call_waves,
+            config.call_tasks,
+            config.attempts,
+            config.calls_per_second,
+        )
+        return _observed(score_keyed(keys.table.drop("cost"), answers), seen, kept=kept)
+
+    seen = Observation("judged")
+    scored = run.stage("scored", judged, [keys], ["score_threshold"], seen)
+    report = run.stage(
+        "scores_report",
+        lambda: scores_report(render_examples(chain.table, scored.table, config), config),
+        [chain, scored],
     )
-    judged, judged_seen = _observed(score_keyed(keys, answers), "judged", kept=kept)
-    scored = store(judged, "scored")
-    report = scores_report(render_examples(chain, scored, config), config)
-    export(store(report, "scores_report"), "scores_report")
-    kept_examples = render_examples(chain, keep_good(scored, config), config)
-    curated = store(kept_examples.select(*CURATED), "curated_traces")
-    export(curated.withColumn("messages", messages_to_json(F.col("messages"))), "curated_traces")
-    curated = _with_transcript(curated)
-
-    seeds = curated.select("example_id", "session_id", "conversation_str", "target_response")
-    answers = ask(generate_requests(seeds, config), "generate", unique_keys=True)
-    written, written_seen = _observed(
+    export(report.table, "scores_report", report)
+
+    def kept_examples() -> DataFrame:
+        return render_examples(chain.table, keep_good(scored.table, config), config).select(*CURATED)
+
+    curation = run.stage("curated_traces", kept_examples, [chain, scored])
+    flat = curation.table.withColumn("messages", messages_to_json(F.col("messages")))
+    export(flat, "curated_traces", curation)
+    curated = _with_transcript(curation.table)
+
+    def generated() -> DataFrame:
+        seeds = curated.select("example_id", "session_id", "conversation_str", "target_response")
+        answers = ask(generate_requests(seeds, config), "generate", unique_keys=True)
         # Of a seed only its ids go on; its texts were needed for the prompt.
-        generate_examples(seeds, answers, config).drop("conversation_str", "target_response"),
-        "generated",
-    )
-    to_judge = synthetic_judge_input(store(written, "generated"))
-    answers = ask(judge_requests(to_judge, "judge_synthetic", config), "judge_synthetic")
-    rejudged, rejudged_seen = _observed(
-        judge_synthetic(to_judge, answers, config), "rejudged", kept=kept
-    )
-    synthetic = keep_synthetic(store(rejudged, "synthetic_scored"), config)
+        written = generate_examples(seeds, answers, config).drop("conversation_str", "target_response")
+        return _observed(written, written_seen)
 
-    assembled, assembled_seen = _observed(
-        training_data(curated, synthetic),
-        "training",
-        curated=F.count_if(F.col("source") == "curated"),
+    written_seen = Observation("generated")
+    generation = run.stage("generated", generated, [curation], _GENERATE, written_seen)
+
+    def rejudged() -> DataFrame:
+        to_judge = synthetic_judge_input(generation.table)
+        answers = ask(judge_requests(to_judge, "judge_synthetic", config), "judge_synthetic")
+        return _observed(judge_synthetic(to_judge, answers, config), rejudged_seen, kept=kept)
+
+    rejudged_seen = Observation("rejudged")
+    rejudging = run.stage(
+        "synthetic_scored", rejudged, [generation], (*_JUDGE, "score_threshold"), rejudged_seen
     )
-    training = store(assembled, "training_data")
-    export(training.drop("example_id"), "training_data")
-    training_links(curated, synthetic).write.mode("overwrite").parquet(f"{out}/training_links")
-    synthetic_skipped(synthetic).write.mode("overwrite").parquet(f"{out}/synthetic_skipped")
+    synthetic = keep_synthetic(rejudging.table, config)
+
+    def assembled() -> DataFrame:
+        real = F.count_if(F.col("source") == "curated")
+        return _observed(training_data(curated, synthetic), assembled_seen, curated=real)
+
+    assembled_seen, sides = Observation("training"), [curation, rejudging]
+    training = run.stage("training_data", assembled, sides, seen=assembled_seen)
+    export(training.table.drop("example_id"), "training_data", training)
+    run.stage("training_links", lambda: training_links(curated, synthetic), sides)
+    run.stage("synthetic_skipped", lambda: synthetic_skipped(synthetic), sides)
 
-    first, generated = judged_seen.get, written_seen.get["rows"]
-    second, final = rejudged_seen.get, assembled_seen.get
+    first, second, final = scored.counts, rejudging.counts, training.counts
     return {
-        "traces": scanned.count(),
-        "quarantined": quarantine.count(),
+        "traces": delivered.counts["traces"],
+        "quarantined": quarantine.counts["rows"],
         "repeated_traces": repeated,
-        "sessions": turn_counts(turns).first()["sessions"],
+        "sessions": chain.counts["sessions"],
         "examples": first["rows"],
         "kept": first["kept"],
-        "generated": generated,
-        "synthetic_unparsed": generated - second["rows"],
+        "generated": generation.counts["rows"],
+        "synthetic_unparsed": generation.counts["rows"] - second["rows"],
         "synthetic_judged": second["rows"],
         "synthetic_kept": second["kept"],
         "synthetic_skipped": second["kept"] - (final["rows"] - final["curated"]),
@@ -260,6 +305,12 @@ def _with_unique_ids(rows: DataFrame) -> DataFrame:
     return rows
 
 
+def _sources(*tables: DataFrame | None) -> str | None:
+    """One fingerprint of several inputs, None if one of them has none."""
+    found = [source_fingerprint(table) for table in tables if table is not None]
+    return None if None in found else "|".join(found)
+
+
 def run_preparation(
     training: DataFrame,
     out: str,
@@ -268,27 +319,51 @@ def run_preparation(
     csv: bool = True,
     tokens=words,
     links: DataFrame | None = None,
+    tokenized: bool = False,
 ) -> dict[str, int]:
     """Training rows to a holdout and to chat texts below ``out``; returns sizes and plan.
 
     ``links``, the table ``training_links`` of a curation run, makes the splits free of leaks.
 
     Chat texts come with their length in ``tokens``, what the sequence cap leaves of it, and
-    whether it cuts; ``report.truncate_tokens`` does the cutting.
+    whether it cuts. With ``tokenized`` their tokens, cut at the cap, are stored as well, in
+    ``train_tokens`` and ``validation_tokens``. Finished stages are taken over as in
+    ``run_curation``, those that call a tokenizer of the caller are not.
     """
-    if "example_id" not in training.columns:
-        training = with_example_id(training)
-    training = _with_unique_ids(materialize(training, "training", f"{out}/training"))
-    prepared = prepare(training, config, template, links)
-    prepared.holdout.write.mode("overwrite").parquet(f"{out}/holdout")
+    run = Run(training.sparkSession, out, config, _sources(training, links))
+    own = repr(template) if tokens is words else uuid.uuid4().hex
+
+    def unique() -> DataFrame:
+        return training if "example_id" in training.columns else with_example_id(training)
+
+    def one_an_id(rows: DataFrame) -> dict[str, int]:
+        _with_unique_ids(rows)
+        return {}
+
+    source = run.stage("training", unique, count=one_an_id)
+    prepared = cache(lambda: prepare(source.table, config, template, links))
+    holdout = run.stage("holdout", lambda: prepared().holdout, [source], _SPLIT)
     if csv:
-        write_csv(prepared.holdout.drop("example_id"), f"{out}/holdout_csv")
-    measured = length_budget(prepared.validation, "text", config, tokens)
-    measured.write.mode("overwrite").parquet(f"{out}/validation")
-    train = length_budget(prepared.train, "text", config, tokens)
-    train = materialize(train, "train", f"{out}/train")
-    over = train.filter("over_budget").count()
-    return training_plan(train, config).first().asDict() | {"over_budget": over}
+        rows = holdout.table.drop("example_id")
+        run.step("holdout_csv", lambda: write_csv(rows, f"{out}/holdout_csv"), [holdout])
+
+    def part(name: str, count=None) -> Stage:
+        texts = run.stage(
+            name,
+            lambda: length_budget(getattr(prepared(), name), "text", config, tokens),
+            [source],
+            (*_SPLIT, "max_sequence_tokens"),
+            count=count,
+            also=own,
+        )
+        if tokenized:
+            cut = lambda: truncate_tokens(texts.table.select("example_id", "text"), "text", config, tokens)
+            run.stage(f"{name}_tokens", cut, [texts])
+        return texts
+
+    part("validation")
+    train = part("train", lambda rows: {"over_budget": rows.filter("over_budget").count()})
+    return training_plan(train.table, config).first().asDict() | train.counts
 
 
 def run_evaluation(
@@ -317,6 +392,7 @@ def run_evaluation(
             config.call_waves,
             tasks=config.call_tasks,
             attempts=config.attempts,
+            calls_per_second=config.calls_per_second,
         )
         return eval_answers(holdout, responses, model, config)
 
@@ -340,9 +416,10 @@ def run_seeding(
 ) -> DataFrame:
     """Ask the model every prompt of a corpus under the caller's ``system`` text and store
     the traces below ``out``. They can be curated as they are."""
-    path = f"{out}/responses/seed"
+    path, settings = f"{out}/responses/seed", (config.seed_temperature, config.seed_max_tokens)
+    begun_ms = int(time.time() * 1000)
     responses = complete_pending(
-        prompt_requests(prompts, system),
+        prompt_requests(prompts, system, *settings),
         path,
         complete,
         config.concurrency,
@@ -351,7 +428,8 @@ def run_seeding(
         unique_keys=True,
         tasks=config.call_tasks,
         attempts=config.attempts,
+        calls_per_second=config.calls_per_second,
     )
     failures = read_failures(prompts.sparkSession, path)
-    traces = seed_traces(prompts, responses, run_id or new_run_id(), system, failures)
+    traces = seed_traces(prompts, responses, run_id or new_run_id(), system, failures, begun_ms, *settings)
     return materialize(traces, "traces", f"{out}/traces")
