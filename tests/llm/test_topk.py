@@ -17,7 +17,7 @@ def brute(rows, k, every):
             own = out.setdefault(q, {})
             for c, w in usable:
                 if c != q and len(w) == len(v):
-                    s = sum(a * b for a, b in zip(v, w, strict=True))
+                    s = min(max(sum(a * b for a, b in zip(v, w, strict=True)), -(2**63)), 2**63 - 1)
                     own[c] = max(own.get(c, s), s)
     return sorted((q, n + 1, c, s) for q, own in out.items() for n, (c, s) in enumerate(sorted(own.items(), key=lambda x: (-x[1], x[0]))[:k]))
 
@@ -48,3 +48,21 @@ def test_bounds_hold(n):
     rng = np.random.default_rng(n)
     a, b = rng.integers(-150, 150, (50, 37)).astype(float), rng.integers(-150, 150, (60, 37)).astype(float)
     assert (topk.features(a, n) @ topk.features(b, n).T + 1e-6 >= a @ b.T).all()
+
+
+@pytest.mark.parametrize("size", [1e6, 1e9, 1e15, 1e30])
+def test_large_components_are_exact(spark, size):
+    """Scores beyond 2**53 as whole numbers, those beyond a long as its ends."""
+    rng = random.Random(int(size))
+    rows = [(i, [rng.gauss(0, size) for _ in range(20)]) for i in range(120)]
+    rows += [(i + 200, [x + rng.choice((0, size * 1e-7)) for x in rows[0][1]]) for i in range(30)]  # nearly ties
+    rows += [(i + 300, [rng.gauss(0, 1) for _ in range(20)]) for i in range(20)]
+    assert search(spark, rows) == brute(rows, 5, 10)
+
+
+def test_many_blocks_long_vectors_and_repeated_queries(spark, monkeypatch):
+    rng = random.Random(9)
+    rows = [(i, [rng.gauss(0, 0.2) for _ in range(3000)]) for i in range(60)]
+    rows += [rows[0]] * 400 + [(0, [rng.gauss(0, 0.2) for _ in range(3000)]) for _ in range(5)]
+    monkeypatch.setattr(topk, "BLOCK_BYTES", 4 * 8 * 3000)
+    assert search(spark, rows) == brute([*rows[:60], *rows[460:]], 5, 10)

@@ -5,6 +5,9 @@ of two vectors from above (and their distance from below): in a segment of n com
 at most n (mean mean' + deviation deviation'). The bound is taken over few long segments
 first, then over more and shorter ones; only pairs whose bound reaches the k-th best score
 known so far are carried on, and the score of those left at the end is computed.
+
+Bounds are doubles with room for their rounding, scores are exact: where a sum of doubles could
+be rounded, that is beyond 2**53, it is taken again over integers of any size.
 """
 
 from __future__ import annotations
@@ -21,7 +24,10 @@ from .common import narrow, stored
 
 LEVELS = (4, 8, 16, 32)
 BLOCK = 4096  # queries in one broadcast
+BLOCK_BYTES = 1 << 25  # bytes of their vectors
 _ROWS = 512  # candidates bounded at once
+_EXACT = 2.0**53
+_EPS = 2.0**-52
 
 
 def features(vectors: np.ndarray, segments: int) -> np.ndarray:
@@ -31,7 +37,9 @@ def features(vectors: np.ndarray, segments: int) -> np.ndarray:
     padded[:, : vectors.shape[1]] = vectors
     parts = padded.reshape(len(vectors), segments, width)
     sums = parts.sum(axis=2) / np.sqrt(width)
-    rest = np.sqrt(np.maximum((parts * parts).sum(axis=2) - sums * sums, 0))
+    squares = (parts * parts).sum(axis=2)
+    # What rounding may have taken away is given back, so that the bound holds.
+    rest = np.sqrt(np.maximum(squares - sums * sums, 0) + (width + 8) * _EPS * squares)
     return np.concatenate([sums, rest], axis=1)
 
 
@@ -40,6 +48,7 @@ class Block:
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int):
         self.ids, self.vectors, self.k = ids, vectors, k
+        self.norms = np.linalg.norm(vectors, axis=1)
         self.levels = [n for n in LEVELS if n < vectors.shape[1]]
         self.features = {n: features(vectors, n) for n in self.levels}
         self.best: list[dict[int, int]] = [{} for _ in ids]
@@ -49,6 +58,8 @@ class Block:
         """Compare candidates with all queries. A candidate with the query's id is its own."""
         alive = ids[None, :] != self.ids[:, None]
         query, row = np.nonzero(alive)
+        norms = np.linalg.norm(vectors, axis=1)
+        slack = (vectors.shape[1] + 64) * 4 * _EPS
         for depth, n in enumerate(self.levels):
             if not len(query):
                 return
@@ -65,32 +76,46 @@ class Block:
                     self._score(q[keep], r[keep], ids, vectors)
             else:
                 bound = np.einsum("ij,ij->i", self.features[n][query], other[row])
-            reach = bound * (1 + 1e-9 * np.sign(bound)) + 1e-6 >= self.floor[query]
+            reach = bound + slack * self.norms[query] * norms[row] + 1e-6 >= self.floor[query]
             query, row = query[reach], row[reach]
         self._score(query, row, ids, vectors)
 
     def _score(self, query: np.ndarray, row: np.ndarray, ids: np.ndarray, vectors: np.ndarray) -> None:
+        norms = np.linalg.norm(vectors, axis=1)
         for start in range(0, len(query), 1 << 16):
             q, r = query[start : start + (1 << 16)], row[start : start + (1 << 16)]
             scores = np.einsum("ij,ij->i", self.vectors[q], vectors[r])
-            hit = scores >= self.floor[q]
-            q, r, scores = q[hit], r[hit], scores[hit]
+            # No partial sum is beyond the product of the norms.
+            reach = self.norms[q] * norms[r] * (1 + 1e-9)
+            rounded = reach >= _EXACT
+            error = np.where(rounded, (vectors.shape[1] + 8) * 2 * _EPS * reach, 0)
+            hit = scores + error >= self.floor[q]
+            q, r, scores, rounded = q[hit], r[hit], scores[hit], rounded[hit]
             touched = np.unique(q)
-            for a, b, s in zip(q.tolist(), ids[r].tolist(), scores.tolist(), strict=True):
+            for n, (a, b, s) in enumerate(zip(q.tolist(), ids[r].tolist(), scores.tolist(), strict=True)):
+                score = _product(self.vectors[a], vectors[r[n]]) if rounded[n] else int(s)
                 own = self.best[a]
-                own[b] = max(int(s), own.get(b, int(s)))
+                own[b] = max(score, own.get(b, score))
             for a in touched.tolist():
                 ranked = sorted(self.best[a].items(), key=lambda x: (-x[1], x[0]))[: self.k]
                 self.best[a] = dict(ranked)
                 if len(ranked) == self.k:
-                    self.floor[a] = ranked[-1][1]
+                    last = float(ranked[-1][1])  # may be rounded: step below it
+                    self.floor[a] = last if abs(last) < _EXACT else last - abs(last) * 2 * _EPS
+
+
+def _product(a: np.ndarray, b: np.ndarray) -> int:
+    """The inner product in whole numbers; beyond a long it is the nearest long."""
+    exact = sum(int(x) * int(y) for x, y in zip(a.tolist(), b.tolist(), strict=True))
+    return max(-(1 << 63), min((1 << 63) - 1, exact))
 
 
 def _integers(rows: DataFrame, scale: int) -> DataFrame:
-    """(vec_id, v) with integer components; rows that cannot take part are gone."""
+    """(vec_id, v) with scaled components; rows that cannot take part are gone. They are rounded
+    down as doubles where they are read, since a long does not hold them all."""
     usable = F.size("vector") > 0
     finite = ~F.exists("vector", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    whole = F.transform("vector", lambda x: F.floor(x.cast("double") * scale))
+    whole = F.transform("vector", lambda x: x.cast("double") * scale)
     return rows.where("vec_id is not null and vector is not null").where(usable & finite).select("vec_id", whole.alias("v"))
 
 
@@ -109,21 +134,31 @@ def top_k(
     Rows with a null id, a null or empty vector, or a null or non-finite component take no
     part; vectors of different lengths are not compared. Rows that share an id are one
     candidate with the best score among them, and one query with the best score for each
-    candidate; none of them is a candidate of its own id.
+    candidate; none of them is a candidate of its own id. Scores are exact; one beyond the range of
+    a long counts as the nearest long.
     """
-    rows = stored(_integers(narrow(vectors, vec_id=id_col, vector=vector_col), scale), "integers")
-    asked = rows.where(queries)
-    count = asked.count()
+    rows = stored(_integers(narrow(vectors, vec_id=id_col, vector=vector_col), scale), "scaled")
+    asked = stored(rows.where(queries).distinct(), "queries")
+    size = asked.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.size("v")), F.lit(0)).alias("values")).first()
+    count = max(1, -(-size["n"] // block), -(-8 * size["values"] // BLOCK_BYTES))
     spark, found = vectors.sparkSession, None
-    for part in range(max(1, -(-count // block))):
-        # A stated query set against all rows, in blocks of a bounded number of queries.
-        own = asked.where(F.expr(f"pmod(xxhash64(vec_id), {max(1, -(-count // block))}) = {part}"))
-        held = [(row["vec_id"], np.array(row["v"], dtype=np.float64)) for row in own.collect()]
-        merged = rows.mapInArrow(_search(spark.sparkContext.broadcast(held), k), "query_id bigint, vec_id bigint, score bigint")
+    for part in range(count):
+        # A stated query set against all rows, in blocks of a bounded number of queries. One
+        # block is alive at a time: what it found is stored before the next is read.
+        own = asked.where(F.expr(f"pmod(xxhash64(vec_id, v), {count}) = {part}")).collect()
+        shared = spark.sparkContext.broadcast([(row["vec_id"], np.floor(np.array(row["v"]))) for row in own])
+        scored = rows.mapInArrow(_search(shared, k), "query_id bigint, vec_id bigint, score bigint")
+        merged = stored(_best(scored, k).drop("rank"), "block-best")
+        shared.destroy()
         found = merged if found is None else found.unionByName(merged)
-    once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    return _best(found, k).select("query_id", "rank", "vec_id", "score")
+
+
+def _best(scored: DataFrame, k: int) -> DataFrame:
+    """The ``k`` best rows of each query with their rank, each candidate once."""
+    once = scored.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     best = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return once.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return once.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
 
 def _search(shared, k: int):
@@ -137,7 +172,7 @@ def _search(shared, k: int):
         for batch in batches:
             lists = batch.column(1)
             lengths = lists.value_lengths().to_numpy()
-            values = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+            values = np.floor(lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64))
             starts, ids = np.cumsum(lengths) - lengths, batch.column(0).to_numpy(zero_copy_only=False)
             for length, own in blocks.items():
                 mine = np.flatnonzero(lengths == length)
