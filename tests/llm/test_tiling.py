@@ -101,3 +101,26 @@ def test_given_tables_against_containment(spark):
     want = {(d, i.item_id) for i in items.collect() for d, t in texts if " " + " ".join(i.text.lower().split()) + " " in t}
     got = {(r.doc_id, r.item_id) for r in tiling.find_leaks(docs, items).collect()}
     assert want and want <= got and len(got - want) <= 2
+
+
+def test_items_of_few_words_must_stand_whole(spark, make_docs):
+    rows = [(1, "Too few words"), (2, "one"), (3, "..."), (4, ITEM), (5, "few words and more")]
+    items = spark.createDataFrame(rows, "item_id int, text string")
+    docs = make_docs([(1, "here are too FEW words, and more"), (2, "too many few words"), (3, "one"), (4, ITEM + " too few words"), (5, "few too words")])
+    found = sorted((r.doc_id, r.item_id, r.item_words, r.coverage, r.tiles) for r in tiling.find_leaks(docs, items).collect())
+    assert [f[:2] for f in found] == [(1, 1), (1, 5), (3, 2), (4, 1), (4, 4)]
+    assert all(f[3] == 1.0 for f in found) and found[0][2:] == (3, 1.0, 1)
+    assert [r.doc_id for r in tiling.decontaminate(docs, items).orderBy("doc_id").collect()] == [2, 5]
+
+
+def test_repeated_items_of_any_id(spark, make_docs, monkeypatch):
+    docs = make_docs([(1, ITEM), (None, ITEM), (2, "clean words that are in no item")])
+    items = spark.createDataFrame([(1, ITEM)] * 300 + [(2, ITEM)], "item_id int, text string")
+    monkeypatch.setattr(tiling, "BLOCK_BYTES", 50)
+    assert tiling.find_leaks(docs, items).groupBy("doc_id", "item_id").count().orderBy("doc_id", "item_id").collect() == [
+        (None, 1, 300), (None, 2, 1), (1, 1, 300), (1, 2, 1)
+    ]
+    assert [r.doc_id for r in tiling.decontaminate(docs, items).collect()] == [2]
+    for kind, want in (("smallint", 2), ("decimal(9,2)", "2.00"), ("date", None)):
+        cast = items.where("item_id = 2").selectExpr(f"cast({'null' if kind == 'date' else 'item_id'} as {kind}) item_id", "text")
+        assert {r.item_id for r in tiling.find_leaks(docs, cast).collect()} == {want}

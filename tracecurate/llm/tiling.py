@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_texts, filter_texts, narrow, shingle_hashes, shingle_runs, word_hashes
+from .common import byte_texts, filter_texts, narrow, shingle_hashes, shingle_runs, stored, word_hashes
 
 BLOCK_BYTES = 16 << 20  # benchmark text in one broadcast
 _PAIRS = 1 << 20  # places compared at once
@@ -115,20 +115,26 @@ def tile(a: np.ndarray, b: np.ndarray, least: int) -> list[tuple[int, int, int]]
         length = max(least, length // 2)
 
 
-def _blocks(items: DataFrame) -> Iterator[list[tuple[int, bytes]]]:
-    """The benchmark in blocks of about BLOCK_BYTES, dealt by a hash of the row."""
-    held = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
+def _blocks(items: DataFrame, *named: str) -> Iterator[list[tuple]]:
+    """The distinct texts of the benchmark, with their number and the columns ``named``, in blocks of
+    about BLOCK_BYTES, dealt by a hash. Copies are one row, so that no block is larger for them."""
+    distinct = stored(items.groupBy(*named, "text").agg(F.count("*").alias("copies")), "items")
+    held = distinct.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
     count = 1 + held // BLOCK_BYTES
     for block in range(count):
-        rows = items.where(F.expr(f"pmod(xxhash64(item_id, text), {count}) = {block}"))
-        yield [(row["item_id"], row["text"].encode()) for row in rows.collect()]
+        rows = distinct.where(F.expr(f"pmod(xxhash64({', '.join((*named, 'text'))}), {count}) = {block}"))
+        yield [((row["item_id"] if named else None, row["copies"]), row["text"].encode()) for row in rows.collect()]
+
+
+_KINDS = {"string": pa.string(), "tinyint": pa.int8(), "smallint": pa.int16(), "int": pa.int32(), "bigint": pa.int64()}
 
 
 class Benchmark:
     """A block of items with an index from their seeds to them."""
 
-    def __init__(self, items: list[tuple[int, bytes]], least: int):
+    def __init__(self, items: list[tuple[tuple, bytes]], least: int):
         self.least, self.words = least, {}
+        self.short: dict[int, dict[int, list[int]]] = {}  # words -> hash of the whole item -> items
         seeds_of, owners, times = [], [], []
         for k, (item, text) in enumerate(sorted(items, key=lambda x: x[1])):
             words = plain_words(text)
@@ -138,17 +144,31 @@ class Benchmark:
                 seeds_of.append(own)
                 owners.append(np.full(len(own), k))
                 times.append(counts)
+            elif len(words):
+                whole = int(shingle_runs(words, len(words))[0])
+                self.short.setdefault(len(words), {}).setdefault(whole, []).append(k)
         self.seeds = np.concatenate(seeds_of) if seeds_of else np.zeros(0, dtype=np.uint64)
         self.owners = np.concatenate(owners) if owners else np.zeros(0, dtype=np.int64)
         self.times = np.concatenate(times) if times else np.zeros(0, dtype=np.int64)
         order = np.argsort(self.seeds, kind="stable")
         self.seeds, self.owners, self.times = self.seeds[order], self.owners[order], self.times[order]
 
-    def leaks(self, text: bytes, threshold: float) -> list[tuple[int, int, int, int]]:
+    def _short_leaks(self, words: np.ndarray) -> list[tuple[tuple, int, int, int]]:
+        """Items too short for a tile are covered if they stand there whole."""
+        out = []
+        for size, wholes in sorted(self.short.items()):
+            if len(words) >= size:
+                known = np.fromiter(wholes, dtype=np.uint64, count=len(wholes))
+                seen = known[np.isin(known, shingle_runs(words, size))]
+                out += [(self.words[k][0], size, size, 1) for whole in seen.tolist() for k in wholes[whole]]
+        return out
+
+    def leaks(self, text: bytes, threshold: float) -> list[tuple[tuple, int, int, int]]:
         """(item, its words, covered words, tiles) of the items that the text covers."""
         words = plain_words(text)
+        short = self._short_leaks(words) if self.short else []
         if len(words) < self.least or not len(self.seeds):
-            return []
+            return short
         own = shingle_hashes(words, self.least)
         low, high = np.searchsorted(self.seeds, own, "left"), np.searchsorted(self.seeds, own, "right")
         shared: dict[int, int] = defaultdict(int)
@@ -165,7 +185,7 @@ class Benchmark:
             covered = sum(size for _, _, size in tiles)
             if covered >= threshold * len(its):
                 out.append((item, len(its), covered, len(tiles)))
-        return out
+        return short + out
 
 
 def find_leaks(
@@ -180,12 +200,16 @@ def find_leaks(
 ) -> DataFrame:
     """(doc_id, item_id, item_words, covered_words, coverage, tiles) of the leaked items.
 
-    Words are compared without regard to ASCII case. Tiles have ``least`` words or more, so
-    items of fewer words, null and empty texts are in no row. Repeated documents or items
-    each give their rows; null ids are kept. An empty table gives no rows.
+    Words are compared without regard to ASCII case. Tiles have ``least`` words or more; an item
+    of fewer words is covered by a text in which it stands whole. Items without a word, null and
+    empty texts are in no row. Repeated documents or items each give their rows; null ids are
+    kept; ids of items that are neither text nor whole numbers are given as text. An empty table
+    gives no rows.
     """
     source = narrow(docs, doc_id=id_col, text=text_col).where("text is not null")
     items = narrow(benchmark, item_id=item_col, text=item_text_col).where("text is not null")
+    if items.schema["item_id"].dataType.simpleString() not in _KINDS:
+        items = items.withColumn("item_id", F.col("item_id").cast("string"))
     kinds = [frame.schema[c].dataType.simpleString() for frame, c in ((source, "doc_id"), (items, "item_id"))]
     fields = f"doc_id {kinds[0]}, item_id {kinds[1]}, item_words int, covered_words int, coverage double, tiles int"
 
@@ -195,26 +219,30 @@ def find_leaks(
             for batch in batches:
                 rows = []
                 for doc, text in zip(batch.column(0).to_pylist(), byte_texts(batch.column(1)), strict=True):
-                    rows += [(doc, i, n, c, c / n, t) for i, n, c, t in block.leaks(text, threshold)]
+                    for (item, copies), n, c, t in block.leaks(text, threshold):
+                        rows += [(doc, item, n, c, c / n, t)] * copies
+                types = [batch.column(0).type, *own]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(types)],
                     ["doc_id", "item_id", "item_words", "covered_words", "coverage", "tiles"],
                 )
 
-        types = [pa.string() if k == "string" else pa.int32() if k == "int" else pa.int64() for k in kinds]
-        types += [pa.int32(), pa.int32(), pa.float64(), pa.int32()]
+        own = [_KINDS[kinds[1]], pa.int32(), pa.int32(), pa.float64(), pa.int32()]
         return run
 
-    spark, found = docs.sparkSession, None
-    for block in _blocks(items):
-        part = source.mapInArrow(scan(spark.sparkContext.broadcast(block)), fields)
+    # One block is alive at a time: what it found is stored before the next is read.
+    found = None
+    for block in _blocks(items, "item_id"):
+        shared = docs.sparkSession.sparkContext.broadcast(block)
+        part = stored(source.mapInArrow(scan(shared), fields), "leaks")
+        shared.destroy()
         found = part if found is None else found.unionByName(part)
     return found
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.5, least: int = 5, text_col: str = "text") -> DataFrame:
     """``docs`` without the rows whose text leaks a benchmark item; null texts stay."""
-    items = narrow(benchmark, item_id="item_id", text="text").where("text is not null")
+    items = narrow(benchmark, text="text").where("text is not null")
 
     def test(shared):
         def make():
@@ -223,6 +251,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.5,
 
         return make
 
+    last = None
     for block in _blocks(items):
-        docs = filter_texts(docs, text_col, test(docs.sparkSession.sparkContext.broadcast(block)))
+        if last is not None:  # one block is alive at a time
+            docs = stored(docs, "filtered")
+            last.destroy()
+        last = docs.sparkSession.sparkContext.broadcast(block)
+        docs = filter_texts(docs, text_col, test(last))
     return docs
