@@ -85,6 +85,23 @@ def test_rows_of_one_id_that_differ_in_another_column_stay(make_docs):
     assert sorted(r.lang for r in near.drop_near_duplicates(docs).collect()) == ["de", "en"]
 
 
+@pytest.mark.parametrize("percent", [50, 75, 80])
+def test_small_sets_with_a_shared_shingle(make_docs, percent):
+    """Sets of few shingles, each one away from others; those below the bound are not posted."""
+    rng = random.Random(percent)
+    texts = [" ".join(["thank", "you", *(rng.choice("abc") for _ in range(rng.randrange(7)))]) for _ in range(150)]
+    pairs = [*enumerate(texts), (900, "thank you thank you"), (901, "you thank you"), (902, "thank")]
+    assert ours(near.near_duplicates(make_docs(pairs), 2, percent)) == brute(pairs, 2, percent)
+
+
+def test_many_small_sets_are_not_posted(make_docs):
+    docs = make_docs([(k, f"thank you {k}") for k in range(10_000)])
+    signed = near.signatures(docs, 2).withColumnRenamed("doc_id", "id")
+    assert near._prefixes(signed, near.least_matches(80), 80).isEmpty()
+    rows = near.near_duplicates(docs, 2).collect()
+    assert len(rows) == 10_000 and all(r.kept for r in rows)
+
+
 def test_given_table(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     pairs = [(r.doc_id, r.text) for r in docs.collect()]

@@ -99,14 +99,18 @@ def signatures(docs: DataFrame, words: int, id_col: str = "doc_id", text_col: st
     return rows.mapInArrow(run, "doc_id bigint, n_shingles bigint, digest binary, coordinates array<int>, bits array<bigint>")
 
 
-def _prefixes(classes: DataFrame, matches: int) -> DataFrame:
+def _prefixes(classes: DataFrame, matches: int, percent: int) -> DataFrame:
     """(id, common, prefix): the rarest pairs of each class, as many as a partner cannot
     avoid; ``common`` says how widespread all its pairs are.
 
+    The nearest other set of one of n shingles has one more: n of n + 1 are shared. Sets that
+    are too small for that have no partner but equal ones, their class, and are not posted.
+
     Pairs that one class alone has come first in that order and can have no partner, so they
     only use up places.
     """
-    pairs = classes.select("id", F.posexplode("coordinates").alias("k", "value")).select(
+    posted = classes.where(100 * F.col("n_shingles") >= percent * (F.col("n_shingles") + 1))
+    pairs = posted.select("id", F.posexplode("coordinates").alias("k", "value")).select(
         "id", ((F.col("k").cast("bigint") * (1 << 32)) + F.col("value") + (1 << 31)).alias("pair")
     )
     shared = pairs.groupBy("pair").agg(F.count("*").alias("n")).where("n > 1").withColumnRenamed("pair", "_pair")
@@ -184,7 +188,7 @@ def near_duplicates(
         .drop("digest"),
         "class-signatures",
     )
-    prefixes = stored(_prefixes(classes, matches), "prefixes")
+    prefixes = stored(_prefixes(classes, matches, percent), "prefixes")
     posted = prefixes.select("id", "common", F.explode("prefix").alias("pair"))
 
     # Star turn: every member of a list with the one of the most widespread pairs, which is
