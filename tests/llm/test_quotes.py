@@ -58,3 +58,28 @@ def test_long_chain(spark):
     texts = [f"message number {k}" for k in range(40)]
     rows = [(1, k, "u", t if k == 0 else f"{quote(texts[k - 1])}\n{t}", 1, 2, 3) for k, t in enumerate(texts)]
     assert {t: (r.root, r.depth) for (_, t), r in run(spark, rows).items()} == {k: (0, k) for k in range(40)}
+
+
+def test_positions_and_assembled_conversations(spark):
+    """Replies follow what they answer; parts of any size hold the same order."""
+    rows = [(1, 0, "u", A), (1, 1, "v", f"{quote(A)}\n{B}"), (1, 2, "w", "a second start"), (1, 3, "u", f"{quote('a second start')}\nto the second"), (1, 4, "u", f"{quote(B)}\nto the first")]
+    rows += [(1, 5, "x", f"{quote(A)}\nalso to the first"), (1, 0, "u", A), (2, 7, None, None), (None, 1, "u", "no scope"), (1, None, "u", "no turn")]
+    df = spark.createDataFrame([(*r, 9, 9) for r in rows], "conv_id bigint, turn bigint, role string, text string, position int, part int")
+    found = quotes.conversations_without_quotes(df)
+    assert found.count() == len(rows)
+    places = {(r.scope, r.turn): (r.root, r.position) for r in found.collect()}
+    assert places == {(1, 0): (0, 0), (1, 1): (0, 1), (1, 5): (0, 2), (1, 4): (0, 3), (1, 2): (2, 0), (1, 3): (2, 1), (2, 7): (7, 0), (None, 1): (1, None), (1, None): (None, None)}
+    whole = {(r.scope, r.root): (r.part, r.first, r.n_messages, r.chat) for r in quotes.assemble(found).collect()}
+    first = ["u: " + A, "v: " + B, "x: also to the first", "u: to the first"]
+    assert whole == {(1, 0): (0, 0, 4, "\n\n".join(first)), (1, 2): (0, 0, 2, "w: a second start\n\nu: to the second"), (2, 7): (0, 0, 1, "unknown: ")}
+    parts = sorted((r.part, r.first, r.chat) for r in quotes.assemble(found, 3).where("scope = 1 and root = 0").collect())
+    assert parts == [(0, 0, "\n\n".join(first[:3])), (1, 3, first[3])]
+
+
+def test_a_long_text_and_a_large_conversation(spark):
+    """One message of a million letters, and one conversation with all rows."""
+    rows = [(1, 0, "u", "start here")] + [(1, k, "u", f"> start here\nanswer {k}") for k in range(1, 3000)]
+    rows.append((1, 3000, "u", "> start here\n" + "long line of words\n" * 50_000))
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    found = quotes.conversations_without_quotes(df).select("turn", "root", "depth", "position").collect()
+    assert sorted(map(tuple, found)) == [(0, 0, 0, 0)] + [(k, 0, 1, k) for k in range(1, 3001)]

@@ -30,7 +30,7 @@ def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_quotations(spark: SparkSession, sf_dir: str) -> DataFrame:
     mail = quotes.as_mail(table(spark, sf_dir, "conversations"))
     found = quotes.conversations_without_quotes(mail)
-    return found.select(F.col("scope").alias("conv_id"), "turn", "role", "text", "parent", "root", "depth", "chat")
+    return found.select(F.col("scope").alias("conv_id"), "turn", "role", "text", "parent", "root", "depth", "position", "chat")
 
 
 def op6_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,7 +130,8 @@ ORACLES: dict[str, str] = {
         ),
         tops AS (SELECT conv_id, turn, max(depth) AS depth, arg_max(top, depth) AS root FROM climb GROUP BY ALL)
         SELECT s.conv_id, s.turn, s.role, trim(s.text, chr(10) || chr(13)) AS text, l.parent, t.root,
-               t.depth, s.role || ': ' || trim(s.text, chr(10) || chr(13)) AS chat
+               t.depth, dense_rank() OVER (PARTITION BY s.conv_id, t.root ORDER BY t.depth, s.turn) - 1 AS position,
+               s.role || ': ' || trim(s.text, chr(10) || chr(13)) AS chat
         FROM said s JOIN tops t USING (conv_id, turn) LEFT JOIN links l USING (conv_id, turn)
     """,
     "op7_near_dedup": r"""

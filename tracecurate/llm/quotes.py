@@ -3,7 +3,8 @@
 The lines of a message have a quote level, the number of ``>`` before them. Neighbouring
 lines of one level are a passage. A quoted passage is linked, by the hash of its normalised
 text, to the first message that has it as its own. Following the links gives every message
-its root and its depth, an order in which each reply comes after what it answers.
+its root and its depth, an order in which each reply comes after what it answers. Messages are
+numbered in that order, and conversations are put together from their own texts.
 """
 
 from __future__ import annotations
@@ -12,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tracecurate.operators.numbering import number_in_groups
+
 from .common import narrow, stored
 
 # Blanks and marks before a quoted line, and the line that announces a quotation.
@@ -96,19 +99,25 @@ def own_text() -> Column:
 def conversations_without_quotes(
     messages: DataFrame, scope_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text"
 ) -> DataFrame:
-    """(scope, turn, role, text, parent, root, depth, chat) for every row of ``messages``.
-
-    ``scope`` is where a quoted message is looked for, such as a mailing list. Order a
-    conversation, all rows of one scope and root, by (depth, turn): each reply then comes
-    after what it answers. ``chat`` is the message as a chat line. A message that quotes
-    nothing known starts a conversation of depth 0. Null texts stay null; rows without scope
-    or turn are linked with nothing; rows of one scope and turn count as one message.
+    """(scope, turn, role, text, parent, root, depth, position, chat) for every row of ``messages``.
+
+    ``scope`` is where a quoted message is looked for, such as a mailing list. A conversation is
+    all rows of one scope and root; ``position`` numbers its messages from 0 by (depth, turn), so
+    that each reply comes after what it answers, by range partitioning, so a conversation of any
+    size is spread. ``chat`` is the message as a chat line. A message that quotes nothing known
+    starts a conversation of depth 0. Null texts stay null; rows without scope or turn are
+    linked with nothing and have no position; rows of one scope and turn count as one message
+    and share its position.
     """
     rows = narrow(messages, scope=scope_col, turn=turn_col, role=role_col, text=text_col)
     found = threads(reply_links(rows)).withColumnsRenamed({"scope": "_scope", "turn": "_turn"})
+    known = (F.col("scope") == F.col("_scope")) & (F.col("turn") == F.col("_turn"))
+    places = rows.where("scope is not null and turn is not null").select("scope", "turn").distinct().join(found, known, "left")
+    places = places.select("scope", "turn", "parent", F.coalesce("root", "turn").alias("root"), F.coalesce("depth", F.lit(0)).alias("depth"))
+    numbered = number_in_groups(places, ["scope", "root"], "depth", "turn", name="position")
+    numbered = numbered.withColumnsRenamed({"scope": "_scope", "turn": "_turn"})
     own = rows.withColumn("lines", F.split("text", "\n")).withColumn("own", own_text())
-    joined = own.join(found, (F.col("scope") == F.col("_scope")) & (F.col("turn") == F.col("_turn")), "left")
-    return joined.select(
+    return own.join(numbered, known, "left").select(
         "scope",
         "turn",
         "role",
@@ -116,10 +125,28 @@ def conversations_without_quotes(
         "parent",
         F.coalesce("root", "turn").alias("root"),
         F.coalesce("depth", F.lit(0)).alias("depth"),
+        (F.col("position") - 1).alias("position"),
         F.concat(F.coalesce("role", F.lit("unknown")), F.lit(": "), F.coalesce("own", F.lit(""))).alias("chat"),
     )
 
 
+def assemble(conversations: DataFrame, per_part: int = 1000) -> DataFrame:
+    """(scope, root, part, first, n_messages, chat): conversations as texts, in reply order.
+
+    Takes the rows of ``conversations_without_quotes``. A part holds ``per_part`` positions, the
+    first of them ``first``, so that a conversation of any size is put together by many tasks;
+    most have one part. ``chat`` joins the chat lines by blank lines. Equal rows of a position are
+    one message, different ones follow each other. Rows without a position are in no
+    conversation.
+    """
+    lines = conversations.where("position is not null").select("scope", "root", "position", "chat").distinct()
+    parts = lines.groupBy("scope", "root", F.floor(F.col("position") / per_part).alias("part"))
+    ordered = parts.agg(F.sort_array(F.collect_list(F.struct("position", "chat"))).alias("m"))
+    return ordered.select(
+        "scope", "root", "part", F.col("m")[0]["position"].alias("first"), F.size("m").cast("bigint").alias("n_messages"), F.array_join(F.col("m")["chat"], "\n\n").alias("chat")
+    )
+
+
 def as_mail(conversations: DataFrame) -> DataFrame:
     """The turns of ``conversations`` as mail: each quotes the two turns before it under
     nested marks. One conversation in five quotes nothing, another one only first lines."""
