@@ -57,31 +57,27 @@ class Block:
     def offer(self, ids: np.ndarray, vectors: np.ndarray) -> None:
         """Compare candidates with all queries. A candidate with the query's id is its own."""
         alive = ids[None, :] != self.ids[:, None]
-        query, row = np.nonzero(alive)
         norms = np.linalg.norm(vectors, axis=1)
         slack = (vectors.shape[1] + 64) * 4 * _EPS
         for depth, n in enumerate(self.levels):
-            if not len(query):
+            # Only queries and candidates that have a pair left; their bounds are one product.
+            some, others = np.flatnonzero(alive.any(axis=1)), np.flatnonzero(alive.any(axis=0))
+            if not len(some):
                 return
-            other = features(vectors, n)
-            if depth == 0:
-                bound = (self.features[n] @ other.T)[query, row]
-                # Scores of the most promising ones first, so that the others meet a high floor.
-                if not np.isfinite(self.floor).all():
-                    matrix = np.where(alive, self.features[n] @ other.T, -np.inf)
-                    top = np.argsort(-matrix, axis=1)[:, : 4 * self.k]
-                    q = np.repeat(np.arange(len(self.ids)), top.shape[1])
-                    r = top.ravel()
-                    keep = alive[q, r]
-                    self._score(q[keep], r[keep], ids, vectors)
-            else:
-                bound = np.einsum("ij,ij->i", self.features[n][query], other[row])
-            reach = bound + slack * self.norms[query] * norms[row] + 1e-6 >= self.floor[query]
-            query, row = query[reach], row[reach]
-        self._score(query, row, ids, vectors)
-
-    def _score(self, query: np.ndarray, row: np.ndarray, ids: np.ndarray, vectors: np.ndarray) -> None:
-        norms = np.linalg.norm(vectors, axis=1)
+            bound = self.features[n][some] @ features(vectors[others], n).T
+            bound += slack * self.norms[some][:, None] * norms[others] + 1e-6
+            left = alive[np.ix_(some, others)]
+            # Scores of the most promising ones first, so that the others meet a high floor.
+            if depth == 0 and not np.isfinite(self.floor).all():
+                top = np.argsort(-np.where(left, bound, -np.inf), axis=1)[:, : 4 * self.k]
+                q, r = np.repeat(np.arange(len(some)), top.shape[1]), top.ravel()
+                keep = left[q, r]
+                self._score(some[q[keep]], others[r[keep]], ids, vectors, norms)
+            alive[np.ix_(some, others)] = left & (bound >= self.floor[some][:, None])
+        query, row = np.nonzero(alive)
+        self._score(query, row, ids, vectors, norms)
+
+    def _score(self, query: np.ndarray, row: np.ndarray, ids: np.ndarray, vectors: np.ndarray, norms: np.ndarray) -> None:
         for start in range(0, len(query), 1 << 16):
             q, r = query[start : start + (1 << 16)], row[start : start + (1 << 16)]
             scores = np.einsum("ij,ij->i", self.vectors[q], vectors[r])
